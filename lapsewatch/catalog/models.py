@@ -1 +1,96 @@
+"""Training and scoring. Results depend on the optimiser, so there is no SQL for them."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import models, monitor, prep, splits
+from ..plans import medallion, training
+from ..sources.writers import materialise
+from .base import END, START, query
+
+TREE = [*prep.FEATURES, "missing_any"]
+# Small forests: the parameters are arguments, these keep the check quick.
+RF = {"trees": 10, "depth": 5}
+GBT = {"rounds": 8, "depth": 3}
+
+
+def labelled(t):
+    """Gold features with labels, written once: fitting reads them many times. Split 12 / 2 / 2 / 2 days."""
+    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END)
+    d = F.col("snapshot_date")
+    tag = F.when(d <= F.lit("2024-01-19").cast("date"), "train").when(d <= F.lit("2024-01-21").cast("date"), "val").when(
+        d <= F.lit("2024-01-23").cast("date"), "test").otherwise("oot")
+    return materialise(splits.training_set(feats, t.f_label).withColumn("split", tag))
+
+
+def tree_input(data):
+    return prep.class_weights(prep.missing_flag_fill(data, prep.FEATURES), "is_churn")
+
+
+@query("T1 E1 E3 E5 E7 T5")
+def train_lr(t):
+    data = labelled(t)
+    model, ready = training.train_linear(data, c=1.0, max_iter=50)
+    return training.evaluate_model(model, ready.transform(data), "lr")
+
+
+@query("T2 T5")
+def train_rf(t):
+    data = tree_input(labelled(t))
+    return training.evaluate_model(models.fit_rf(data.where("split = 'train'"), TREE, **RF), data, "rf")
+
+
+@query("T3 E8 T5")
+def train_gbt(t):
+    data = prep.with_pos_weight(prep.missing_flag_fill(labelled(t), prep.FEATURES), "is_churn")
+    return training.evaluate_model(models.fit_gbt(data.where("split = 'train'"), TREE, **GBT), data, "gbt")
+
+
+@query("T4 T11 M6")
+def random_search(t):
+    data = splits.assign_folds(tree_input(labelled(t)), "is_churn", 3)
+    space = {**models.RF_SPACE, "trees": lambda r: r.randrange(5, 10), "depth": lambda r: r.choice([2, 4])}
+    candidates = models.draw_params(space, 2)
+    found = models.random_search(data, TREE, models.forest, candidates, 3)
+    return models.cv_results(t.spark, found, candidates)
+
+
+@query("T6 K3")
+def importances(t):
+    model = models.fit_rf(tree_input(labelled(t)), TREE, **RF)
+    return models.top_features(models.importances(t.spark, model, TREE), 20)
+
+
+@query("T6 K3")
+def coefficients(t):
+    model, ready = training.train_linear(labelled(t), c=1.0, penalty="l1", max_iter=50)
+    return models.top_features(models.importances(t.spark, model, ready.columns), 20)
+
+
+@query("T7 K4 T5")
+def compare_models(t):
+    data = tree_input(labelled(t))
+    train = data.where("split = 'train'")
+    scored = {
+        "rf": training.evaluate_model(models.fit_rf(train, TREE, **RF), data, "rf"),
+        "gbt": training.evaluate_model(models.fit_gbt(train, TREE, **GBT), data, "gbt"),
+    }
+    return models.best_model(models.compare(scored))
+
+
+@query("T8 T10")
+def score_snapshots(t):
+    data = labelled(t)
+    model, ready = training.train_linear(data, max_iter=20)
+    return models.score(model, ready.transform(data), "lr")
+
+
+@query("Q11 T8")
+def monitor_scores(t):
+    data = labelled(t)
+    model, ready = training.train_linear(data, max_iter=20)
+    scored = models.score(model, ready.transform(data), "lr")
+    base = scored.where("snapshot_date < DATE'2024-01-17'")
+    cur = scored.where("snapshot_date >= DATE'2024-01-17'")
+    return monitor.monitor(base, cur, "churn_proba", t.f_label)

@@ -1 +1,143 @@
+"""Profiles and distributions."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import profile as p
+from ..operators.timeline import METRICS
+from .base import query
+
+
+@query("A11 K1", """SELECT payment_method_id, count(*) AS count, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM o_txn) * 100 AS percentage
+    FROM o_txn GROUP BY payment_method_id""", ["percentage"], digits=2)
+def distribution(t):
+    return p.distribution(t.o_txn, "payment_method_id")
+
+
+@query("A11", """SELECT is_churn, count(*) AS count, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM o_label) * 100 AS percentage
+    FROM o_label GROUP BY is_churn""", ["percentage"], digits=2)
+def class_balance(t):
+    return p.distribution(t.o_label, "is_churn")
+
+
+@query("A12 K1", """
+    SELECT CAST(year(transaction_date) AS INTEGER) AS year, payment_plan_days, count(*) AS count,
+           CAST(count(*) AS DOUBLE) / sum(count(*)) OVER (PARTITION BY year(transaction_date)) * 100 AS percentage
+    FROM o_txn GROUP BY year(transaction_date), payment_plan_days""", ["percentage"], digits=2)
+def distribution_by_year(t):
+    return p.distribution(t.o_txn.withColumn("year", F.year("transaction_date")), "payment_plan_days", ["year"])
+
+
+@query("K2", "SELECT city_clean, count(*) AS measure FROM o_members GROUP BY city_clean ORDER BY measure DESC, city_clean NULLS FIRST LIMIT 5")
+def top_categories(t):
+    return p.top_categories(t.o_members, "city_clean", k=5)
+
+
+@query("K2", """SELECT l_suppkey, max(l_extendedprice) AS measure FROM lineitem GROUP BY l_suppkey
+    ORDER BY measure DESC, l_suppkey LIMIT 20""")
+def top_categories_by_value(t):
+    return p.top_categories(t.raw("lineitem"), "l_suppkey", F.max("l_extendedprice"), 20)
+
+
+def _profile_sql(cols, src):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS count, avg(CAST({c} AS DOUBLE)) AS mean, stddev_samp(CAST({c} AS DOUBLE)) AS std, "
+        f"min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max FROM {src}" for c in cols)
+
+
+@query("A17", _profile_sql(METRICS, "f_logs"), {"mean": 6, "std": 6})
+def profile(t):
+    return p.profile(t.f_logs, METRICS)
+
+
+@query("A17", "SELECT 'num_snapshots' AS \"column\", count(*) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS DOUBLE) AS min, CAST(max(n) AS DOUBLE) AS max FROM (SELECT count(*) AS n FROM o_label GROUP BY msno)", {"mean": 6, "std": 6})
+def label_frequency_profile(t):
+    from ..operators.labels import label_rate_by_entity
+
+    return p.profile(label_rate_by_entity(t.o_label), ["num_snapshots"])
+
+
+@query("A23", """
+    SELECT 'transaction_date' AS "column", CAST(min(transaction_date) AS VARCHAR) AS min, CAST(max(transaction_date) AS VARCHAR) AS max FROM o_txn
+    UNION ALL SELECT 'plan_list_price', CAST(min(plan_list_price) AS VARCHAR), CAST(max(plan_list_price) AS VARCHAR) FROM o_txn""")
+def ranges(t):
+    return p.ranges(t.o_txn, ["transaction_date", "plan_list_price"])
+
+
+def _quantile_sql(cols, src):
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", min(CAST({c} AS DOUBLE)) AS min, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median, "
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.99) AS p99, max(CAST({c} AS DOUBLE)) AS max FROM {src}" for c in cols)
+
+
+@query("A18", _quantile_sql(METRICS, "f_logs"), ["median", "p99"])
+def quantile_profile(t):
+    return p.quantile_profile(t.f_logs, METRICS, exact=True)
+
+
+LINE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("A18", _quantile_sql(LINE, "lineitem"), ["median", "p99"])
+def quantile_profile_lines(t):
+    return p.quantile_profile(t.raw("lineitem"), LINE, exact=True)
+
+
+@query("A18", None)
+def quantile_profile_sketch(t):
+    return p.quantile_profile(t.raw("lineitem"), LINE)
+
+
+@query("A19", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END AS \"distinct\" FROM o_members"
+    for c in ("msno", "city_clean", "registered_via", "registration_date")))
+def null_profile(t):
+    return p.null_profile(t.o_members)
+
+
+@query("A20", """SELECT l_orderkey, l_linenumber, count(*) AS count FROM lineitem
+    GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def duplicates(t):
+    return p.duplicates(t.raw("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("A20", """SELECT count(*) AS total_rows, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS unique_rows,
+    count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_rows FROM lineitem""")
+def duplicate_report(t):
+    return p.duplicate_report(t.raw("lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query("A22", """SELECT count(*) AS n_rows, count(*) FILTER (WHERE city_clean IS NULL) AS n_city_null,
+    count(*) FILTER (WHERE registration_date > DATE '1995-06-01') AS n_late FROM o_members""")
+def qc(t):
+    return p.qc(t.o_members, {"n_city_null": F.col("city_clean").isNull(),
+                              "n_late": F.col("registration_date") > F.lit("1995-06-01").cast("date")})
+
+
+@query("A22", """SELECT count(*) AS n_rows, count(*) FILTER (WHERE num_25 < 0 OR num_50 < 0 OR num_75 < 0 OR num_985 < 0
+    OR num_100 < 0 OR num_unq < 0 OR total_secs < 0) AS n_negative, count(*) FILTER (WHERE total_secs > 86400) AS n_over_day FROM f_logs""")
+def log_quality(t):
+    return p.qc(t.f_logs, p.log_quality_rules(METRICS))
+
+
+@query("A27", """SELECT m.city_clean IS NULL AS is_missing, count(*) AS n, avg(CAST(l.is_churn AS DOUBLE)) AS label_rate
+    FROM o_label l JOIN o_members m ON m.msno = l.msno GROUP BY m.city_clean IS NULL""", ["label_rate"])
+def rate_by_missing(t):
+    return p.rate_by_missing(t.o_label.join(t.o_members, "msno"), "city_clean", "is_churn")
+
+
+@query("A28", """SELECT CAST(year(transaction_date) AS INTEGER) AS year, CAST(month(transaction_date) AS INTEGER) AS month,
+    count(*) AS count, count(DISTINCT msno) AS distinct_msno FROM o_txn GROUP BY ALL""")
+def count_by_month(t):
+    from ..functions.columns import with_year_month
+
+    return p.count_by(with_year_month(t.o_txn, "transaction_date", numeric=False), ["year", "month"], "msno")
+
+
+@query("A30", " UNION ALL ".join(f"""
+    SELECT {h} AS horizon, DATE '2024-01-20' - {h - 1} AS expected_start, DATE '2024-01-20' AS expected_end,
+           min(date) AS actual_start, max(date) AS actual_end, count(DISTINCT msno) AS entities
+    FROM f_logs WHERE date BETWEEN DATE '2024-01-20' - {h - 1} AND DATE '2024-01-20'""" for h in (30, 7)))
+def window_coverage(t):
+    return p.window_coverage(t.f_logs, "2024-01-20")

@@ -203,7 +203,7 @@ def drift_status(psi_row: DataFrame, warn: float = 0.2, crit: float = 0.3) -> Da
 def score_vs_label(preds: DataFrame, labels: DataFrame, label: str, keys=("msno", "snapshot_date")) -> DataFrame:
     """Predictions with their label; ``matched`` tells whether one was found."""
     known = labels.select(*keys, F.col(label).cast("int").alias("label"), F.lit(True).alias("matched"))
-    return preds.join(known, list(keys), "left").na.fill({"matched": False})
+    return preds.drop("label", "matched").join(known, list(keys), "left").na.fill({"matched": False})
 
 
 def _melt(row: DataFrame, section: str, cols: Sequence[str] | None = None) -> DataFrame:

@@ -22,7 +22,7 @@ def session(cpus: int = 8):
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
-        .config("spark.driver.memory", "8g").getOrCreate())
+        .config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
