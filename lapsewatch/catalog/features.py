@@ -374,11 +374,19 @@ STORE_SQL = f"""
 STORE_DOUBLES = {**DOUBLES, "registered_via_freq": 6, "city_freq": 6, "auto_renew_share": 6}
 
 
-@query("J1 J2 J14 P9 P10", STORE_SQL, STORE_DOUBLES)
+@query("J3 J6 J7 A1 A8 P9 P10", STORE_SQL, STORE_DOUBLES)
 def feature_store(t):
     return medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END)
 
 
+@query("J2 J14 P9 P10", STORE_SQL, STORE_DOUBLES)
+def assembled_features(t):
+    """The same table from separately built blocks joined together."""
+    base = snapshots.attach_members(t.f_snap, members.member_snapshots(t.f_members, START, END))
+    activity = timeline.activity_features(t.f_logs, t.f_snap).drop(*medallion.DAILY_SUMS)
+    return snapshots.assemble(base, [activity, timeline.transaction_features(t.f_txn, base)])
+
+
 @query("J1", f"""SELECT f.*, l.is_churn FROM ({STORE_SQL}) f JOIN f_label l
     ON l.msno = f.msno AND l.snapshot_date = f.snapshot_date""", STORE_DOUBLES)
 def training_set(t):

@@ -17,13 +17,19 @@ BUCKETS = 128
 
 
 def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str = "_bucket") -> DataFrame:
-    """Add a bucket number that grows with ``value`` and holds about equally many rows."""
+    """Add a bucket number that grows with ``value`` and holds about equally many rows.
+
+    ``buckets`` is a power of two. The number of cuts below a value is found by halving, one projection
+    per step, so the whole search is compiled.
+    """
     cuts = df.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], buckets * 20).alias("c"))
-    return (
-        df.withColumn("_cuts", cuts.scalar())
-        .withColumn(name, F.size(F.filter("_cuts", lambda c: c < F.col(value))))
-        .drop("_cuts")
-    )
+    out = df.withColumns({"_cuts": cuts.scalar(), name: F.lit(0)})
+    step = buckets // 2
+    while step:
+        above = F.col(value) > F.get("_cuts", F.col(name) + (step - 1))
+        out = out.withColumn(name, F.col(name) + F.when(above, step).otherwise(0))
+        step //= 2
+    return out.drop("_cuts")
 
 
 def hash_buckets(df: DataFrame, hex_digest: str, name: str = "_bucket") -> DataFrame:

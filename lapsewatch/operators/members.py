@@ -42,37 +42,25 @@ def add_category_freq(df: DataFrame, cats: Sequence[str]) -> DataFrame:
     return df.na.fill(0.0, subset=[f"{c}_freq" for c in cats])
 
 
-def _running_counts(members: DataFrame, cats: Sequence[str], start: str, end: str) -> DataFrame:
-    """Members registered up to each day of the range, per category.
+def running_category_freq(members: DataFrame, cat: str, start: str, end: str) -> DataFrame:
+    """Category share among the members registered by each day. Size: categories x days.
 
-    Registrations are first counted per (category, day); days before the range fall on its first day.
+    Registrations are counted per (category, day) first; days before the range fall on its first day.
+    Each running count holds until the category's next registration day, so it expands to those days.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
     daily = (
         members.where(F.col("registration_date") <= last)
-        .groupBy(*cats, F.greatest(first, "registration_date").alias("snapshot_date"))
+        .groupBy(cat, F.greatest(first, "registration_date").alias("_day"))
         .agg(F.count(F.lit(1)).alias("_new"))
     )
-    # each category's first day fans out to its days; counts of the real days are laid over that
-    spans = daily.groupBy(*cats).agg(F.min("snapshot_date").alias("_from"))
-    days = spans.select(
-        *cats, F.explode(F.sequence("_from", last, F.expr("interval 1 day"))).alias("snapshot_date"),
-        F.lit(0).cast("long").alias("_new"))
-    group = Window.partitionBy(*(cats or [F.lit(0)])).orderBy("snapshot_date")
-    return (
-        daily.unionByName(days)
-        .groupBy(*cats, "snapshot_date").agg(F.sum("_new").alias("_new"))
-        .withColumn("_count", F.sum("_new").over(group.rowsBetween(Window.unboundedPreceding, 0)))
-        .drop("_new")
-    )
-
-
-def running_category_freq(members: DataFrame, cat: str, start: str, end: str) -> DataFrame:
-    """Category share among the members registered by each day. Size: categories x days."""
-    counts = _running_counts(members, [cat], start, end)
-    totals = _running_counts(members, [], start, end).withColumnRenamed("_count", "_total")
-    return counts.join(totals, "snapshot_date", "inner").select(
-        "snapshot_date", cat, (F.col("_count") / F.col("_total")).alias(f"{cat}_freq"))
+    in_time = Window.partitionBy(cat).orderBy("_day")
+    until = F.coalesce(F.date_sub(F.lead("_day").over(in_time), 1), last)
+    dense = daily.withColumns({
+        "_count": F.sum("_new").over(in_time), "_until": until,
+    }).select(cat, "_count", F.explode(F.sequence("_day", "_until", F.expr("interval 1 day"))).alias("snapshot_date"))
+    total = F.sum("_count").over(Window.partitionBy("snapshot_date"))
+    return dense.select("snapshot_date", cat, (F.col("_count") / total).alias(f"{cat}_freq"))
 
 
 def _finish(dated: DataFrame, members: DataFrame, start: str, end: str) -> DataFrame:
@@ -81,7 +69,9 @@ def _finish(dated: DataFrame, members: DataFrame, start: str, end: str) -> DataF
     for cat, name in names.items():
         freq = running_category_freq(members, cat, start, end).withColumnRenamed(f"{cat}_freq", name)
         out = out.join(freq, ["snapshot_date", cat], "left")
-    return out.na.fill(0.0, subset=list(names.values())).select(
+    known = F.col("registration_date").isNotNull()
+    out = out.withColumns({n: F.when(known, F.coalesce(F.col(n), F.lit(0.0))) for n in names.values()})
+    return out.select(
         "snapshot_date", "msno", "city_clean", "registered_via", "registration_date",
         "tenure_days_at_snapshot", "registered_via_freq", "city_freq")
 
@@ -92,9 +82,13 @@ def member_snapshots(members: DataFrame, start: str, end: str) -> DataFrame:
     return _finish(grid, members, start, end)
 
 
-def members_asof(members: DataFrame, pairs: DataFrame, start: str, end: str) -> DataFrame:
-    """Member rows only for the (msno, snapshot_date) pairs asked for, all dated within start..end."""
-    wanted = pairs.select("msno", "snapshot_date").distinct()
-    dated = wanted.join(members.select(*KEEP), "msno", "inner").where(
-        F.col("registration_date") <= F.col("snapshot_date"))
+def members_asof(members: DataFrame, pairs: DataFrame, start: str, end: str, how: str = "inner") -> DataFrame:
+    """Member rows only for the (msno, snapshot_date) pairs asked for, all dated within start..end.
+
+    A member not yet registered on the date is left out, or kept with NULLs when ``how`` is ``left``.
+    The pairs are taken as unique.
+    """
+    m = members.select(*KEEP).withColumnRenamed("msno", "_msno")
+    known = (F.col("msno") == F.col("_msno")) & (F.col("registration_date") <= F.col("snapshot_date"))
+    dated = pairs.select("msno", "snapshot_date").join(m, known, how).drop("_msno")
     return _finish(dated, members, start, end)

@@ -28,11 +28,17 @@ def observations(snaps: DataFrame, keep: Sequence[str] = (), key: str = "msno")
     return snaps.select(key, F.col("snapshot_date").cast("date").alias("snapshot_date"), *keep).distinct()
 
 
-def merged_timeline(daily: DataFrame, obs: DataFrame, date: str, key: str = "msno") -> DataFrame:
-    """Union of daily facts and observation rows with a common day number."""
-    facts = daily.withColumn(DAY, F.unix_date(date)).drop(date).withColumn("_fact", F.lit(1))
-    seen = obs.withColumn(DAY, F.unix_date("snapshot_date"))
-    return facts.unionByName(seen, allowMissingColumns=True)
+def day_facts(daily: DataFrame, date: str, flag: str = "_fact") -> DataFrame:
+    """Daily facts with their day number and a marker column."""
+    return daily.withColumns({DAY: F.unix_date(date), flag: F.lit(1)}).drop(date)
+
+
+def merged_timeline(obs: DataFrame, *facts: DataFrame) -> DataFrame:
+    """Union of daily fact rows and observation rows on one day number."""
+    line = obs.withColumn(DAY, F.unix_date("snapshot_date"))
+    for rows in facts:
+        line = line.unionByName(rows, allowMissingColumns=True)
+    return line
 
 
 def frame(lo: int, hi: int, key: str = "msno"):
@@ -44,6 +50,99 @@ def is_observation() -> Column:
     return F.col("snapshot_date").isNotNull()
 
 
+class Activity:
+    """Listening features over a wide and a narrow window ending the day before, or on, the observation."""
+
+    def __init__(self, metrics: Sequence[str] = METRICS, wide: int = 30, narrow: int = 7, include_today: bool = False):
+        self.metrics, self.wide, self.narrow = list(metrics), wide, narrow
+        self.end = 0 if include_today else -1
+
+    def facts(self, logs: DataFrame, key: str, date: str) -> DataFrame:
+        daily = logs.groupBy(key, F.col(date).cast("date").alias(date)).agg(*[F.sum(m).alias(m) for m in self.metrics])
+        return day_facts(daily.where(F.col(date).isNotNull()), date, "_logged")
+
+    def windows(self, line: DataFrame, key: str) -> DataFrame:
+        wide = frame(self.end - self.wide + 1, self.end, key)
+        narrow = frame(self.end - self.narrow + 1, self.end, key)
+        so_far = frame(EVER, 0, key)
+        # Rank of the log day in the history; inside a window, rank - first rank + 1 is the day index.
+        line = line.withColumn("_rank", F.when(F.col("_logged") == 1, F.sum("_logged").over(so_far)))
+        line = line.withColumns({
+            "_rank_secs": F.col("_rank") * F.col("total_secs"),
+            "_rank_y": F.when(F.col("total_secs").isNotNull(), F.col("_rank")),
+            "_log_day": F.when(F.col("_logged") == 1, F.col(DAY)),
+        })
+        return line.withColumns({
+            **{f"_w_{m}": F.sum(m).over(wide) for m in self.metrics},
+            "_n": F.count("_logged").over(wide),
+            "_ny": F.count("total_secs").over(wide),
+            "_first": F.min("_rank").over(wide),
+            "_sum_rank_secs": F.sum("_rank_secs").over(wide),
+            "_sum_rank_y": F.sum("_rank_y").over(wide),
+            "_narrow": F.sum("total_secs").over(narrow),
+            "_last_log": F.max("_log_day").over(so_far),
+        })
+
+    def columns(self, keep_inactive: bool = False) -> dict[str, Column]:
+        """Feature columns: NULL without a log day in the wide window, or 0 with ``keep_inactive``."""
+        n, ny, secs = F.col("_n"), F.col("_ny"), F.col("_w_total_secs")
+        # slope of total_secs over the day index; the index counts every log day
+        shift = F.col("_first") - 1
+        mean_xy = (F.col("_sum_rank_secs") - shift * secs) / ny
+        mean_x = (F.col("_sum_rank_y") - shift * ny) / ny
+        trend = (mean_xy - mean_x * secs / ny) / ((n * n - 1) / F.lit(12.0))
+        w, nr = self.wide, self.narrow
+        cols = {f"{m}_w{w}_sum": F.col(f"_w_{m}") for m in self.metrics if m != "total_secs"}
+        cols |= {
+            f"sum_secs_w{w}": F.coalesce(secs, F.lit(0.0)),
+            f"active_days_w{w}": n,
+            f"complete_rate_w{w}": F.coalesce(safe_ratio("_w_num_100", "_w_num_unq"), F.lit(0.0)),
+            f"sum_secs_w{nr}": F.coalesce("_narrow", F.lit(0.0)),
+            f"engagement_ratio_{nr}_{w}": F.coalesce(safe_ratio("_narrow", secs), F.lit(0.0)),
+            "days_since_last_play": F.unix_date("snapshot_date") - F.col("_last_log"),
+            f"trend_secs_w{w}": F.when((n > 1) & (ny > 0), trend).otherwise(F.lit(0.0)),
+        }
+        if keep_inactive:
+            return {c: F.coalesce(v, F.lit(0)) for c, v in cols.items()}
+        return {c: F.when(n > 0, v) for c, v in cols.items()}
+
+
+class Payments:
+    """Latest transaction on or before the observation and the share of auto-renewals so far.
+
+    Among transactions of one day the greatest ``tie_break`` tuple wins, then flag and price.
+    """
+
+    def __init__(self, tie_break: Sequence[str] = ("membership_expire_date",)):
+        self.tie_break = list(tie_break)
+
+    def facts(self, txn: DataFrame, key: str, date: str = "transaction_date") -> DataFrame:
+        ties = [F.col(c).alias(f"_t{i}") for i, c in enumerate(self.tie_break)]
+        daily = txn.groupBy(key, F.col(date).cast("date").alias(date)).agg(
+            F.max(F.struct(*ties, "is_auto_renew", "plan_list_price")).alias("_row"),
+            F.sum(F.when(F.col("is_auto_renew") == 1, 1).otherwise(0)).alias("_renewing"),
+            F.count(F.lit(1)).alias("_payments"),
+        )
+        return day_facts(daily.where(F.col(date).isNotNull()).withColumn("_paid_on", F.col(date)), date, "_paid")
+
+    def windows(self, line: DataFrame, key: str) -> DataFrame:
+        so_far = frame(EVER, 0, key)
+        return line.withColumns({
+            "_hit": F.last("_row", ignorenulls=True).over(so_far),
+            "_hit_date": F.last("_paid_on", ignorenulls=True).over(so_far),
+            "_renewing_sum": F.sum("_renewing").over(so_far),
+            "_payment_sum": F.sum("_payments").over(so_far),
+        })
+
+    def columns(self) -> dict[str, Column]:
+        return {
+            "tenure_days": F.coalesce(F.datediff("_hit_date", "registration_date"), F.lit(0)),
+            "last_is_auto_renew": F.coalesce("_hit.is_auto_renew", F.lit(0)),
+            "last_plan_list_price": F.coalesce("_hit.plan_list_price", F.lit(0)),
+            "auto_renew_share": F.coalesce(safe_ratio("_renewing_sum", "_payment_sum"), F.lit(0.0)),
+        }
+
+
 def activity_features(
     logs: DataFrame,
     snaps: DataFrame,
@@ -55,68 +154,60 @@ def activity_features(
     key: str = "msno",
     date: str = "date",
 ) -> DataFrame:
-    """Windowed sums, active days, completion rate, 7/30 ratio, recency and trend in one pass.
+    """Windowed sums, active days, completion rate, narrow/wide ratio, recency and trend in one pass.
 
     The training form looks at [d-wide, d-1]; ``include_today`` shifts both windows to end on d.
     Observations without any log day in the wide window are left out, as the feature block starts
     from the wide aggregate; ``keep_inactive`` keeps them with zeros.
     """
-    daily = logs.groupBy(key, F.col(date).cast("date").alias(date)).agg(
-        *[F.sum(m).alias(m) for m in metrics]
-    ).where(F.col(date).isNotNull())
-    end = 0 if include_today else -1
-    w_wide = frame(end - wide + 1, end, key)
-    w_narrow = frame(end - narrow + 1, end, key)
-    so_far = frame(EVER, 0, key)
-    line = merged_timeline(daily, observations(snaps, key=key), date, key)
-
-    # Rank of the log day in the entity's history; inside a window, rank - first rank + 1 is the day index.
-    line = line.withColumn("_rank", F.when(F.col("_fact") == 1, F.sum("_fact").over(so_far)))
-    line = line.withColumn("_rank_secs", F.col("_rank") * F.col("total_secs"))
-    sums = {f"{m}_w{wide}_sum": F.sum(m).over(w_wide) for m in metrics}
-    feats = line.withColumns({
-        **sums,
-        "_n": F.count("_fact").over(w_wide),
-        # the slope uses the days that have a total only; day indexes still count every log day
-        "_ny": F.count("total_secs").over(w_wide),
-        "_first": F.min("_rank").over(w_wide),
-        "_sum_rank_secs": F.sum("_rank_secs").over(w_wide),
-        "_sum_rank_y": F.sum(F.when(F.col("total_secs").isNotNull(), F.col("_rank"))).over(w_wide),
-        f"sum_secs_w{narrow}": F.sum("total_secs").over(w_narrow),
-        "_last_day": F.max(F.when(F.col("_fact") == 1, F.col(DAY))).over(so_far),
-    }).where(is_observation())
-    if not keep_inactive:
-        feats = feats.where(F.col("_n") > 0)
-
-    n, ny, secs = F.col("_n"), F.col("_ny"), F.col(f"total_secs_w{wide}_sum")
-    shift = F.col("_first") - 1
-    mean_xy = (F.col("_sum_rank_secs") - shift * secs) / ny
-    mean_x = (F.col("_sum_rank_y") - shift * ny) / ny
-    covar = mean_xy - mean_x * secs / ny
-    variance = (n * n - 1) / F.lit(12.0)
-    trend = F.when((n > 1) & (ny > 0), covar / variance).otherwise(F.lit(0.0))
-    wide_secs, narrow_secs = f"sum_secs_w{wide}", f"sum_secs_w{narrow}"
-    out = feats.select(
-        key, "snapshot_date",
-        *[f"{m}_w{wide}_sum" for m in metrics if m != "total_secs"],
-        F.coalesce(secs, F.lit(0.0)).alias(wide_secs),
-        n.alias(f"active_days_w{wide}"),
-        F.coalesce(safe_ratio(f"num_100_w{wide}_sum", f"num_unq_w{wide}_sum"), F.lit(0.0)).alias(
-            f"complete_rate_w{wide}"),
-        F.coalesce(narrow_secs, F.lit(0.0)).alias(narrow_secs),
-        F.coalesce(safe_ratio(F.col(narrow_secs), secs), F.lit(0.0)).alias(f"engagement_ratio_{narrow}_{wide}"),
-        (F.unix_date("snapshot_date") - F.col("_last_day")).alias("days_since_last_play"),
-        F.coalesce(trend, F.lit(0.0)).alias(f"trend_secs_w{wide}"),
-    )
-    if keep_inactive:
-        out = out.na.fill(0)
-    return out
+    act = Activity(metrics, wide, narrow, include_today)
+    line = act.windows(merged_timeline(observations(snaps, key=key), act.facts(logs, key, date)), key)
+    rows = line.where(is_observation() if keep_inactive else is_observation() & (F.col("_n") > 0))
+    return rows.select(key, "snapshot_date", *[c.alias(n) for n, c in act.columns(keep_inactive).items()])
+
+
+def transaction_features(
+    txn: DataFrame,
+    registered: DataFrame,
+    tie_break: Sequence[str] = ("membership_expire_date",),
+    key: str = "msno",
+) -> DataFrame:
+    """Tenure to the latest transaction, its renewal flag and price, and the auto-renew share.
+
+    ``registered`` holds (entity, snapshot_date, registration_date). Every observation is kept, with
+    zeros where there is no transaction yet. One shuffle of daily rows serves all four features.
+    """
+    pay = Payments(tie_break)
+    line = merged_timeline(observations(registered, ["registration_date"], key), pay.facts(txn, key))
+    rows = pay.windows(line, key).where(is_observation())
+    return rows.select(key, "snapshot_date", *[c.alias(n) for n, c in pay.columns().items()])
+
+
+def observation_features(
+    base: DataFrame,
+    logs: DataFrame,
+    txn: DataFrame,
+    activity: Activity,
+    payments: Payments,
+    keep_inactive: bool = False,
+    key: str = "msno",
+    date: str = "date",
+) -> DataFrame:
+    """Activity and transaction features of ``base`` rows on one common timeline.
+
+    ``base`` has one row per (entity, snapshot_date); all its columns travel along, so the blocks
+    need no joins: logs, transactions and observations meet in a single shuffle by entity.
+    """
+    line = merged_timeline(base, activity.facts(logs, key, date), payments.facts(txn, key))
+    rows = payments.windows(activity.windows(line, key), key).where(is_observation())
+    feats = activity.columns(keep_inactive) | payments.columns()
+    return rows.select(*base.columns, *[c.alias(n) for n, c in feats.items()])
 
 
 def recency(facts: DataFrame, snaps: DataFrame, date: str = "date", key: str = "msno") -> DataFrame:
     """Days since the last fact on or before each observation; observations without one are left out."""
     days = facts.select(key, F.col(date).cast("date").alias(date)).dropna().distinct()
-    line = merged_timeline(days, observations(snaps, key=key), date, key)
+    line = merged_timeline(observations(snaps, key=key), day_facts(days, date))
     last = F.max(F.when(F.col("_fact") == 1, F.col(DAY))).over(frame(EVER, 0, key))
     return (
         line.withColumn("_last", last)
@@ -142,7 +233,7 @@ def asof_latest(
                             *[F.col(v) for v in values]))
     daily = facts.groupBy(key, F.col(date).cast("date").alias(date)).agg(winner.alias("_row"))
     daily = daily.where(F.col(date).isNotNull()).withColumn("_date", F.col(date))
-    line = merged_timeline(daily, observations(snaps, key=key), date, key)
+    line = merged_timeline(observations(snaps, key=key), day_facts(daily, date))
     so_far = frame(EVER, 0, key)
     return (
         line.withColumns({
@@ -166,7 +257,7 @@ def history_totals(
     daily = facts.groupBy(key, F.col(date).cast("date").alias(date)).agg(
         *[F.sum(c).alias(n) for n, c in sums.items()]
     ).where(F.col(date).isNotNull())
-    line = merged_timeline(daily, observations(snaps, key=key), date, key)
+    line = merged_timeline(observations(snaps, key=key), day_facts(daily, date))
     so_far = frame(EVER, 0, key)
     return (
         line.withColumns({n: F.sum(n).over(so_far) for n in sums} | {"_seen": F.count("_fact").over(so_far)})
@@ -184,41 +275,6 @@ def auto_renew_share(txn: DataFrame, snaps: DataFrame, key: str = "msno") -> Dat
     return totals.withColumn("auto_renew_share", safe_ratio("auto_renew_count", "total_tx_before_expire"))
 
 
-def transaction_features(
-    txn: DataFrame,
-    registered: DataFrame,
-    tie_break: Sequence[str] = ("membership_expire_date",),
-    key: str = "msno",
-) -> DataFrame:
-    """Tenure to the latest transaction, its renewal flag and price, and the auto-renew share.
-
-    ``registered`` holds (entity, snapshot_date, registration_date). Every observation is kept, with
-    zeros where there is no transaction yet. One shuffle of daily rows serves all four features.
-    """
-    date = "transaction_date"
-    daily = txn.groupBy(key, F.col(date).cast("date").alias(date)).agg(
-        F.max(F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)],
-                       "is_auto_renew", "plan_list_price")).alias("_row"),
-        F.sum(F.when(F.col("is_auto_renew") == 1, 1).otherwise(0)).alias("_renewing"),
-        F.count(F.lit(1)).alias("_count"),
-    ).where(F.col(date).isNotNull()).withColumn("_date", F.col(date))
-    line = merged_timeline(daily, observations(registered, ["registration_date"], key), date, key)
-    so_far = frame(EVER, 0, key)
-    hit = line.withColumns({
-        "_hit": F.last("_row", ignorenulls=True).over(so_far),
-        "_hit_date": F.last("_date", ignorenulls=True).over(so_far),
-        "_renewing_sum": F.sum("_renewing").over(so_far),
-        "_count_sum": F.sum("_count").over(so_far),
-    }).where(is_observation())
-    return hit.select(
-        key, "snapshot_date",
-        F.coalesce(F.datediff("_hit_date", "registration_date"), F.lit(0)).alias("tenure_days"),
-        F.coalesce("_hit.is_auto_renew", F.lit(0)).alias("last_is_auto_renew"),
-        F.coalesce("_hit.plan_list_price", F.lit(0)).alias("last_plan_list_price"),
-        F.coalesce(safe_ratio("_renewing_sum", "_count_sum"), F.lit(0.0)).alias("auto_renew_share"),
-    )
-
-
 def latest_table_features(txn: DataFrame, latest: DataFrame, registered: DataFrame, key: str = "msno") -> DataFrame:
     """Transaction block that takes tenure, price and flag from a latest-transaction table.
 

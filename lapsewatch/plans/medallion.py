@@ -12,8 +12,8 @@ from ..operators.labels import churn_label
 from ..operators.latest import expiry_snapshots, latest_transaction
 from ..operators.members import clean_members, members_asof
 from ..operators.outliers import clean_user_logs
-from ..operators.snapshots import assemble, attach_members, registered_asof, snapshot_grid
-from ..operators.timeline import activity_features, transaction_features
+from ..operators.snapshots import registered_asof, snapshot_grid
+from ..operators.timeline import Activity, Payments, observation_features, observations
 from ..functions.columns import coalesce_category, with_year_month
 from ..sources.merge import replace_dates
 from ..sources.writers import write_table
@@ -34,12 +34,13 @@ def silver(members: DataFrame, transactions: DataFrame, user_logs: DataFrame, ex
 
 def feature_store(snaps: DataFrame, members: DataFrame, txn: DataFrame, logs: DataFrame, start: str, end: str,
                   wide: int = 30, narrow: int = 7) -> DataFrame:
-    """All features of each observation. Activity stays NULL without a log day, transactions become 0."""
-    pairs = snaps.select("msno", "snapshot_date").distinct()
-    base = attach_members(pairs, members_asof(members, pairs, start, end))
-    activity = activity_features(logs, pairs, wide=wide, narrow=narrow).drop(*DAILY_SUMS)
-    money = transaction_features(txn, base)
-    return assemble(base, [activity, money])
+    """All features of each observation. Activity stays NULL without a log day, transactions become 0.
+
+    Members are joined on the entity; everything else meets on one timeline, without joins.
+    """
+    base = members_asof(members, observations(snaps), start, end, how="left")
+    feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow), Payments())
+    return feats.drop(*DAILY_SUMS)
 
 
 def label_store(snaps: DataFrame, txn: DataFrame, horizon: int = 30) -> DataFrame:
@@ -51,8 +52,8 @@ def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, star
     kept = members.select("msno", "city_clean", "registered_via", "registration_date")
     base = registered_asof(snapshot_grid(kept, start, end, "registration_date"), F.col("snapshot_date"))
     base = coalesce_category(base, ["registered_via", "city_clean"])
-    activity = activity_features(logs, base, include_today=True, keep_inactive=True).drop(*DAILY_SUMS, "num_unq_w30_sum")
-    return assemble(base, [activity, transaction_features(txn, base)]).na.fill(0)
+    feats = observation_features(base, logs, txn, Activity(include_today=True), Payments(), keep_inactive=True)
+    return feats.drop(*DAILY_SUMS, "num_unq_w30_sum").na.fill(0)
 
 
 def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30) -> None:
