@@ -88,24 +88,22 @@ class Tables:
 
     @property
     def f_txn(self) -> DataFrame:
-        e, day = F.col("event_id"), F.to_date("ts")
-        plan = (1 + e % 7).cast("int")
-        return self.raw("events").where("event_type = 'purchase'").select(
-            F.col("user_id").alias("msno"), e.alias("row_id"), day.alias("transaction_date"),
-            plan.alias("payment_plan_days"), F.date_add(day, plan).alias("membership_expire_date"),
-            F.floor("value").cast("int").alias("plan_list_price"), (e % 2).cast("int").alias("is_auto_renew"),
-            (e % 5 == 0).cast("int").alias("is_cancel"), (e % 4).cast("int").alias("payment_method_id"))
+        return self.raw("events").where("event_type = 'purchase'").selectExpr(
+            "user_id AS msno", "event_id AS row_id", "to_date(ts) AS transaction_date",
+            "CAST(1 + event_id % 7 AS INT) AS payment_plan_days",
+            "date_add(to_date(ts), CAST(1 + event_id % 7 AS INT)) AS membership_expire_date",
+            "CAST(floor(value) AS INT) AS plan_list_price", "CAST(event_id % 2 AS INT) AS is_auto_renew",
+            "CAST(event_id % 5 = 0 AS INT) AS is_cancel", "CAST(event_id % 4 AS INT) AS payment_method_id")
 
     @property
     def f_logs(self) -> DataFrame:
-        kind = lambda v: F.count_if(F.col("event_type") == v)
+        counts = {"num_25": "event_type = 'click'", "num_50": "event_type = 'view'", "num_75": "event_type = 'signup'",
+                  "num_985": "event_type = 'error'", "num_100": "value > 100", "num_unq": "true"}
         return self.raw("events").where("event_type <> 'purchase'").groupBy(
-            F.col("user_id").alias("msno"), F.to_date("ts").alias("date")
+            F.col("user_id").alias("msno"), F.expr("to_date(ts) AS date")
         ).agg(
-            kind("click").alias("num_25"), kind("view").alias("num_50"), kind("signup").alias("num_75"),
-            kind("error").alias("num_985"), F.count_if(F.col("value") > 100).alias("num_100"),
-            F.count(F.lit(1)).alias("num_unq"),
-            F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("total_secs"))
+            *[F.expr(f"count_if({cond}) AS {name}") for name, cond in counts.items()],
+            F.expr("CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_secs"))
 
     @property
     def f_members_raw(self) -> DataFrame:
@@ -151,13 +149,12 @@ class Tables:
 
     @property
     def o_txn(self) -> DataFrame:
-        k, day = F.col("o_orderkey"), F.to_date("o_orderdate")
-        plan = F.when(k % 4 == 0, 30).when(k % 4 == 1, 60).when(k % 4 == 2, 90).otherwise(180)
-        return self.raw("orders").select(
-            F.col("o_custkey").alias("msno"), k.alias("row_id"), day.alias("transaction_date"),
-            plan.alias("payment_plan_days"), F.date_add(day, plan).alias("membership_expire_date"),
-            (k % 10 == 0).cast("int").alias("is_cancel"), (F.col("o_orderstatus") == "O").cast("int").alias("is_auto_renew"),
-            F.floor("o_totalprice").cast("int").alias("plan_list_price"), F.col("o_orderpriority").alias("payment_method_id"))
+        plan = "CASE o_orderkey % 4 WHEN 0 THEN 30 WHEN 1 THEN 60 WHEN 2 THEN 90 ELSE 180 END"
+        return self.raw("orders").selectExpr(
+            "o_custkey AS msno", "o_orderkey AS row_id", "to_date(o_orderdate) AS transaction_date",
+            f"{plan} AS payment_plan_days", f"date_add(to_date(o_orderdate), {plan}) AS membership_expire_date",
+            "CAST(o_orderkey % 10 = 0 AS INT) AS is_cancel", "CAST(o_orderstatus = 'O' AS INT) AS is_auto_renew",
+            "CAST(floor(o_totalprice) AS INT) AS plan_list_price", "o_orderpriority AS payment_method_id")
 
     @property
     def o_members(self) -> DataFrame:

@@ -68,6 +68,20 @@ def running_sums(
     }).drop(bucket, *[f"_o_{n}" for n in sums], *[f"_v_{n}" for n in sums])
 
 
+def holds_rank(rank: Column, n: Column, before: Column) -> Column:
+    """Whether a run of ``n`` equal values with ``before`` smaller ones covers a zero-based rank."""
+    return (rank >= before) & (rank < before + n)
+
+
+def position(p: float | Column, total: Column) -> Column:
+    """Where the p-quantile lies among ``total`` sorted values; between two ranks it is interpolated."""
+    return p * (total - 1)
+
+
+def interpolate(lo: Column, hi: Column, frac: Column) -> Column:
+    return F.when(lo == hi, lo).otherwise(lo * (1 - frac) + hi * frac)
+
+
 def exact_quantiles(
     df: DataFrame,
     cols: Sequence[str],
@@ -80,35 +94,32 @@ def exact_quantiles(
     Rows are first counted per distinct value, so a value held by a third of the rows is one row.
     """
     by = list(by)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in cols])
     counts = (
-        df.select(*by, F.explode(pairs).alias("p"))
-        .select(*by, F.col("p.column").alias("column"), F.col("p.v").alias("v"))
+        df.select(*by, *[F.col(c).cast("double").alias(f"_c_{c}") for c in cols])
+        .unpivot(by, [f"_c_{c}" for c in cols], "column", "v")
         .where(F.col("v").isNotNull())
-        .groupBy(*by, "column", "v")
+        .groupBy(*by, F.substring("column", 4, 1000).alias("column"), "v")
         .agg(F.count(F.lit(1)).alias("n"))
     )
     ranked = running_sums(value_buckets(counts, "v", buckets), [*by, "column"], ["v"], {"n": F.col("n")})
-    probs_lit = F.array(*[F.lit(float(p)) for p in probs])
-    pos = lambda p: p * (F.col("n_total") - 1)
-    last = F.col("n_before") + F.col("n") - 1
-    here = lambda r: (r >= F.col("n_before")) & (r <= last)
-    touched = ranked.withColumn(
-        "_p", F.filter(probs_lit, lambda p: here(F.floor(pos(p))) | here(F.ceil(pos(p))))
-    ).where(F.size("_p") > 0)
-    p = F.col("prob")
-    sides = touched.withColumn("prob", F.explode("_p")).select(
-        *by, "column", "prob",
-        (pos(p) - F.floor(pos(p))).alias("frac"),
-        F.when(here(F.floor(pos(p))), F.col("v")).alias("lo"),
-        F.when(here(F.ceil(pos(p))), F.col("v")).alias("hi"),
-    )
-    found = sides.groupBy(*by, "column", "prob").agg(
-        F.max("lo").alias("lo"), F.max("hi").alias("hi"), F.max("frac").alias("frac")
-    )
-    lo, hi, frac = F.col("lo"), F.col("hi"), F.col("frac")
-    value = F.when(lo == hi, lo).otherwise(lo * (1 - frac) + hi * frac)
-    return found.select(*by, "column", "prob", value.alias("value"))
+    n, before, total = F.col("n"), F.col("n_before"), F.col("n_total")
+
+    def sides(p):
+        pos = position(p, total)
+        return holds_rank(F.floor(pos), n, before), holds_rank(F.ceil(pos), n, before)
+
+    wanted = F.lit(False)
+    for p in probs:
+        lo, hi = sides(F.lit(float(p)))
+        wanted = wanted | lo | hi
+    # few rows remain: at most two per quantile, column and group
+    few = ranked.where(wanted).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
+    lo, hi = sides(F.col("prob"))
+    pos = position(F.col("prob"), total)
+    found = few.groupBy(*by, "column", "prob").agg(
+        F.max(F.when(lo, F.col("v"))).alias("lo"), F.max(F.when(hi, F.col("v"))).alias("hi"),
+        F.max(pos - F.floor(pos)).alias("frac"))
+    return found.select(*by, "column", "prob", interpolate(F.col("lo"), F.col("hi"), F.col("frac")).alias("value"))
 
 
 def sketch_quantiles(

@@ -45,24 +45,26 @@ def _tagged(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
     return both.where(F.col("s").isNotNull())
 
 
-def psi(base: DataFrame, cur: DataFrame, score: str, bins: int = 10, eps: float = 1e-8, exact: bool = True) -> DataFrame:
-    """Population stability index over bins cut at the base quantiles.
+def _bin_index(e: Column, s: Column) -> Column:
+    """1-based bin of a score between sorted edges; the last bin is closed, a single edge is one bin."""
+    return F.least(F.size(F.filter(e, lambda x: x <= s)), F.greatest(F.size(e) - 1, F.lit(1)))
 
-    Equal quantiles merge; the last bin is closed; current scores outside the base range are left
-    out; an empty bin counts as ``eps``. A constant base gives one closed bin. NULL if a side is empty.
-    """
-    q = quantiles(base, [score], [i / bins for i in range(bins + 1)], (), exact)
-    cuts = q.agg(F.sort_array(F.collect_set("value")).alias("e")).scalar()
+
+def _psi(counts: DataFrame, cuts: Column, eps: float) -> DataFrame:
+    """PSI of per-score counts (s, b, c) over the given edges."""
     e, s = F.col("_e"), F.col("s")
-    counted = (
-        _tagged(base, cur, score).withColumn("_e", cuts)
-        .where(s.between(F.element_at(e, 1), F.element_at(e, -1)))
-        .groupBy(F.least(F.size(F.filter(e, lambda x: x <= s)), F.greatest(F.size(e) - 1, F.lit(1))).alias("bin"))
+    binned = (
+        counts.withColumn("_e", cuts)
+        .withColumn("_inside", s.between(F.element_at(e, 1), F.element_at(e, -1)))
+        .groupBy(F.when(F.col("_inside"), _bin_index(e, s)).alias("bin"))
         .agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
     )
-    # at most ``bins`` rows from here on
-    bags = counted.agg(F.collect_list(F.struct("b", "c")).alias("bins"),
-                       F.sum("b").alias("nb"), F.sum("c").alias("nc"))
+    # one row per bin and one for scores outside, from here on
+    inside = F.col("bin").isNotNull()
+    bags = binned.agg(
+        F.collect_list(F.when(inside, F.struct("b", "c"))).alias("bins"),
+        F.sum(F.when(inside, F.col("b"))).alias("nb"), F.sum(F.when(inside, F.col("c"))).alias("nc"),
+        ((F.sum("b") > 0) & (F.sum("c") > 0)).alias("both"))
 
     def share(n: Column, total: Column) -> Column:
         return F.when(n == 0, F.lit(eps)).otherwise(n / (total + F.lit(eps)))
@@ -72,24 +74,49 @@ def psi(base: DataFrame, cur: DataFrame, score: str, bins: int = 10, eps: float
         return (p - a) * F.log(p / a)
 
     value = F.aggregate(F.transform("bins", term), F.lit(0.0), lambda acc, t: acc + t)
-    sizes = _tagged(base, cur, score).agg((F.sum("b") > 0) & (F.sum("c") > 0))
-    return bags.withColumn("_ok", sizes.scalar()).select(F.when(F.col("_ok"), value).alias("psi"))
+    return bags.select(F.when(F.col("both"), value).alias("psi"))
 
 
-def ks(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and its asymptotic p-value."""
-    counts = _tagged(base, cur, score).groupBy("s").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
-    run = running_sums(value_buckets(counts, "s"), [], ["s"], {"nb": F.col("b"), "nc": F.col("c")})
-    gap = F.abs((F.col("nb_before") + F.col("b")) / F.col("nb_total")
-                - (F.col("nc_before") + F.col("c")) / F.col("nc_total"))
-    ok = run.where((F.col("nb_total") > 0) & (F.col("nc_total") > 0))
-    stat = ok.agg(F.max(gap).alias("ks_stat"), F.max("nb_total").alias("n1"), F.max("nc_total").alias("n2"))
-    lam = F.sqrt(F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))) * F.col("ks_stat")
+def psi(base: DataFrame, cur: DataFrame, score: str, bins: int = 10, eps: float = 1e-8, exact: bool = True) -> DataFrame:
+    """Population stability index over bins cut at the base quantiles.
+
+    Equal quantiles merge; the last bin is closed; current scores outside the base range are left
+    out; an empty bin counts as ``eps``. A constant base gives one closed bin. NULL if a side is empty.
+    """
+    q = quantiles(base, [score], [i / bins for i in range(bins + 1)], (), exact)
+    cuts = q.agg(F.sort_array(F.collect_set("value")).alias("e")).scalar()
+    return _psi(_score_counts(base, cur, score), cuts, eps)
+
+
+def _score_counts(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
+    """One row per distinct score with its number of base and current rows."""
+    return _tagged(base, cur, score).groupBy("s").agg(F.sum("b").alias("b"), F.sum("c").alias("c"))
+
+
+def _ranked(counts: DataFrame) -> DataFrame:
+    return running_sums(value_buckets(counts, "s"), [], ["s"], {"nb": F.col("b"), "nc": F.col("c")})
+
+
+def _gap() -> Column:
+    nb, nc = F.col("nb_total"), F.col("nc_total")
+    gap = F.abs((F.col("nb_before") + F.col("b")) / nb - (F.col("nc_before") + F.col("c")) / nc)
+    return F.when((nb > 0) & (nc > 0), gap)
+
+
+def _ks_pvalue(stat: Column, n1: Column, n2: Column) -> Column:
+    lam = F.sqrt(n1 * n2 / (n1 + n2)) * stat
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(100)), F.lit(0.0),
         lambda acc, k: acc + F.when(k % 2 == 1, 2.0).otherwise(-2.0) * F.exp(-2.0 * k * k * lam * lam))
     p = F.when(lam < 0.2, F.lit(1.0)).otherwise(F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0)))
-    return stat.select("ks_stat", F.when(F.col("ks_stat").isNotNull(), p).alias("ks_pvalue"))
+    return F.when(stat.isNotNull(), p)
+
+
+def ks(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov statistic and its asymptotic p-value."""
+    stat = _ranked(_score_counts(base, cur, score)).agg(
+        F.max(_gap()).alias("ks_stat"), F.max("nb_total").alias("n1"), F.max("nc_total").alias("n2"))
+    return stat.select("ks_stat", _ks_pvalue(F.col("ks_stat"), F.col("n1"), F.col("n2")).alias("ks_pvalue"))
 
 
 def _by_score(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataFrame:
@@ -206,37 +233,73 @@ def score_vs_label(preds: DataFrame, labels: DataFrame, label: str, keys=("msno"
     return preds.drop("label", "matched").join(known, list(keys), "left").na.fill({"matched": False})
 
 
-def _melt(row: DataFrame, section: str, cols: Sequence[str] | None = None) -> DataFrame:
-    cols = list(cols or row.columns)
-    items = F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in cols])
-    return row.select(F.explode(items).alias("i")).select(F.lit(section).alias("section"), "i.metric", "i.value")
+def _lines(row: DataFrame, lines: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """SQL expressions over a one-row result as section, metric, value lines."""
+    items = ", ".join(f"struct('{sec}' AS section, '{m}' AS metric, CAST({v} AS DOUBLE) AS value)" for sec, m, v in lines)
+    return row.selectExpr(f"inline(array({items}))")
+
+
+def _deciles_sql(n: str) -> str:
+    """Array of the deciles of one side of a ranked score table, each interpolated between its two neighbours."""
+    values = []
+    for p in DECILES:
+        pos = f"({p}D * (n{n}_total - 1))"
+        at = "max(CASE WHEN {r}({pos}) >= n{n}_before AND {r}({pos}) < n{n}_before + {n} THEN s END)"
+        lo, hi = at.format(r="floor", pos=pos, n=n), at.format(r="ceil", pos=pos, n=n)
+        frac = f"max({pos} - floor({pos}))"
+        values.append(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {frac}) + {hi} * {frac} END")
+    return f"array({', '.join(values)})"
+
+
+def _drift_row(base: DataFrame, cur: DataFrame, score: str, counts: DataFrame, exact: bool) -> DataFrame:
+    """Deciles of both sides (arrays qb, qc), KS statistic and sizes, as one row."""
+    stat = [F.max(_gap()).alias("ks_stat"), F.max("nb_total").alias("n1"), F.max("nc_total").alias("n2")]
+    if not exact:
+        sides = {"qb": "b", "qc": "c"}
+        q = _tagged(base, cur, score).agg(F.struct(*[
+            F.percentile_approx(F.when(F.col(n) == 1, F.col("s")), DECILES, 1000).alias(a) for a, n in sides.items()
+        ]).alias("q"))
+        return _ranked(counts).agg(*stat).withColumn("_q", q.scalar()).select("_q.*", "ks_stat", "n1", "n2")
+    return _ranked(counts).agg(F.expr(_deciles_sql("b")).alias("qb"), F.expr(_deciles_sql("c")).alias("qc"), *stat)
 
 
 def monitor(
     base: DataFrame, cur: DataFrame, score: str, labels: DataFrame | None = None, label: str = "is_churn",
-    exact: bool = True,
+    exact: bool = True, eps: float = 1e-8,
 ) -> DataFrame:
-    """The whole report in long form: section, metric, value."""
-    p = psi(base, cur, score, exact=exact)
-    shift = decile_shift(base, cur, score, exact)
-    deciles = F.array(*[F.struct(F.concat(F.lit(f"{n}_d"), F.col("decile").cast("string")).alias("metric"),
-                                 F.col(n).alias("value")) for n in ("base", "current", "diff")])
-    parts = [
-        _melt(summarise(base, score, exact), "baseline_summary"),
-        _melt(summarise(cur, score, exact), "current_summary"),
-        _melt(ks(base, cur, score), "drift"),
-        _melt(drift_status(p), "drift", ["psi", "code"]),
-        shift.select(F.explode(deciles).alias("d")).select(F.lit("deciles").alias("section"), "d.metric", "d.value"),
-    ]
+    """The whole report in long form: section, metric, value.
+
+    Deciles and KS come from one aggregate over the ranked distinct scores, PSI from a second over
+    their counts, moments from one scan of the scores.
+    """
+    counts = _score_counts(base, cur, score)
+    drift = _drift_row(base, cur, score, counts, exact).withColumn(
+        "ks_pvalue", _ks_pvalue(F.col("ks_stat"), F.col("n1"), F.col("n2")))
+    lines = [("drift", "ks_stat", "ks_stat"), ("drift", "ks_pvalue", "ks_pvalue")]
+    for section, arr in (("baseline_summary", "qb"), ("current_summary", "qc")):
+        lines += [(section, f"p{i * 10}", f"{arr}[{i}]") for i in range(len(DECILES))]
+        lines.append((section, "median", f"{arr}[5]"))
+    for i in range(len(DECILES)):
+        lines += [("deciles", f"base_d{i}", f"qb[{i}]"), ("deciles", f"current_d{i}", f"qc[{i}]"),
+                  ("deciles", f"diff_d{i}", f"qc[{i}] - qb[{i}]")]
+    parts = [_lines(drift, lines)]
+
+    aggs, moments = [], []
+    for section, n in (("baseline_summary", "b"), ("current_summary", "c")):
+        for name, f in (("count", "count"), ("mean", "avg"), ("std", "stddev_pop"), ("min", "min"), ("max", "max")):
+            aggs.append(F.expr(f"{f}(CASE WHEN {n} = 1 THEN s END)").alias(f"{n}_{name}"))
+            moments.append((section, name, f"{n}_{name}"))
+    parts.append(_lines(_tagged(base, cur, score).agg(*aggs), moments))
+
+    cuts = drift.select(F.sort_array(F.array_distinct("qb"))).scalar()
+    parts.append(_lines(drift_status(_psi(counts, cuts, eps)), [("drift", "psi", "psi"), ("drift", "code", "code")]))
+
     if labels is not None:
         both = score_vs_label(cur, labels, label)
         seen = both.where("matched")
-        parts += [
-            _melt(both.agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched")),
-                  "label_metrics"),
-            _melt(roc_auc(seen, score, "label"), "label_metrics"),
-            _melt(classification_metrics(seen, score, "label"), "label_metrics"),
-        ]
+        found = both.agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
+        for row in (found, roc_auc(seen, score, "label"), classification_metrics(seen, score, "label")):
+            parts.append(_lines(row, [("label_metrics", c, f"`{c}`") for c in row.columns]))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
