@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
-_struct = T.StructType.fromDDL
+TYPES = {"string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(), "date": T.DateType()}
+
+
+def _struct(spec: str) -> T.StructType:
+    fields = (f.split() for f in spec.split(","))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in fields])
+
 
 MEMBERS_RAW = _struct(
     "msno string, city int, bd int, gender string, registered_via int, registration_init_time int")
