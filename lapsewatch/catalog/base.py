@@ -130,7 +130,7 @@ class Tables:
     def f_label(self) -> DataFrame:
         from ..operators.labels import churn_label
 
-        return churn_label(self.f_snap, self.f_txn, HORIZON)
+        return churn_label(self.f_snap, self.f_txn, HORIZON, bounds=(START, END))
 
     @property
     def f_score(self) -> DataFrame:

@@ -21,7 +21,7 @@ def churn_rate_by_snapshot(t):
 
 @query("J5 A10 U2", "SELECT snapshot_date, msno, is_churn FROM f_label")
 def churn_labels(t):
-    return labels.churn_label(t.f_snap, t.f_txn, HORIZON)
+    return labels.churn_label(t.f_snap, t.f_txn, HORIZON, bounds=(START, END))
 
 
 @query("J5 A10 U2", "SELECT snapshot_date, msno, is_churn FROM o_label")
@@ -168,12 +168,12 @@ DOUBLES = {"sum_secs_w30": 4, "complete_rate_w30": 6, "sum_secs_w7": 4, "engagem
 
 @query("J2 J3 J7 A1 A2 A3 A4 A5 A6 W5 P9", TRAIN_ACTIVITY, DOUBLES)
 def activity_features(t):
-    return timeline.activity_features(t.f_logs, t.f_snap)
+    return timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END))
 
 
 @query("J4 A1 A2 A3 A4 A5 A6", ACTIVITY_SQL.format(snap="f_snap", lo7="-6", lo30="-29", hi="0"), DOUBLES)
 def activity_features_inclusive(t):
-    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True)
+    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True, bounds=(START, END))
 
 
 @query("J3 A1 A2", """
@@ -383,7 +383,7 @@ def feature_store(t):
 def assembled_features(t):
     """The same table from separately built blocks joined together."""
     base = snapshots.attach_members(t.f_snap, members.member_snapshots(t.f_members, START, END))
-    activity = timeline.activity_features(t.f_logs, t.f_snap).drop(*medallion.DAILY_SUMS)
+    activity = timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END)).drop(*medallion.DAILY_SUMS)
     return snapshots.assemble(base, [activity, timeline.transaction_features(t.f_txn, base)])
 
 

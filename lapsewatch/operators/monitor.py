@@ -263,6 +263,27 @@ def _drift_row(base: DataFrame, cur: DataFrame, score: str, counts: DataFrame, e
     return _ranked(counts).agg(F.expr(_deciles_sql("b")).alias("qb"), F.expr(_deciles_sql("c")).alias("qc"), *stat)
 
 
+def _label_lines(both: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:
+    """Label metrics of matched rows and the match counts, all from one table of counts per distinct score."""
+    y = F.when(F.col(score).isNotNull(), F.col("label"))
+    counts = both.groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
+        F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
+    row = running_sums(value_buckets(counts, "s"), [], ["s"], {"n": F.col("neg")}).selectExpr(
+        "*", f"s >= {threshold}D AS hit").agg(*[F.expr(e) for e in (
+            "coalesce(sum(matched), 0) AS matched", "coalesce(sum(unmatched), 0) AS unmatched",
+            "sum(pos * (n_before + neg * 0.5D)) AS area", "CAST(sum(pos) AS DOUBLE) * sum(neg) AS pairs",
+            "coalesce(sum(CASE WHEN hit THEN pos END), 0) AS tp", "coalesce(sum(CASE WHEN hit THEN neg END), 0) AS fp",
+            "coalesce(sum(CASE WHEN NOT hit THEN pos END), 0) AS fn")])
+    auc = "CASE WHEN pairs > 0 THEN area / pairs END"
+    ratio = "CASE WHEN {d} > 0 THEN {n} / {d} ELSE 0 END"
+    return _lines(row, [("label_metrics", name, expr) for name, expr in {
+        "matched": "matched", "unmatched": "unmatched", "roc_auc": auc, "gini": f"2 * ({auc}) - 1",
+        "precision": ratio.format(n="tp", d="(tp + fp)"), "recall": ratio.format(n="tp", d="(tp + fn)"),
+        "f1": ratio.format(n="2 * tp", d="(2 * tp + fp + fn)"),
+    }.items()])
+
+
 def monitor(
     base: DataFrame, cur: DataFrame, score: str, labels: DataFrame | None = None, label: str = "is_churn",
     exact: bool = True, eps: float = 1e-8,
@@ -295,11 +316,7 @@ def monitor(
     parts.append(_lines(drift_status(_psi(counts, cuts, eps)), [("drift", "psi", "psi"), ("drift", "code", "code")]))
 
     if labels is not None:
-        both = score_vs_label(cur, labels, label)
-        seen = both.where("matched")
-        found = both.agg(F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
-        for row in (found, roc_auc(seen, score, "label"), classification_metrics(seen, score, "label")):
-            parts.append(_lines(row, [("label_metrics", c, f"`{c}`") for c in row.columns]))
+        parts.append(_label_lines(score_vs_label(cur, labels, label), score))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -5,6 +5,10 @@ observation rows are added, and sliding frames over the day number give the valu
 pre-aggregation is map-side combined, so an entity that holds a third of the raw facts reaches the
 shuffle as at most one row per calendar day and map task, and its window partition is bounded by the
 length of the calendar. No pairs of facts and observations are produced.
+
+Facts are also cut to what the observations can see: days after the last observation are dropped, and
+days before the reach of the first one collapse to a single row per entity, which keeps the running
+totals. A run for one date therefore shuffles a window of facts, not the whole history.
 """
 
 from __future__ import annotations
@@ -28,9 +32,31 @@ def observations(snaps: DataFrame, keep: Sequence[str] = (), key: str = "msno")
     return snaps.select(key, F.col("snapshot_date").cast("date").alias("snapshot_date"), *keep).distinct()
 
 
-def day_facts(daily: DataFrame, date: str, flag: str = "_fact") -> DataFrame:
-    """Daily facts with their day number and a marker column."""
-    return daily.withColumns({DAY: F.unix_date(date), flag: F.lit(1)}).drop(date)
+Bounds = tuple[str, str]
+
+
+def visible(facts: DataFrame, date: str, obs: DataFrame, floor: int = 0, ahead: int = 0, bounds: Bounds | None = None,
+            collapse: bool = True) -> DataFrame:
+    """Facts the observations can see, with their day number.
+
+    ``floor`` is relative to the first observation: earlier days become that day (or are dropped when
+    ``collapse`` is off); days more than ``ahead`` after the last observation are dropped. The range of
+    observation dates is ``bounds`` when known, else it is looked up.
+    """
+    day = F.unix_date(F.col(date).cast("date"))
+    if bounds is not None:
+        first, last = (F.lit(b).cast("date") for b in bounds)
+        d = F.col(date)
+        facts = facts.where(d <= F.date_add(last, ahead))
+        if not collapse:
+            facts = facts.where(d >= F.date_add(first, floor))
+        return facts.withColumn(DAY, F.greatest(day, F.unix_date(F.date_add(first, floor))))
+    span = obs.agg(F.struct(F.min(F.unix_date("snapshot_date")).alias("lo"),
+                            F.max(F.unix_date("snapshot_date")).alias("hi"))).scalar()
+    facts = facts.withColumn("_span", span)
+    lo, hi = F.col("_span.lo") + floor, F.col("_span.hi") + ahead
+    seen = facts.where((day <= hi) if collapse else day.between(lo, hi))
+    return seen.withColumn(DAY, F.greatest(day, lo)).drop("_span")
 
 
 def merged_timeline(obs: DataFrame, *facts: DataFrame) -> DataFrame:
@@ -57,9 +83,12 @@ class Activity:
         self.metrics, self.wide, self.narrow = list(metrics), wide, narrow
         self.end = 0 if include_today else -1
 
-    def facts(self, logs: DataFrame, key: str, date: str) -> DataFrame:
-        daily = logs.groupBy(key, F.col(date).cast("date").alias(date)).agg(*[F.sum(m).alias(m) for m in self.metrics])
-        return day_facts(daily.where(F.col(date).isNotNull()), date, "_logged")
+    def facts(self, logs: DataFrame, obs: DataFrame, key: str, date: str, bounds: Bounds | None = None) -> DataFrame:
+        # everything before the first window only matters for the last log day
+        seen = visible(logs, date, obs, floor=self.end - self.wide, bounds=bounds)
+        return seen.groupBy(key, DAY).agg(
+            *[F.sum(m).alias(m) for m in self.metrics], F.max(F.unix_date(F.col(date).cast("date"))).alias("_log_day")
+        ).withColumn("_logged", F.lit(1))
 
     def windows(self, line: DataFrame, key: str) -> DataFrame:
         wide = frame(self.end - self.wide + 1, self.end, key)
@@ -70,7 +99,6 @@ class Activity:
         line = line.withColumns({
             "_rank_secs": F.col("_rank") * F.col("total_secs"),
             "_rank_y": F.when(F.col("total_secs").isNotNull(), F.col("_rank")),
-            "_log_day": F.when(F.col("_logged") == 1, F.col(DAY)),
         })
         return line.withColumns({
             **{f"_w_{m}": F.sum(m).over(wide) for m in self.metrics},
@@ -107,6 +135,12 @@ class Activity:
         return {c: F.when(n > 0, v) for c, v in cols.items()}
 
 
+def latest_row(date: str, tie_break: Sequence[str], values: Sequence[str]) -> Column:
+    """Aggregate: date (``_on``) and values of the latest fact, ties broken by ``tie_break``, then the values."""
+    ties = [F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)]
+    return F.max(F.struct(F.col(date).cast("date").alias("_on"), *ties, *values))
+
+
 class Payments:
     """Latest transaction on or before the observation and the share of auto-renewals so far.
 
@@ -116,27 +150,25 @@ class Payments:
     def __init__(self, tie_break: Sequence[str] = ("membership_expire_date",)):
         self.tie_break = list(tie_break)
 
-    def facts(self, txn: DataFrame, key: str, date: str = "transaction_date") -> DataFrame:
-        ties = [F.col(c).alias(f"_t{i}") for i, c in enumerate(self.tie_break)]
-        daily = txn.groupBy(key, F.col(date).cast("date").alias(date)).agg(
-            F.max(F.struct(*ties, "is_auto_renew", "plan_list_price")).alias("_row"),
+    def facts(self, txn: DataFrame, obs: DataFrame, key: str, date: str = "transaction_date",
+              bounds: Bounds | None = None) -> DataFrame:
+        return visible(txn, date, obs, bounds=bounds).groupBy(key, DAY).agg(
+            latest_row(date, self.tie_break, ["is_auto_renew", "plan_list_price"]).alias("_row"),
             F.sum(F.when(F.col("is_auto_renew") == 1, 1).otherwise(0)).alias("_renewing"),
             F.count(F.lit(1)).alias("_payments"),
         )
-        return day_facts(daily.where(F.col(date).isNotNull()).withColumn("_paid_on", F.col(date)), date, "_paid")
 
     def windows(self, line: DataFrame, key: str) -> DataFrame:
         so_far = frame(EVER, 0, key)
         return line.withColumns({
             "_hit": F.last("_row", ignorenulls=True).over(so_far),
-            "_hit_date": F.last("_paid_on", ignorenulls=True).over(so_far),
             "_renewing_sum": F.sum("_renewing").over(so_far),
             "_payment_sum": F.sum("_payments").over(so_far),
         })
 
     def columns(self) -> dict[str, Column]:
         return {
-            "tenure_days": F.coalesce(F.datediff("_hit_date", "registration_date"), F.lit(0)),
+            "tenure_days": F.coalesce(F.datediff("_hit._on", "registration_date"), F.lit(0)),
             "last_is_auto_renew": F.coalesce("_hit.is_auto_renew", F.lit(0)),
             "last_plan_list_price": F.coalesce("_hit.plan_list_price", F.lit(0)),
             "auto_renew_share": F.coalesce(safe_ratio("_renewing_sum", "_payment_sum"), F.lit(0.0)),
@@ -153,6 +185,7 @@ def activity_features(
     keep_inactive: bool = False,
     key: str = "msno",
     date: str = "date",
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Windowed sums, active days, completion rate, narrow/wide ratio, recency and trend in one pass.
 
@@ -161,7 +194,8 @@ def activity_features(
     from the wide aggregate; ``keep_inactive`` keeps them with zeros.
     """
     act = Activity(metrics, wide, narrow, include_today)
-    line = act.windows(merged_timeline(observations(snaps, key=key), act.facts(logs, key, date)), key)
+    obs = observations(snaps, key=key)
+    line = act.windows(merged_timeline(obs, act.facts(logs, obs, key, date, bounds)), key)
     rows = line.where(is_observation() if keep_inactive else is_observation() & (F.col("_n") > 0))
     return rows.select(key, "snapshot_date", *[c.alias(n) for n, c in act.columns(keep_inactive).items()])
 
@@ -178,7 +212,8 @@ def transaction_features(
     zeros where there is no transaction yet. One shuffle of daily rows serves all four features.
     """
     pay = Payments(tie_break)
-    line = merged_timeline(observations(registered, ["registration_date"], key), pay.facts(txn, key))
+    obs = observations(registered, ["registration_date"], key)
+    line = merged_timeline(obs, pay.facts(txn, obs, key))
     rows = pay.windows(line, key).where(is_observation())
     return rows.select(key, "snapshot_date", *[c.alias(n) for n, c in pay.columns().items()])
 
@@ -192,13 +227,15 @@ def observation_features(
     keep_inactive: bool = False,
     key: str = "msno",
     date: str = "date",
+    bounds: Bounds | None = None,
 ) -> DataFrame:
     """Activity and transaction features of ``base`` rows on one common timeline.
 
     ``base`` has one row per (entity, snapshot_date); all its columns travel along, so the blocks
     need no joins: logs, transactions and observations meet in a single shuffle by entity.
     """
-    line = merged_timeline(base, activity.facts(logs, key, date), payments.facts(txn, key))
+    line = merged_timeline(
+        base, activity.facts(logs, base, key, date, bounds), payments.facts(txn, base, key, bounds=bounds))
     rows = payments.windows(activity.windows(line, key), key).where(is_observation())
     feats = activity.columns(keep_inactive) | payments.columns()
     return rows.select(*base.columns, *[c.alias(n) for n, c in feats.items()])
@@ -206,11 +243,11 @@ def observation_features(
 
 def recency(facts: DataFrame, snaps: DataFrame, date: str = "date", key: str = "msno") -> DataFrame:
     """Days since the last fact on or before each observation; observations without one are left out."""
-    days = facts.select(key, F.col(date).cast("date").alias(date)).dropna().distinct()
-    line = merged_timeline(observations(snaps, key=key), day_facts(days, date))
-    last = F.max(F.when(F.col("_fact") == 1, F.col(DAY))).over(frame(EVER, 0, key))
+    obs = observations(snaps, key=key)
+    days = visible(facts, date, obs).groupBy(key, DAY).agg(F.max(F.unix_date(F.col(date).cast("date"))).alias("_on"))
     return (
-        line.withColumn("_last", last)
+        merged_timeline(obs, days)
+        .withColumn("_last", F.max("_on").over(frame(EVER, 0, key)))
         .where(is_observation() & F.col("_last").isNotNull())
         .select(key, "snapshot_date", (F.unix_date("snapshot_date") - F.col("_last")).alias("days_since_last"))
     )
@@ -229,19 +266,13 @@ def asof_latest(
     Among facts of the same day the greatest ``tie_break`` tuple wins, then the greatest values, so the
     outcome never depends on row order. Observations without a fact are left out.
     """
-    winner = F.max(F.struct(*[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie_break)],
-                            *[F.col(v) for v in values]))
-    daily = facts.groupBy(key, F.col(date).cast("date").alias(date)).agg(winner.alias("_row"))
-    daily = daily.where(F.col(date).isNotNull()).withColumn("_date", F.col(date))
-    line = merged_timeline(observations(snaps, key=key), day_facts(daily, date))
-    so_far = frame(EVER, 0, key)
+    obs = observations(snaps, key=key)
+    daily = visible(facts, date, obs).groupBy(key, DAY).agg(latest_row(date, tie_break, values).alias("_row"))
     return (
-        line.withColumns({
-            "_hit": F.last("_row", ignorenulls=True).over(so_far),
-            "_hit_date": F.last("_date", ignorenulls=True).over(so_far),
-        })
-        .where(is_observation() & F.col("_hit_date").isNotNull())
-        .select(key, "snapshot_date", F.col("_hit_date").alias(f"latest_{date}"),
+        merged_timeline(obs, daily)
+        .withColumn("_hit", F.last("_row", ignorenulls=True).over(frame(EVER, 0, key)))
+        .where(is_observation() & F.col("_hit").isNotNull())
+        .select(key, "snapshot_date", F.col("_hit._on").alias(f"latest_{date}"),
                 *[F.col(f"_hit.{v}").alias(v) for v in values])
     )
 
@@ -254,13 +285,13 @@ def history_totals(
     key: str = "msno",
 ) -> DataFrame:
     """Totals over all facts on or before each observation, without building the joined pairs."""
-    daily = facts.groupBy(key, F.col(date).cast("date").alias(date)).agg(
-        *[F.sum(c).alias(n) for n, c in sums.items()]
-    ).where(F.col(date).isNotNull())
-    line = merged_timeline(observations(snaps, key=key), day_facts(daily, date))
+    obs = observations(snaps, key=key)
+    daily = visible(facts, date, obs).groupBy(key, DAY).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).withColumn(
+        "_fact", F.lit(1))
     so_far = frame(EVER, 0, key)
     return (
-        line.withColumns({n: F.sum(n).over(so_far) for n in sums} | {"_seen": F.count("_fact").over(so_far)})
+        merged_timeline(obs, daily)
+        .withColumns({n: F.sum(n).over(so_far) for n in sums} | {"_seen": F.count("_fact").over(so_far)})
         .where(is_observation() & (F.col("_seen") > 0))
         .select(key, "snapshot_date", *sums)
     )

@@ -39,7 +39,8 @@ def feature_store(snaps: DataFrame, members: DataFrame, txn: DataFrame, logs: Da
     Members are joined on the entity; everything else meets on one timeline, without joins.
     """
     base = members_asof(members, observations(snaps), start, end, how="left")
-    feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow), Payments())
+    feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow), Payments(),
+                                 bounds=(start, end))
     return feats.drop(*DAILY_SUMS)
 
 
@@ -52,7 +53,8 @@ def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, star
     kept = members.select("msno", "city_clean", "registered_via", "registration_date")
     base = registered_asof(snapshot_grid(kept, start, end, "registration_date"), F.col("snapshot_date"))
     base = coalesce_category(base, ["registered_via", "city_clean"])
-    feats = observation_features(base, logs, txn, Activity(include_today=True), Payments(), keep_inactive=True)
+    feats = observation_features(base, logs, txn, Activity(include_today=True), Payments(), keep_inactive=True,
+                                 bounds=(start, end))
     return feats.drop(*DAILY_SUMS, "num_unq_w30_sum").na.fill(0)
 
 
