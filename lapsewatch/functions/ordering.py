@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 128
+BUCKETS = 1024
 
 
 def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str = "_bucket") -> DataFrame:
@@ -22,7 +22,8 @@ def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str =
     ``buckets`` is a power of two. The number of cuts below a value is found by halving, one projection
     per step, so the whole search is compiled.
     """
-    cuts = df.agg(F.percentile_approx(value, [i / buckets for i in range(1, buckets)], buckets * 20).alias("c"))
+    cuts = df.agg(F.expr(
+        f"percentile_approx(`{value}`, transform(sequence(1, {buckets - 1}), i -> i / {buckets}D), {buckets * 4}) AS c"))
     out = df.withColumns({"_cuts": cuts.scalar(), name: F.lit(0)})
     step = buckets // 2
     while step:
@@ -32,9 +33,9 @@ def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str =
     return out.drop("_cuts")
 
 
-def hash_buckets(df: DataFrame, hex_digest: str, name: str = "_bucket") -> DataFrame:
-    """Bucket by the leading three hex digits of a digest: 4096 even buckets in digest order."""
-    return df.withColumn(name, F.substring(hex_digest, 1, 3))
+def hash_buckets(df: DataFrame, hex_digest: str, digits: int = 3, name: str = "_bucket") -> DataFrame:
+    """Bucket by the leading hex digits of a digest: 16 ** digits even buckets in digest order."""
+    return df.withColumn(name, F.substring(hex_digest, 1, digits))
 
 
 def running_sums(

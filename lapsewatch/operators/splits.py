@@ -71,28 +71,29 @@ def random_sample(df: DataFrame, frac: float, seed: int = 42) -> DataFrame:
     return df.sample(fraction=frac, seed=seed)
 
 
-def _stratum_rank(df: DataFrame, label: str, seed: int, keys) -> DataFrame:
+def _stratum_rank(df: DataFrame, label: str, seed: int, keys, digits: int) -> DataFrame:
     """Zero-based rank in hash order within each label (``_before``) and the label's size (``_n_total``).
 
-    A label is a third of the rows or more, so the order is cut by leading digest digits.
+    A label is a third of the rows or more, so the order is cut into 16 ** digits parts by the digest.
+    Raise ``digits`` where a 4096th of a label is too much for one task.
     """
-    hashed = hash_buckets(df.withColumn("_digest", digest(keys, seed)), "_digest")
+    hashed = hash_buckets(df.withColumn("_digest", digest(keys, seed)), "_digest", digits)
     ranked = running_sums(hashed, [label], ["_digest", *keys], {"_n": F.lit(1)})
     return ranked.withColumnRenamed("_n_before", "_before").drop("_digest")
 
 
-def stratified_split(df: DataFrame, label: str, ratio: float, seed: int = 42, keys=KEYS) -> DataFrame:
+def stratified_split(df: DataFrame, label: str, ratio: float, seed: int = 42, keys=KEYS, digits: int = 3) -> DataFrame:
     """Column ``part`` train/test: exactly round(ratio * n) rows of each label train, chosen by hash."""
     label = resolve_label(df, label)
-    ranked = _stratum_rank(df, label, seed, keys)
+    ranked = _stratum_rank(df, label, seed, keys, digits)
     part = F.when(F.col("_before") < F.floor(F.col("_n_total") * ratio + 0.5), "train").otherwise("test")
     return ranked.withColumn("part", part).drop("_before", "_n_total")
 
 
-def assign_folds(df: DataFrame, label: str, k: int, seed: int = 42, keys=KEYS) -> DataFrame:
+def assign_folds(df: DataFrame, label: str, k: int, seed: int = 42, keys=KEYS, digits: int = 3) -> DataFrame:
     """Column ``fold`` 0..k-1 with label shares equal up to one row."""
     label = resolve_label(df, label)
-    ranked = _stratum_rank(df, label, seed, keys)
+    ranked = _stratum_rank(df, label, seed, keys, digits)
     return ranked.withColumn("fold", F.pmod(F.col("_before"), F.lit(k)).cast("int")).drop("_before", "_n_total")
 
 
