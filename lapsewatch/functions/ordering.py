@@ -22,8 +22,8 @@ def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str =
     ``buckets`` is a power of two. The number of cuts below a value is found by halving, one projection
     per step, so the whole search is compiled.
     """
-    cuts = df.agg(F.expr(
-        f"percentile_approx(`{value}`, transform(sequence(1, {buckets - 1}), i -> i / {buckets}D), {buckets * 4}) AS c"))
+    probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    cuts = df.agg(F.expr(f"percentile_approx(`{value}`, array({probs}), {buckets * 4}) AS c"))
     out = df.withColumns({"_cuts": cuts.scalar(), name: F.lit(0)})
     step = buckets // 2
     while step:
