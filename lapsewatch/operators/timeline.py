@@ -47,7 +47,8 @@ def visible(facts: DataFrame, date: str, obs: DataFrame, floor: int = 0, ahead:
     if bounds is not None:
         first, last = (F.lit(b).cast("date") for b in bounds)
         d = F.col(date)
-        facts = facts.where(d <= F.date_add(last, ahead))
+        # strictly before the next day, so a timestamp column keeps its last day
+        facts = facts.where(d < F.date_add(last, ahead + 1))
         if not collapse:
             facts = facts.where(d >= F.date_add(first, floor))
         return facts.withColumn(DAY, F.greatest(day, F.unix_date(F.date_add(first, floor))))

@@ -68,7 +68,10 @@ def merge_into(
 
 
 def replace_dates(new: DataFrame, path: str, part: Sequence[str], date: str, start: str, end: str) -> None:
-    """Replace the rows dated start..end of a table whose partitions may hold other dates as well."""
+    """Replace the rows dated start..end of a table whose partitions may hold other dates as well.
+
+    A partition left without any row keeps its old files; delete its directory where that can happen.
+    """
     spark = new.sparkSession
     out = new
     if path_exists(spark, path):

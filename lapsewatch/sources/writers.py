@@ -37,12 +37,13 @@ def write_table(
 
     Modes: ``overwrite``, ``append``, ``overwrite_partitions`` (only the partitions present in ``df``).
     With ``by``, rows of a partition value are gathered before the write by a rebalance, which splits
-    large partitions and merges small ones, so a hot partition does not become one huge task.
+    large partitions and merges small ones, so a hot partition does not become one huge task. ``files``
+    bounds the file count by a shuffle, which leaves the work before it as parallel as it was.
     """
     if by:
         df = df.hint("rebalance", *by)
     elif files is not None:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     writer = df.write.option("compression", "snappy")
     if mode == "overwrite_partitions":
         if not by:
@@ -58,7 +59,7 @@ def write_table(
 def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), files: int | None = None, mode: str = "overwrite") -> None:
     """CSV with header, partitioned or in a bounded number of files."""
     if files is not None and not by:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     writer = df.write.mode(mode).option("header", True)
     if by:
         writer = writer.partitionBy(*by)
@@ -67,7 +68,7 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), files: int | Non
 
 def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
     """Small report table as one JSON-lines or CSV file."""
-    one = report.coalesce(1).write.mode("overwrite")
+    one = report.repartition(1).write.mode("overwrite")
     if fmt == "json":
         one.json(path)
     elif fmt == "csv":

@@ -130,3 +130,17 @@ def test_latest_table_row_after_observation_is_ignored(spark):
     assert [r["last_plan_list_price"] for r in out] == [0, 50]
     assert [r["tenure_days"] for r in out] == [0, 32]
     assert [r["auto_renew_share"] for r in out] == [0.0, 1.0]
+
+
+def test_known_bounds_reach_the_scan_and_change_nothing(spark, tmp_path):
+    rng = random.Random(13)
+    rows = [(f"u{rng.randrange(4)}", plus(D, rng.randrange(-90, 40)), 1, 2, 5.0) for _ in range(300)]
+    path = str(tmp_path / "logs")
+    logs(spark, rows).write.parquet(path)
+    table = spark.read.parquet(path)
+    obs = snaps(spark, [(f"u{k}", plus(D, o)) for k in range(4) for o in (0, 3, 9)])
+    bounded = timeline.activity_features(table, obs, bounds=(D, str(plus(D, 9))))
+    assert sorted(bounded.collect()) == sorted(timeline.activity_features(table, obs).collect())
+    assert "LessThan(date" in bounded._jdf.queryExecution().executedPlan().toString()
+    stamped = table.withColumn("date", F.col("date").cast("timestamp") + F.expr("INTERVAL 20 HOURS"))
+    assert sorted(timeline.activity_features(stamped, obs, bounds=(D, str(plus(D, 9)))).collect()) == sorted(bounded.collect())
