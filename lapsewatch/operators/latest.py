@@ -84,11 +84,12 @@ def latest_transaction(
 def tied_transactions(txn: DataFrame, snapshot: str | None = None, key: str = "msno") -> DataFrame:
     """All rows of each entity's last date, with plan rank, cancellation flag and explicit priority.
 
-    The rank comes from counts per (entity, plan length), so no entity's rows are gathered for it.
+    The plan rank comes from counts per (entity, plan length), not from sorting an entity's rows.
     """
-    rows = _upto(txn, snapshot)
-    last = rows.groupBy(key).agg(F.max("transaction_date").alias("max_transaction_date"))
-    tied = rows.join(last, key, "inner").where(F.col("transaction_date") == F.col("max_transaction_date"))
+    newest = Window.partitionBy(key).orderBy(F.desc("transaction_date"))
+    # rank = 1 keeps all rows of the last date and is pruned per map task before the shuffle
+    tied = _upto(txn, snapshot).withColumn("_date_rank", F.rank().over(newest)).where("_date_rank = 1").drop(
+        "_date_rank").withColumn("max_transaction_date", F.col("transaction_date"))
     entity = Window.partitionBy(key)
     longer = entity.orderBy(F.desc_nulls_last("total_plan_days")).rowsBetween(Window.unboundedPreceding, -1)
     plans = tied.groupBy(key, "total_plan_days").agg(
