@@ -1,8 +1,14 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import near_dup
+from . import decontaminate, mixing, near_dup, sharding
 
 QUERIES = {
     "op4_minhash_near_dup": near_dup.query,
+    "op5_benchmark_decontamination": decontaminate.query,
+    "op7_source_mixing": mixing.query,
+    "op9_sampled_splitters": sharding.query,
+}
+SQL = {
+    "op5_benchmark_decontamination": decontaminate.SQL,
+    "op7_source_mixing": mixing.SQL,
 }
-SQL: dict[str, str] = {}
