@@ -1,11 +1,12 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import decontaminate, mixing, near_dup, sharding
+from . import decontaminate, mixing, near_dup, sharding, toxicity
 
 QUERIES = {
     "op4_minhash_near_dup": near_dup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op7_source_mixing": mixing.query,
+    "op10_weak_supervision_toxicity": toxicity.query,
     "op9_sampled_splitters": sharding.query,
 }
 SQL = {
