@@ -1,15 +1,18 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import decontaminate, mixing, near_dup, sharding, toxicity
+from . import chat, decontaminate, mixing, near_dup, permutation_index, sharding, toxicity
 
 QUERIES = {
+    "op1_chat_formatting": chat.query,
     "op4_minhash_near_dup": near_dup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op7_source_mixing": mixing.query,
+    "op8_permutation_index": permutation_index.query,
     "op10_weak_supervision_toxicity": toxicity.query,
     "op9_sampled_splitters": sharding.query,
 }
 SQL = {
+    "op1_chat_formatting": chat.SQL,
     "op5_benchmark_decontamination": decontaminate.SQL,
     "op7_source_mixing": mixing.SQL,
 }
