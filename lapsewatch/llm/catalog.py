@@ -1,9 +1,10 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import chat, decontaminate, mixing, near_dup, permutation_index, sharding, toxicity
+from . import chat, decontaminate, mixing, near_dup, permutation_index, ppm, sharding, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
+    "op2_byte_ppm": ppm.query,
     "op4_minhash_near_dup": near_dup.query,
     "op5_benchmark_decontamination": decontaminate.query,
     "op7_source_mixing": mixing.query,
