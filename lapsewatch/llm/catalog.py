@@ -1,12 +1,14 @@
 """The queries of this subpackage, and the SQL of those that SQL can express."""
 
-from . import chat, decontaminate, mixing, near_dup, permutation_index, ppm, sharding, toxicity
+from . import chat, decontaminate, licenses, line_templates, mixing, near_dup, permutation_index, ppm, sharding, toxicity
 
 QUERIES = {
     "op1_chat_formatting": chat.query,
     "op2_byte_ppm": ppm.query,
+    "op3_line_templates": line_templates.query,
     "op4_minhash_near_dup": near_dup.query,
     "op5_benchmark_decontamination": decontaminate.query,
+    "op6_license_scan": licenses.query,
     "op7_source_mixing": mixing.query,
     "op8_permutation_index": permutation_index.query,
     "op10_weak_supervision_toxicity": toxicity.query,
