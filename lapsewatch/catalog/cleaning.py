@@ -110,7 +110,11 @@ def align_to_schema(t):
     return clean.align(t.o_txn, T.StructType.fromDDL("row_id string, missing double, msno bigint"))
 
 
-@query("P15", "SELECT row_id, sha256(concat_ws('|', CAST(msno AS VARCHAR), CAST(transaction_date AS VARCHAR), CAST(row_id AS VARCHAR))) AS transaction_id FROM o_txn")
+ROW_PARTS = " || ".join(f"coalesce(length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), ':')"
+                        for c in ("msno", "transaction_date", "row_id"))
+
+
+@query("P15", f"SELECT row_id, sha256({ROW_PARTS}) AS transaction_id FROM o_txn")
 def row_ids(t):
     return columns.with_row_id(t.o_txn, ["msno", "transaction_date", "row_id"], "transaction_id").select(
         "row_id", "transaction_id")
@@ -195,11 +199,11 @@ def month_starts(t):
 
 @query("U1 U3 S2", """
     SELECT msno, row_id, transaction_date, source_file FROM (
-      SELECT *, 'first' AS source_file FROM o_txn WHERE row_id % 3 <> 0
+      SELECT *, 'first' AS source_file FROM o_txn WHERE row_id % 3 <> 0 OR row_id % 2 = 1
       UNION ALL SELECT *, 'second' AS source_file FROM o_txn WHERE row_id % 2 = 0)
     QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY source_file DESC) = 1""")
 def union_tagged_dedup(t):
-    both = clean.union_tagged({"first": t.o_txn.where("row_id % 3 <> 0"), "second": t.o_txn.where("row_id % 2 = 0")})
+    both = clean.union_tagged({"first": t.o_txn.where("row_id % 3 <> 0 OR row_id % 2 = 1"), "second": t.o_txn.where("row_id % 2 = 0")})
     return latest.dedup(both, ["row_id"], [F.desc("source_file")]).select(
         "msno", "row_id", "transaction_date", "source_file")
 
@@ -211,17 +215,17 @@ MERGE_KEYS = ["msno", "transaction_date", "payment_method_id", "plan_list_price"
 @query("I1 A21 S9 J10", f"""
     SELECT row_id, msno, transaction_date, plan_list_price, payment_method_id, v, year, month FROM (
       SELECT *, 1 AS v, {PART} FROM o_txn WHERE transaction_date < DATE '1998-01-01'
-      UNION ALL SELECT *, 2 AS v, {PART} FROM o_txn WHERE transaction_date >= DATE '1997-06-01' AND row_id % 2 = 0) u
+      UNION ALL SELECT *, 2 AS v, {PART} FROM o_txn WHERE transaction_date >= DATE '1997-06-01') u
     QUALIFY CASE WHEN transaction_date < DATE '1997-06-01' AND (year, month) NOT IN (
               SELECT DISTINCT CAST(year(transaction_date) AS INTEGER), CAST(month(transaction_date) AS INTEGER) FROM o_txn
-              WHERE transaction_date >= DATE '1997-06-01' AND row_id % 2 = 0) THEN 1
+              WHERE transaction_date >= DATE '1997-06-01') THEN 1
             ELSE row_number() OVER (PARTITION BY msno, transaction_date, payment_method_id, plan_list_price
                                     ORDER BY v DESC, row_id DESC) END = 1""")
 def bronze_merge(t):
     dated = columns.with_year_month(t.o_txn, "transaction_date", numeric=False).select(
         "row_id", *MERGE_KEYS, "year", "month")
     old = dated.where("transaction_date < DATE'1998-01-01'").withColumn("v", F.lit(1))
-    new = dated.where("transaction_date >= DATE'1997-06-01' AND row_id % 2 = 0").withColumn("v", F.lit(2))
+    new = dated.where("transaction_date >= DATE'1997-06-01'").withColumn("v", F.lit(2))
     return merge.merge_view(new, old, ["year", "month"], MERGE_KEYS, [F.desc("v"), F.desc("row_id")])
 
 

@@ -12,11 +12,11 @@ ROW_ID = ["row_id"]
 
 
 @query("W8 J5 A10 A13", """
-    SELECT snapshot_date, count(*) AS total, CAST(sum(is_churn) AS BIGINT) AS churned,
-           CAST(sum(is_churn) AS DOUBLE) / count(*) * 100 AS churn_rate
-    FROM f_label GROUP BY snapshot_date""", ["churn_rate"], digits=2)
+    SELECT snapshot_date, count(*) AS n_labels, CAST(sum(is_churn) AS BIGINT) AS n_positive,
+           100 * avg(CAST(is_churn AS DOUBLE)) AS positive_pct
+    FROM f_label GROUP BY snapshot_date""", ["positive_pct"], digits=2)
 def churn_rate_by_snapshot(t):
-    return labels.label_rate_over_time(t.f_label)
+    return labels.label_rate(t.f_label, ["snapshot_date"])
 
 
 @query("J5 A10 U2", "SELECT snapshot_date, msno, is_churn FROM f_label")
@@ -47,17 +47,17 @@ def snapshots_of_day(txn):
 
 
 @query("A14", """
-    SELECT msno, count(*) AS num_snapshots, CAST(sum(is_churn) AS BIGINT) AS num_churns,
-           CAST(sum(is_churn) AS DOUBLE) / count(*) * 100 AS churn_rate_user
-    FROM o_label GROUP BY msno""", ["churn_rate_user"], digits=2)
+    SELECT msno, count(*) AS n_labels, CAST(sum(is_churn) AS BIGINT) AS n_positive,
+           100 * avg(CAST(is_churn AS DOUBLE)) AS positive_pct
+    FROM o_label GROUP BY msno""", ["positive_pct"], digits=2)
 def label_rate_by_entity(t):
-    return labels.label_rate_by_entity(t.o_label)
+    return labels.label_rate(t.o_label, ["msno"])
 
 
 @query("A15", """
     SELECT count(*) AS total_records, CAST(sum(is_churn) AS BIGINT) AS churned,
            CAST(count(*) - sum(is_churn) AS BIGINT) AS retained,
-           CAST(sum(is_churn) AS DOUBLE) / count(*) * 100 AS churn_rate FROM o_label""", ["churn_rate"], digits=2)
+           100 * avg(CAST(is_churn AS DOUBLE)) AS churn_rate FROM o_label""", ["churn_rate"], digits=2)
 def label_stats(t):
     return labels.label_stats(t.o_label)
 
@@ -65,7 +65,7 @@ def label_stats(t):
 @query("A16 W6", """
     SELECT corr(i, churn_rate) AS corr FROM (
       SELECT CAST(row_number() OVER (ORDER BY snapshot_date) AS DOUBLE) AS i, churn_rate FROM (
-        SELECT snapshot_date, round(CAST(sum(is_churn) AS DOUBLE) / count(*) * 100, 2) AS churn_rate
+        SELECT snapshot_date, round(100 * avg(CAST(is_churn AS DOUBLE)), 2) AS churn_rate
         FROM o_label GROUP BY snapshot_date))""", ["corr"])
 def label_trend_corr(t):
     return labels.label_trend(t.o_label)
@@ -258,12 +258,18 @@ def transaction_features(t):
 
 @query("J15", f"""
     SELECT s.msno, s.snapshot_date,
-           CAST(CASE WHEN l.transaction_date <= s.snapshot_date THEN l.transaction_date - m.registration_date ELSE 0 END AS INTEGER) AS tenure_days,
-           CASE WHEN l.transaction_date <= s.snapshot_date THEN l.is_auto_renew ELSE 0 END AS last_is_auto_renew,
-           CASE WHEN l.transaction_date <= s.snapshot_date THEN l.plan_list_price ELSE 0 END AS last_plan_list_price,
+           CAST(coalesce(CASE WHEN l.transaction_date <= s.snapshot_date THEN l.transaction_date ELSE p.transaction_date END
+                         - m.registration_date, 0) AS INTEGER) AS tenure_days,
+           coalesce(CASE WHEN l.transaction_date <= s.snapshot_date THEN l.is_auto_renew ELSE p.is_auto_renew END, 0) AS last_is_auto_renew,
+           coalesce(CASE WHEN l.transaction_date <= s.snapshot_date THEN l.plan_list_price ELSE p.plan_list_price END, 0) AS last_plan_list_price,
            coalesce(h.auto_renew_share, 0) AS auto_renew_share
     FROM f_snap s LEFT JOIN f_members m ON m.msno = s.msno
     LEFT JOIN ({LATEST_SQL.format(snap="transaction_date", src="f_txn")}) l ON l.msno = s.msno
+    LEFT JOIN (SELECT s2.msno, s2.snapshot_date, t.transaction_date, t.is_auto_renew, t.plan_list_price
+               FROM f_snap s2 JOIN f_txn t ON t.msno = s2.msno AND t.transaction_date <= s2.snapshot_date
+               QUALIFY row_number() OVER (PARTITION BY s2.msno, s2.snapshot_date ORDER BY t.transaction_date DESC,
+                 t.membership_expire_date DESC, t.is_auto_renew DESC, t.plan_list_price DESC) = 1) p
+      ON p.msno = s.msno AND p.snapshot_date = s.snapshot_date
     LEFT JOIN ({SHARE_SQL}) h ON h.msno = s.msno AND h.snapshot_date = s.snapshot_date""", ["auto_renew_share"])
 def latest_table_features(t):
     reg = t.f_snap.join(t.f_members.select("msno", "registration_date"), "msno", "left")

@@ -10,9 +10,8 @@ from ..sources.writers import materialise
 from .base import END, START, query
 
 TREE = [*prep.FEATURES, "missing_any"]
-# Small forests: the parameters are arguments, these keep the check quick.
-RF = {"trees": 10, "depth": 5}
-GBT = {"rounds": 8, "depth": 3}
+# Candidates of the two searches; the parameter ranges are those of ``operators.models``.
+LR_CANDIDATES, RF_CANDIDATES = 10, 3
 
 
 def labelled(t):
@@ -24,8 +23,13 @@ def labelled(t):
     return materialise(splits.training_set(feats, t.f_label).withColumn("split", tag))
 
 
-def tree_input(data):
-    return prep.class_weights(prep.missing_flag_fill(data, prep.FEATURES), "is_churn")
+def filled(data):
+    return prep.missing_flag_fill(data, prep.FEATURES)
+
+
+def tree_train(data):
+    """Training rows with weights that are balanced over these rows alone."""
+    return prep.class_weights(filled(data.where("split = 'train'")), "is_churn")
 
 
 @query("T1 E1 E3 E5 E7 T5")
@@ -37,28 +41,38 @@ def train_lr(t):
 
 @query("T2 T5")
 def train_rf(t):
-    data = tree_input(labelled(t))
-    return training.evaluate_model(models.fit_rf(data.where("split = 'train'"), TREE, **RF), data, "rf")
+    data = labelled(t)
+    return training.evaluate_model(models.fit_rf(tree_train(data), TREE), filled(data), "rf")
 
 
 @query("T3 E8 T5")
 def train_gbt(t):
-    data = prep.with_pos_weight(prep.missing_flag_fill(labelled(t), prep.FEATURES), "is_churn")
-    return training.evaluate_model(models.fit_gbt(data.where("split = 'train'"), TREE, **GBT), data, "gbt")
+    data = labelled(t)
+    train = prep.with_pos_weight(filled(data.where("split = 'train'")), "is_churn")
+    return training.evaluate_model(models.fit_gbt(train, TREE), filled(data), "gbt")
 
 
 @query("T4 T11 M6")
 def random_search(t):
-    data = splits.assign_folds(tree_input(labelled(t)), "is_churn", 3)
-    space = {**models.RF_SPACE, "trees": lambda r: r.randrange(5, 10), "depth": lambda r: r.choice([2, 4])}
-    candidates = models.draw_params(space, 2)
+    data = splits.assign_folds(tree_train(labelled(t)), "is_churn", 3)
+    candidates = models.draw_params(models.RF_SPACE, RF_CANDIDATES)
     found = models.random_search(data, TREE, models.forest, candidates, 3)
     return models.cv_results(t.spark, found, candidates)
 
 
+@query("T4 T11 M6")
+def random_search_lr(t):
+    train = labelled(t).where("split = 'train'")
+    ready = training.LinearPrep.fit(train)
+    data = splits.assign_folds(materialise(prep.class_weights(ready.transform(train), "is_churn")), "is_churn", 3)
+    candidates = models.draw_params(models.LR_SPACE, LR_CANDIDATES)
+    found = models.random_search(data, ready.columns, models.logistic, candidates, 3)
+    return models.cv_results(t.spark, found, candidates)
+
+
 @query("T6 K3")
 def importances(t):
-    model = models.fit_rf(tree_input(labelled(t)), TREE, **RF)
+    model = models.fit_rf(tree_train(labelled(t)), TREE)
     return models.top_features(models.importances(t.spark, model, TREE), 20)
 
 
@@ -70,11 +84,11 @@ def coefficients(t):
 
 @query("T7 K4 T5")
 def compare_models(t):
-    data = tree_input(labelled(t))
-    train = data.where("split = 'train'")
+    data = labelled(t)
+    train, every = tree_train(data), filled(data)
     scored = {
-        "rf": training.evaluate_model(models.fit_rf(train, TREE, **RF), data, "rf"),
-        "gbt": training.evaluate_model(models.fit_gbt(train, TREE, **GBT), data, "gbt"),
+        "rf": training.evaluate_model(models.fit_rf(train, TREE), every, "rf"),
+        "gbt": training.evaluate_model(models.fit_gbt(train, TREE), every, "gbt"),
     }
     return models.best_model(models.compare(scored))
 

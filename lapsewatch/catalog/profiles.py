@@ -51,11 +51,11 @@ def profile(t):
     return p.profile(t.f_logs, METRICS)
 
 
-@query("A17", "SELECT 'num_snapshots' AS \"column\", count(*) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS DOUBLE) AS min, CAST(max(n) AS DOUBLE) AS max FROM (SELECT count(*) AS n FROM o_label GROUP BY msno)", {"mean": 6, "std": 6})
+@query("A17", "SELECT 'n_labels' AS \"column\", count(*) AS count, avg(n) AS mean, stddev_samp(n) AS std, CAST(min(n) AS DOUBLE) AS min, CAST(max(n) AS DOUBLE) AS max FROM (SELECT count(*) AS n FROM o_label GROUP BY msno)", {"mean": 6, "std": 6})
 def label_frequency_profile(t):
-    from ..operators.labels import label_rate_by_entity
+    from ..operators.labels import label_rate
 
-    return p.profile(label_rate_by_entity(t.o_label), ["num_snapshots"])
+    return p.profile(label_rate(t.o_label, ["msno"]), ["n_labels"])
 
 
 @query("A23", """

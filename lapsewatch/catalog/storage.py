@@ -59,10 +59,10 @@ def snapshot_scan(t):
     return readers.read_snapshot(t.spark, path, "2024-01-10")
 
 
-@query("S6", "SELECT row_id, msno FROM o_txn WHERE is_cancel = 1 UNION ALL SELECT row_id, msno FROM f_txn")
+@query("S6", "SELECT row_id, msno FROM o_txn UNION ALL SELECT row_id, msno FROM f_txn")
 def multi_path_scan(t):
     a, b = writers.shared_folder(t.spark), writers.shared_folder(t.spark)
-    writers.write_table(t.o_txn.where("is_cancel = 1").select("row_id", "msno"), a)
+    writers.write_table(t.o_txn.select("row_id", "msno"), a)
     writers.write_table(t.f_txn.select("row_id", "msno"), b)
     return readers.read_table(t.spark, [a, b])
 

@@ -105,9 +105,10 @@ def with_source(df: DataFrame, name: ColumnOrName | None, ingested_at) -> DataFr
 
 
 def with_row_id(df: DataFrame, cols: Sequence[str], name: str = "row_id") -> DataFrame:
-    """Content hash as row id: the same row always gets the same id. NULL differs from empty text."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols]
-    return df.withColumn(name, F.sha2(F.concat_ws("|", *parts), 256))
+    """Content hash as row id: equal rows, and only they, get the same id. Each part carries its length; NULL has none."""
+    texts = [F.col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(":")) for t in texts]
+    return df.withColumn(name, F.sha2(F.concat(*parts), 256))
 
 
 def stamp_snapshot(df: DataFrame, date: str) -> DataFrame:

@@ -64,16 +64,13 @@ def rejects(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def keep_frequent(df: DataFrame, c: str, lo: int, hi: int, min_count: int, name: str | None = None) -> DataFrame:
     """Add ``c`` cleaned: kept where it lies in lo..hi and occurs at least ``min_count`` times, else NULL.
 
-    For integer columns at most hi - lo + 1 values can qualify, so that table is broadcast; other
-    types join without a hint.
+    The values that qualify are a small table whose size Spark measures before it picks the join.
     """
     name = name or f"{c}_clean"
     common = (
         df.where(F.col(c).between(lo, hi)).groupBy(c).agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") >= min_count).select(F.col(c).alias("_value"), F.col(c).alias(name))
     )
-    if isinstance(df.schema[c].dataType, T.IntegralType) and hi - lo < 10_000:
-        common = F.broadcast(common)
     return df.join(common, F.col(c) == F.col("_value"), "left").drop("_value")
 
 

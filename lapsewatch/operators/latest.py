@@ -20,6 +20,11 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
 
 
+def total(df: DataFrame, first: Sequence[str] = ()) -> list[Column]:
+    """Descending order by the given columns, then by all others: the choice never depends on the order of rows."""
+    return [F.desc(c) for c in [*first, *[c for c in df.columns if c not in set(first)]]]
+
+
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """One row per key, the winner being the first in ``order``."""
     return latest_per_key(df, keys, order)
@@ -54,10 +59,9 @@ def latest_transaction(
     longest plan and a row of the second-longest is a cancellation: then that cancellation wins.
     Ordered by date, plan length and cancellation, both candidates are among the first two rows, so
     two rows per entity are all that is needed. Without a snapshot, the entity's own last date is used.
-    ``tie_break`` columns count descending.
+    ``tie_break`` columns count descending, then all others.
     """
-    order = [F.desc("transaction_date"), F.desc_nulls_last("total_plan_days"), F.desc("is_cancel"),
-             *[F.desc(c) for c in tie_break]]
+    order = [F.desc("transaction_date"), F.desc_nulls_last("total_plan_days"), F.desc("is_cancel"), *total(txn, tie_break)]
     two = (
         _upto(txn, snapshot)
         .withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
@@ -84,31 +88,28 @@ def latest_transaction(
 def tied_transactions(txn: DataFrame, snapshot: str | None = None, key: str = "msno") -> DataFrame:
     """All rows of each entity's last date, with plan rank, cancellation flag and explicit priority.
 
-    The plan rank comes from counts per (entity, plan length), not from sorting an entity's rows.
+    Rows of one plan length and cancellation flag rank alike, so they are counted by these before any window.
+    Without a cancellation the rows of the longest plan have priority 1; with one, those of the longest plan that are
+    not cancelled and the cancellations that rank second.
     """
     newest = Window.partitionBy(key).orderBy(F.desc("transaction_date"))
-    # rank = 1 keeps all rows of the last date and is pruned per map task before the shuffle
-    tied = _upto(txn, snapshot).withColumn("_date_rank", F.rank().over(newest)).where("_date_rank = 1").drop(
-        "_date_rank").withColumn("max_transaction_date", F.col("transaction_date"))
-    entity = Window.partitionBy(key)
-    longer = entity.orderBy(F.desc_nulls_last("total_plan_days")).rowsBetween(Window.unboundedPreceding, -1)
-    plans = tied.groupBy(key, "total_plan_days").agg(
-        F.count(F.lit(1)).alias("_n"), F.max("is_cancel").alias("_cancel"))
-    ranks = plans.select(
-        F.col(key).alias("_key"),
-        F.col("total_plan_days").alias("_plan"),
+    dated = _upto(txn, snapshot)
+    last = dated.groupBy(key, "transaction_date", "total_plan_days").agg(
+        F.count(F.lit(1)).alias("_n"), F.coalesce(F.max("is_cancel"), F.lit(0)).alias("_cancel"))
+    last = last.withColumn("_r", F.rank().over(newest)).where("_r = 1")
+    plans = Window.partitionBy(key)
+    longer = plans.orderBy(F.desc_nulls_last("total_plan_days")).rowsBetween(Window.unboundedPreceding, -1)
+    ranks = last.select(
+        F.col(key).alias("_key"), F.col("transaction_date").alias("_date"), F.col("total_plan_days").alias("_plan"),
         (F.coalesce(F.sum("_n").over(longer), F.lit(0)) + 1).cast("int").alias("plan_days_rank"),
-        F.coalesce(F.max("_cancel").over(entity), F.lit(0)).alias("cancellation_in_group"),
-    )
-    same = (F.col(key) == F.col("_key")) & F.col("total_plan_days").eqNullSafe(F.col("_plan"))
-    rank, cancel = F.col("plan_days_rank"), F.col("cancellation_in_group")
-    priority = (
-        F.when((cancel == 1) & (F.col("is_cancel") == 1) & (rank == 2), 1)
-        .when((cancel == 0) & (rank == 1), 1)
-        .when((cancel == 1) & (rank == 1) & (F.col("is_cancel") != 1), 1)
-        .otherwise(0)
-    )
-    return tied.join(ranks, same, "inner").drop("_key", "_plan").withColumn("final_priority", priority)
+        F.max("_cancel").over(plans).alias("cancellation_in_group"))
+    same = (F.col(key) == F.col("_key")) & (F.col("transaction_date") == F.col("_date")) & (
+        F.col("total_plan_days").eqNullSafe(F.col("_plan")))
+    chosen = F.col("is_cancel") == 1
+    longest, second = F.col("plan_days_rank") == 1, F.col("plan_days_rank") == 2
+    priority = F.when(F.col("cancellation_in_group") == 1, (chosen & second) | (~chosen & longest)).otherwise(longest)
+    return dated.join(ranks, same).drop("_key", "_date", "_plan").withColumns({
+        "max_transaction_date": F.col("transaction_date"), "final_priority": F.coalesce(priority, F.lit(False)).cast("int")})
 
 
 def expiry_snapshots(
@@ -121,9 +122,9 @@ def expiry_snapshots(
     """One observation per entity and expiry date in the range, carrying the expiring transaction.
 
     A row that expires on day d is always the latest expiry on or before d, so the users-by-days grid
-    is not needed: the work is linear in the transactions. ``tie_break`` columns count descending.
+    is not needed: the work is linear in the transactions. ``tie_break`` columns count descending, then all others.
     """
     d = F.col("membership_expire_date")
     in_range = txn.where(d.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return latest_per_key(
-        in_range, [key, "membership_expire_date"], [F.desc(c) for c in tie_break]).withColumn("snapshot_date", d)
+        in_range, [key, "membership_expire_date"], total(txn, tie_break)).withColumn("snapshot_date", d)

@@ -29,8 +29,8 @@ def category_freq(df: DataFrame, cat: str, by: Sequence[str] = (), name: str | N
     name = name or f"{cat}_freq"
     counts = df.groupBy(*by, cat).agg(F.count(F.lit(1)).alias("_n"))
     if not by:
-        total = df.agg(F.count(F.lit(1))).scalar()
-        return counts.select(cat, (F.col("_n") / total).alias(name))
+        # one row per category
+        return counts.select(cat, (F.col("_n") / F.sum("_n").over(Window.partitionBy())).alias(name))
     totals = counts.groupBy(*by).agg(F.sum("_n").alias("_total"))
     return counts.join(totals, list(by), "inner").select(*by, cat, (F.col("_n") / F.col("_total")).alias(name))
 

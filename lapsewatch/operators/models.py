@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import inspect
 import json
 import random
 from collections.abc import Callable, Sequence
@@ -39,10 +40,12 @@ def forest(label: str, trees: int = 100, depth: int = 10, min_leaf: int = 1, fea
 
 
 def boosted(label: str, rounds: int = 100, depth: int = 6, eta: float = 0.1, subsample: float = 1.0,
-            min_leaf: int = 1, seed: int = 42, weight: str = "weight") -> GBTClassifier:
+            min_leaf: int = 1, features: float = 1.0, min_gain: float = 0.0, seed: int = 42,
+            weight: str = "weight") -> GBTClassifier:
+    """Boosted trees; ``features`` is the share of columns each tree node may use, ``min_gain`` the least gain of a split."""
     return GBTClassifier(
         featuresCol=VECTOR, labelCol=label, weightCol=weight, maxIter=rounds, maxDepth=depth, stepSize=eta,
-        subsamplingRate=subsample, minInstancesPerNode=min_leaf, seed=seed)
+        subsamplingRate=subsample, minInstancesPerNode=min_leaf, featureSubsetStrategy=str(features), minInfoGain=min_gain, seed=seed)
 
 
 def fit_lr(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **params) -> PipelineModel:
@@ -59,7 +62,7 @@ def fit_gbt(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **pa
     return with_estimator(cols, boosted(label, **params)).fit(train)
 
 
-# Search spaces: parameter name -> draw from a random generator.
+# The ranges of the random searches, parameter name -> draw from a random generator.
 LR_SPACE: dict[str, Callable] = {
     "c": lambda r: r.uniform(0.01, 10.01), "penalty": lambda r: r.choice(["l1", "l2"]),
     "max_iter": lambda r: r.choice([1000, 2000]),
@@ -72,7 +75,8 @@ RF_SPACE: dict[str, Callable] = {
 GBT_SPACE: dict[str, Callable] = {
     "depth": lambda r: r.randrange(3, 10), "eta": lambda r: r.uniform(0.01, 0.31),
     "rounds": lambda r: r.randrange(100, 300), "subsample": lambda r: r.uniform(0.6, 1.0),
-    "min_leaf": lambda r: r.randrange(1, 10),
+    "min_leaf": lambda r: r.randrange(1, 10), "features": lambda r: r.uniform(0.6, 1.0),
+    "min_gain": lambda r: r.uniform(0.0, 0.5),
 }
 
 
@@ -86,18 +90,24 @@ def random_search(
     train: DataFrame, cols: Sequence[str], build: Callable[..., Estimator], candidates: Sequence[dict], folds: int,
     label: str = "is_churn", fold_col: str = "fold", parallelism: int = 2,
 ) -> CrossValidatorModel:
-    """Cross-validated AUC for each candidate on given folds; the best is refitted on all rows."""
+    """Cross-validated exact AUC for each candidate on given folds; the best is refitted on all rows of ``train``.
+
+    Builders that scale their penalty by the sum of the row weights are given that of ``train``.
+    """
+    fixed = {}
+    if "weight_sum" in inspect.signature(build).parameters:
+        fixed["weight_sum"] = train.agg(F.sum("weight")).first()[0] or 1.0
     # the estimator of each candidate supplies the parameter values of one grid entry
     est = build(label)
     grid = []
     for params in candidates:
-        made = build(label, **params)
+        made = build(label, **params, **fixed)
         grid.append({est.getParam(p.name): v for p, v in made.extractParamMap().items() if made.isSet(p)})
     assembler = VectorAssembler(inputCols=list(cols), outputCol=VECTOR, handleInvalid="keep")
     ready = assembler.transform(train)
     cv = CrossValidator(
         estimator=est, estimatorParamMaps=grid, numFolds=folds, foldCol=fold_col, parallelism=parallelism,
-        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC"))
+        evaluator=BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0))
     return cv.fit(ready)
 
 

@@ -11,8 +11,6 @@ from ..functions.columns import parse_yyyymmdd
 from ..functions.ordering import quantiles
 from .timeline import METRICS
 
-CALENDAR = {"year", "month", "day"}
-
 
 def iqr_fences(
     df: DataFrame, cols: Sequence[str], by: Sequence[str] = (), k: float = 1.5, exact: bool = False,
@@ -40,10 +38,9 @@ def _with_fences(df: DataFrame, fences: DataFrame, cols: Sequence[str], by: Sequ
     if not by:
         row = wide.select(F.struct(*wide.columns).alias("f")).scalar()
         return df.withColumn("_f", row).withColumns({f"_f_{c}": F.col(f"_f._f_{c}") for c in cols}).drop("_f")
-    # calendar groups are bounded by the calendar; other groupings join without a hint
     keyed = wide.withColumnsRenamed({c: f"_g_{c}" for c in by})
     same = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by]
-    return df.join(F.broadcast(keyed) if set(by) <= CALENDAR else keyed, same, "inner")
+    return df.join(keyed, same, "inner")
 
 
 def iqr_clean(

@@ -44,21 +44,19 @@ def missing_flags(df: DataFrame, groups: dict[str, Sequence[str]], fill_cols: Se
 class OneHot:
     """Indicator columns per category, the first (smallest) category left out.
 
-    Categories come from the fitted rows alone; an unseen one gets all zeros. Cardinality is checked:
-    past ``limit`` distinct values the wide form is refused, use :func:`category_pipeline`.
+    Categories come from the fitted rows alone; an unseen one gets all zeros. They are collected in one job. With ``limit``
+    a column of more categories is refused; :func:`category_pipeline` is the sparse form for wide ones.
     """
 
     categories: dict[str, list]
 
     @classmethod
-    def fit(cls, df: DataFrame, cols: Sequence[str], limit: int = 1000) -> OneHot:
-        cats = {}
-        for c in cols:
-            values = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(limit + 1).collect()]
-            if len(values) > limit:
-                raise ValueError(f"{c} has more than {limit} categories")
-            cats[c] = sorted(values)
-        return cls(cats)
+    def fit(cls, df: DataFrame, cols: Sequence[str], limit: int | None = None) -> OneHot:
+        row = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in cols]).first()
+        wide = [c for c in cols if limit is not None and len(row[c]) > limit]
+        if wide:
+            raise ValueError(f"more than {limit} categories: {', '.join(wide)}")
+        return cls({c: list(row[c]) for c in cols})
 
     def columns(self) -> list[str]:
         return [f"{c}_{v}" for c, vs in self.categories.items() for v in vs[1:]]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import as_col
@@ -16,7 +16,8 @@ def distribution(df: DataFrame, col: str, within: Sequence[str] = ()) -> DataFra
     counts = df.groupBy(*within, col).agg(F.count(F.lit(1)).alias("count"))
     share = lambda total: F.round(F.col("count") / total * 100, 2).alias("percentage")
     if not within:
-        out = counts.select(col, "count", share(df.agg(F.count(F.lit(1))).scalar()))
+        # one row per value
+        out = counts.select(col, "count", share(F.sum("count").over(Window.partitionBy())))
     else:
         totals = counts.groupBy(*within).agg(F.sum("count").alias("_total"))
         out = counts.join(totals, list(within), "inner").select(*within, col, "count", share(F.col("_total")))

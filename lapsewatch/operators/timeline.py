@@ -35,6 +35,14 @@ def observations(snaps: DataFrame, keep: Sequence[str] = (), key: str = "msno")
 Bounds = tuple[str, str]
 
 
+def within(obs: DataFrame, bounds: Bounds | None) -> DataFrame:
+    """Observations dated inside ``bounds``; the facts are cut to the same range, so others could not be answered."""
+    if bounds is None:
+        return obs
+    first, last = (F.lit(b).cast("date") for b in bounds)
+    return obs.where(F.col("snapshot_date").between(first, last))
+
+
 def visible(facts: DataFrame, date: str, obs: DataFrame, floor: int = 0, ahead: int = 0, bounds: Bounds | None = None,
             collapse: bool = True) -> DataFrame:
     """Facts the observations can see, with their day number.
@@ -192,10 +200,10 @@ def activity_features(
 
     The training form looks at [d-wide, d-1]; ``include_today`` shifts both windows to end on d.
     Observations without any log day in the wide window are left out, as the feature block starts
-    from the wide aggregate; ``keep_inactive`` keeps them with zeros.
+    from the wide aggregate; ``keep_inactive`` keeps them with zeros. Observations outside ``bounds`` are left out.
     """
     act = Activity(metrics, wide, narrow, include_today)
-    obs = observations(snaps, key=key)
+    obs = within(observations(snaps, key=key), bounds)
     line = act.windows(merged_timeline(obs, act.facts(logs, obs, key, date, bounds)), key)
     rows = line.where(is_observation() if keep_inactive else is_observation() & (F.col("_n") > 0))
     return rows.select(key, "snapshot_date", *[c.alias(n) for n, c in act.columns(keep_inactive).items()])
@@ -233,8 +241,10 @@ def observation_features(
     """Activity and transaction features of ``base`` rows on one common timeline.
 
     ``base`` has one row per (entity, snapshot_date); all its columns travel along, so the blocks
-    need no joins: logs, transactions and observations meet in a single shuffle by entity.
+    need no joins: logs, transactions and observations meet in a single shuffle by entity. Rows dated
+    outside ``bounds`` are left out.
     """
+    base = within(base, bounds)
     line = merged_timeline(
         base, activity.facts(logs, base, key, date, bounds), payments.facts(txn, base, key, bounds=bounds))
     rows = payments.windows(activity.windows(line, key), key).where(is_observation())
@@ -310,18 +320,26 @@ def auto_renew_share(txn: DataFrame, snaps: DataFrame, key: str = "msno") -> Dat
 def latest_table_features(txn: DataFrame, latest: DataFrame, registered: DataFrame, key: str = "msno") -> DataFrame:
     """Transaction block that takes tenure, price and flag from a latest-transaction table.
 
-    ``latest`` has one row per entity. A latest row after the observation date is not used.
+    ``latest`` has one row per entity. Where it lies after the observation date, the latest transaction
+    on or before that date is taken from ``txn``; among several of one day the latest expiry wins, then flag and price.
     """
     last = latest.select(
         key, F.col("transaction_date").alias("_date"),
         F.col("is_auto_renew").alias("_renew"), F.col("plan_list_price").alias("_price"))
     obs = observations(registered, ["registration_date"], key)
     known = F.col("_date") <= F.col("snapshot_date")
-    block = obs.join(last, key, "left").select(
+    past = asof_latest(txn, registered, ["is_auto_renew", "plan_list_price"], tie_break=["membership_expire_date"], key=key)
+    joined = obs.join(last, key, "left").join(past, [key, "snapshot_date"], "left")
+
+    def either(of_table: str, of_past: str) -> Column:
+        return F.when(known, F.col(of_table)).otherwise(F.col(of_past))
+
+    tenure = F.datediff(either("_date", "latest_transaction_date"), F.col("registration_date"))
+    block = joined.select(
         key, "snapshot_date",
-        F.coalesce(F.when(known, F.datediff("_date", "registration_date")), F.lit(0)).alias("tenure_days"),
-        F.coalesce(F.when(known, F.col("_renew")), F.lit(0)).alias("last_is_auto_renew"),
-        F.coalesce(F.when(known, F.col("_price")), F.lit(0)).alias("last_plan_list_price"),
+        F.coalesce(tenure, F.lit(0)).alias("tenure_days"),
+        F.coalesce(either("_renew", "is_auto_renew"), F.lit(0)).alias("last_is_auto_renew"),
+        F.coalesce(either("_price", "plan_list_price"), F.lit(0)).alias("last_plan_list_price"),
     )
     share = auto_renew_share(txn, registered, key).select(key, "snapshot_date", "auto_renew_share")
     return block.join(share, [key, "snapshot_date"], "left").na.fill({"auto_renew_share": 0.0})

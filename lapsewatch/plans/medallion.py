@@ -13,7 +13,7 @@ from ..operators.latest import expiry_snapshots, latest_transaction
 from ..operators.members import clean_members, members_asof
 from ..operators.outliers import clean_user_logs
 from ..operators.snapshots import registered_asof, snapshot_grid
-from ..operators.timeline import Activity, Payments, observation_features, observations
+from ..operators.timeline import Activity, Bounds, Payments, observation_features, observations, within
 from ..functions.columns import coalesce_category, with_year_month
 from ..sources.merge import replace_dates
 from ..sources.writers import write_table
@@ -38,14 +38,15 @@ def feature_store(snaps: DataFrame, members: DataFrame, txn: DataFrame, logs: Da
 
     Members are joined on the entity; everything else meets on one timeline, without joins.
     """
-    base = members_asof(members, observations(snaps), start, end, how="left")
+    base = members_asof(members, within(observations(snaps), (start, end)), start, end, how="left")
     feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow), Payments(),
                                  bounds=(start, end))
     return feats.drop(*DAILY_SUMS)
 
 
-def label_store(snaps: DataFrame, txn: DataFrame, horizon: int = 30) -> DataFrame:
-    return churn_label(snaps, txn, horizon)
+def label_store(snaps: DataFrame, txn: DataFrame, horizon: int = 30, bounds: Bounds | None = None) -> DataFrame:
+    """Labels of the observations; with ``bounds`` the scan of the transactions is cut to their reach."""
+    return churn_label(snaps, txn, horizon, bounds=bounds)
 
 
 def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, start: str, end: str) -> DataFrame:
@@ -69,7 +70,7 @@ def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30) ->
     spark = snaps.sparkSession
     snaps = spark.read.parquet(f"{out}/max_expiry_transactions").where(
         F.col("snapshot_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    write_table(feature_store(snaps, s.members, s.transactions, s.user_logs, start, end), f"{out}/feature_store",
-                ["snapshot_date"], "overwrite_partitions")
-    write_table(label_store(snaps, s.transactions, horizon), f"{out}/label_store", ["snapshot_date"],
-                "overwrite_partitions")
+    features = feature_store(snaps, s.members, s.transactions, s.user_logs, start, end)
+    labels = label_store(snaps, s.transactions, horizon, (start, end))
+    for table, name in ((features, "feature_store"), (labels, "label_store")):
+        replace_dates(table, f"{out}/{name}", ["snapshot_date"], "snapshot_date", start, end)

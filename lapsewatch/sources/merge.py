@@ -3,32 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.clean import union_aligned
 from ..operators.latest import dedup
-from .writers import path_exists, write_table
-
-# Beyond this many partition values the touched partitions are found by a semi join instead of a filter.
-PRUNE_LIMIT = 5000
+from .writers import path_exists, remove, write_table
 
 
 def touched(existing: DataFrame, new: DataFrame, part: Sequence[str]) -> DataFrame:
     """Existing rows in partitions that occur in ``new``.
 
-    A handful of partition values becomes a filter, so other directories are not even listed for
-    reading; more values than that fall back to a semi join.
+    The smallest and largest touched value of each partition column become a filter, which prunes directories; the
+    touched partitions themselves are then found by a semi join, for any number of them.
     """
-    values = new.select(*part).distinct()
-    found = values.limit(PRUNE_LIMIT + 1).collect()
-    if len(found) > PRUNE_LIMIT:
-        same = [existing[c].eqNullSafe(values[c]) for c in part]
-        return existing.join(values, same, "left_semi")
-    conds = [reduce(Column.__and__, [F.col(c).eqNullSafe(F.lit(row[c])) for c in part]) for row in found]
-    return existing.where(reduce(Column.__or__, conds, F.lit(False)))
+    types = dict(existing.dtypes)
+    values = new.select(*[F.col(c).cast(types[c]).alias(c) for c in part]).distinct()
+    span = values.agg(*[f for i, c in enumerate(part) for f in (
+        F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"), F.coalesce(F.bool_or(F.isnull(c)), F.lit(False)).alias(f"null{i}"))]).first()
+    near = existing
+    for i, c in enumerate(part):
+        inside = F.col(c).between(F.lit(span[f"lo{i}"]), F.lit(span[f"hi{i}"]))
+        near = near.where(inside | F.col(c).isNull() if span[f"null{i}"] else inside)
+    same = [near[c].eqNullSafe(values[c]) for c in part]
+    return near.join(values, same, "left_semi")
 
 
 def merge_partitions(
@@ -70,16 +69,23 @@ def merge_into(
 def replace_dates(new: DataFrame, path: str, part: Sequence[str], date: str, start: str, end: str) -> None:
     """Replace the rows dated start..end of a table whose partitions may hold other dates as well.
 
-    A partition left without any row keeps its old files; delete its directory where that can happen.
+    Partitions that are left without any row are removed after the write. Running it twice changes nothing.
     """
     spark = new.sparkSession
-    out = new
-    if path_exists(spark, path):
-        inside = F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
-        existing = spark.read.parquet(path)
-        first, last = (F.lit(d).cast("date") for d in (start, end))
-        months = F.col("year") * 12 + F.col("month")
-        in_months = months.between(F.year(first) * 12 + F.month(first), F.year(last) * 12 + F.month(last))
-        near = existing.where(in_months) if list(part) == ["year", "month"] else touched(existing, new, part)
-        out = union_aligned(near.where(~inside), new)
+    if not path_exists(spark, path):
+        return write_table(new, path, part, "overwrite_partitions")
+    inside = F.col(date).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    existing = spark.read.parquet(path)
+    types = dict(existing.dtypes)
+    dated = existing.where(inside).select(*part).unionByName(
+        new.select(*[F.col(c).cast(types[c]).alias(c) for c in part])).distinct()
+    near = touched(existing.withColumn("_file", F.input_file_name()), dated, part)
+    out = union_aligned(near.where(~F.coalesce(inside, F.lit(False))).drop("_file"), new)
+    filled = out.select(*[F.col(c).cast(types[c]).alias(f"_{c}") for c in part]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in part]
+    # one row per emptied directory
+    emptied = [r[0] for r in near.join(filled, same, "left_anti").select(
+        F.regexp_replace("_file", "/[^/]*$", "")).distinct().collect()]
     write_table(out, path, part, "overwrite_partitions")
+    for folder in emptied:
+        remove(spark, folder)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -15,13 +14,10 @@ from ..operators.snapshots import new_snapshots
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables under the cluster's ``spark.checkpoint.dir``.
 
-    A local temporary folder is used only by a local session that sets none.
+    Where that is not set it lies in the warehouse, which executors share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="lapsewatch-")
+    root = root or spark.conf.get("spark.sql.warehouse.dir")
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -30,6 +26,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def write_table(
     df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", files: int | None = None
 ) -> None:
@@ -67,7 +68,7 @@ def write_csv(df: DataFrame, path: str, by: Sequence[str] = (), files: int | Non
 
 
 def write_report(report: DataFrame, path: str, fmt: str = "json") -> None:
-    """Small report table as one JSON-lines or CSV file."""
+    """Report table as one JSON-lines or CSV file, written by one task: for tables of a few thousand rows at most."""
     one = report.repartition(1).write.mode("overwrite")
     if fmt == "json":
         one.json(path)

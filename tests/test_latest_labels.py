@@ -3,7 +3,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from lapsewatch.operators import labels, latest, snapshots
+from lapsewatch.functions.columns import with_row_id
+from lapsewatch.operators import labels, latest, snapshots, timeline
 from helpers import day, plus, records
 
 D = "2024-03-01"
@@ -79,7 +80,7 @@ def test_label_window_edges(spark):
 def test_label_stats_of_empty_table(spark):
     empty = spark.createDataFrame([], "snapshot_date date, msno string, is_churn int")
     assert labels.label_stats(empty).first().churn_rate == 0
-    assert labels.label_rate_over_time(empty).count() == 0
+    assert labels.label_rate(empty, ["snapshot_date"]).count() == 0
 
 
 def test_grid_starts_at_registration(spark):
@@ -100,3 +101,35 @@ def test_select_and_new_snapshots(spark):
     assert pick("incremental", existing=built) == [plus(D, 1), plus(D, 2)]
     assert [str(r[0]) for r in snapshots.month_starts(spark, "2023-11-15", "2024-02-01").collect()] == [
         "2023-11-01", "2023-12-01", "2024-01-01", "2024-02-01"]
+
+
+def test_defaults_do_not_depend_on_row_order(spark):
+    rows = [("a", day("2024-01-01"), day("2024-01-31"), 0, p) for p in range(20)]
+    df = spark.createDataFrame(rows, "msno string, transaction_date date, membership_expire_date date, is_cancel int, price int")
+    for part in (df, df.orderBy("price"), df.repartition(5)):
+        assert latest.expiry_snapshots(part, "2024-01-01", "2024-02-28").first().price == 19
+        assert latest.latest_transaction(part).first().price == 19
+
+
+def test_observations_outside_bounds_are_left_out(spark):
+    txn = spark.createDataFrame([("a", day("2024-03-05"), 0)], "msno string, transaction_date date, is_cancel int")
+    obs = spark.createDataFrame([("a", day("2024-01-05")), ("a", day("2024-03-01"))], "msno string, snapshot_date date")
+    out = labels.churn_label(obs, txn, 10, bounds=("2024-01-01", "2024-01-31")).collect()
+    assert [(r.snapshot_date, r.is_churn) for r in out] == [(day("2024-01-05"), 1)]
+
+
+def test_row_ids_do_not_collide(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("1:x", None), (None, "1:x"), ("", None), (None, ""), ("\\N", None)], "x string, y string")
+    assert with_row_id(df, ["x", "y"]).select("row_id").distinct().count() == 7
+
+
+def test_latest_table_falls_back_to_the_past(spark):
+    txn = spark.createDataFrame(
+        [("a", day("2024-01-01"), day("2024-02-01"), 1, 10), ("a", day("2024-03-01"), day("2024-04-01"), 0, 20)],
+        "msno string, transaction_date date, membership_expire_date date, is_auto_renew int, plan_list_price int")
+    table = txn.where("plan_list_price = 20").withColumn("is_cancel", F.lit(0))
+    reg = spark.createDataFrame([("a", day("2024-02-01"), day("2023-12-31")), ("a", day("2024-03-02"), day("2023-12-31"))],
+                                "msno string, snapshot_date date, registration_date date")
+    out = {str(r.snapshot_date): (r.tenure_days, r.last_is_auto_renew, r.last_plan_list_price)
+           for r in timeline.latest_table_features(txn, table, reg).collect()}
+    assert out == {"2024-02-01": (1, 1, 10), "2024-03-02": (61, 0, 20)}

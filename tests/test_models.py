@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.ml import PipelineModel
 
 from lapsewatch.operators import models, prep, splits
@@ -48,6 +49,15 @@ def test_search_on_given_folds(spark):
     assert len(regs) == 2
 
 
+@pytest.mark.parametrize("penalty", ["l1", "l2"])
+def test_search_uses_the_penalty_of_fit_lr(spark, penalty):
+    df = splits.assign_folds(separable(spark), "is_churn", 3).cache()
+    found = models.random_search(df, ["x", "noise"], models.logistic, [{"c": 1.0, "penalty": penalty, "max_iter": 200}], 3)
+    alone = models.fit_lr(df, ["x", "noise"], c=1.0, penalty=penalty, max_iter=200).stages[-1]
+    assert abs(found.bestModel.coefficients[0] - alone.coefficients[0]) < 1e-6 and alone.coefficients[0] > 1
+    assert abs(found.bestModel.intercept - alone.intercept) < 1e-6
+
+
 def test_linear_scores(spark):
     df = spark.createDataFrame([("a", day("2024-01-01"), 0.0, None), ("b", day("2024-01-01"), 2.0, 1.0)],
                                "msno string, snapshot_date date, x double, y double")

@@ -34,12 +34,33 @@ def test_merge_is_idempotent_and_touches_few_partitions(spark, tmp_path):
     assert april == {p.name: p.stat().st_mtime_ns for p in (tmp_path / "bronze" / "year=2016" / "month=4").glob("*.parquet")}
 
 
-def test_merge_falls_back_to_semi_join(spark, tmp_path, monkeypatch):
-    old = batch(spark, [("a", 20160401, 1, 1), ("b", 20160501, 1, 1), ("c", 20160601, 1, 1)])
-    new = batch(spark, [("x", 20160401, 1, 2), ("y", 20160601, 1, 2)])
-    want = sorted(merge.touched(old, new, PART).collect())
-    monkeypatch.setattr(merge, "PRUNE_LIMIT", 1)
-    assert sorted(merge.touched(old, new, PART).collect()) == want and len(want) == 2
+def test_touched_partitions_of_any_number(spark):
+    days = spark.range(2000).select(F.date_add(F.lit("2015-01-01").cast("date"), F.col("id").cast("int")).alias("d"), "id")
+    old = days.unionByName(spark.createDataFrame([(None, -1)], "d date, id long"))
+    new = days.where("id % 2 = 1")
+    assert merge.touched(old, new, ["d"]).agg(F.count("*"), F.sum("id")).first() == (1000, 1000 * 1000)
+    null = spark.createDataFrame([(None, 5)], "d date, id long")
+    assert [r.id for r in merge.touched(old, null, ["d"]).collect()] == [-1]
+    assert merge.touched(old, new.limit(0), ["d"]).count() == 0
+
+
+def test_touched_casts_to_the_stored_type(spark):
+    old = spark.createDataFrame([(9, "a"), (10, "b"), (11, "c")], "p int, v string")
+    new = spark.createDataFrame([("9", "x"), ("10", "y")], "p string, v string")
+    assert sorted(r.v for r in merge.touched(old, new, ["p"]).collect()) == ["a", "b"]
+
+
+@pytest.mark.parametrize("part", [["year", "month"], ["snapshot_date"]])
+def test_replace_dates_removes_emptied_partitions(spark, tmp_path, part):
+    path = str(tmp_path / "snap")
+    rows = [("a", "2024-01-30"), ("b", "2024-02-01"), ("c", "2024-03-20")]
+    df = with_year_month(spark.createDataFrame(rows, "msno string, d string").select(
+        "msno", F.to_date("d").alias("snapshot_date")), "snapshot_date", numeric=False)
+    merge.replace_dates(df, path, part, "snapshot_date", "2024-01-01", "2024-03-31")
+    again = df.where("msno = 'a'").withColumn("msno", F.lit("z"))
+    for _ in range(2):
+        merge.replace_dates(again, path, part, "snapshot_date", "2024-01-01", "2024-02-29")
+        assert sorted(r.msno for r in spark.read.parquet(path).collect()) == ["c", "z"]
 
 
 def test_merge_adds_missing_columns(spark):
