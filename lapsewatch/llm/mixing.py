@@ -70,8 +70,8 @@ def plan(docs: DataFrame, key: str, source: str, text: str, weights: Sequence[fl
     return rows, stored(out)
 
 
-def repeats() -> Column:
-    return F.col("whole") + F.coalesce((F.col("digest") <= F.col("cut")).cast("int"), F.lit(0))
+def repeats(digest: str, whole: str, cut: str) -> Column:
+    return F.col(whole) + F.coalesce((F.col(digest) <= F.col(cut)).cast("int"), F.lit(0))
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text",
@@ -85,7 +85,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     """
     rows, sources = plan(docs, key, source, text, weights, epochs, seed)
     sources = sources.withColumnRenamed("source", "_source")
-    out = rows.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumn("repeats", repeats())
+    out = rows.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumn("repeats", repeats("digest", "whole", "cut"))
     return out.select(F.col("id").alias(key), "size", "source_size", "target", "repeats",
                       (F.col("size") * F.col("repeats")).alias("taken"))
 
@@ -98,10 +98,12 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it. The texts are not shuffled: they meet one row per source."""
     _, sources = plan(docs, "doc_id", "source", "text", WEIGHTS, EPOCHS, SEED)
-    sources = sources.select(F.col("source").alias("_source"), "whole", "cut")
-    out = docs.withColumn("digest", _digest("doc_id", "text", SEED)).join(
+    sources = sources.select(F.col("source").alias("_source"), F.col("whole").alias("_whole"), F.col("cut").alias("_cut"))
+    out = docs.withColumn("_digest", _digest("doc_id", "text", SEED)).join(
         sources, F.col("source").cast("string").eqNullSafe(F.col("_source")))
-    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.nullif(repeats(), F.lit(0))))).select(*docs.columns)
+    times = F.nullif(repeats("_digest", "_whole", "_cut"), F.lit(0))
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1), times))).select(*docs.columns)
+
 
 
 SQL = rf"""
