@@ -168,12 +168,12 @@ DOUBLES = {"sum_secs_w30": 4, "complete_rate_w30": 6, "sum_secs_w7": 4, "engagem
 
 @query("J2 J3 J7 A1 A2 A3 A4 A5 A6 W5 P9", TRAIN_ACTIVITY, DOUBLES)
 def activity_features(t):
-    return timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END))
+    return timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END), daily=True)
 
 
 @query("J4 A1 A2 A3 A4 A5 A6", ACTIVITY_SQL.format(snap="f_snap", lo7="-6", lo30="-29", hi="0"), DOUBLES)
 def activity_features_inclusive(t):
-    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True, bounds=(START, END))
+    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True, bounds=(START, END), daily=True)
 
 
 @query("J3 A1 A2", """
@@ -382,14 +382,14 @@ STORE_DOUBLES = {**DOUBLES, "registered_via_freq": 6, "city_freq": 6, "auto_rene
 
 @query("J3 J6 J7 A1 A8 P9 P10", STORE_SQL, STORE_DOUBLES)
 def feature_store(t):
-    return medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END)
+    return medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END, daily=True)
 
 
 @query("J2 J14 P9 P10", STORE_SQL, STORE_DOUBLES)
 def assembled_features(t):
     """The same table from separately built blocks joined together."""
     base = snapshots.attach_members(t.f_snap, members.member_snapshots(t.f_members, START, END))
-    activity = timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END)).drop(*medallion.DAILY_SUMS)
+    activity = timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END), daily=True).drop(*medallion.DAILY_SUMS)
     return snapshots.assemble(base, [activity, timeline.transaction_features(t.f_txn, base)])
 
 

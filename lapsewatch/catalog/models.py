@@ -16,7 +16,7 @@ LR_CANDIDATES, RF_CANDIDATES = 10, 3
 
 def labelled(t):
     """Gold features with labels, written once: fitting reads them many times. Split 12 / 2 / 2 / 2 days."""
-    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END)
+    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END, daily=True)
     d = F.col("snapshot_date")
     tag = F.when(d <= F.lit("2024-01-19").cast("date"), "train").when(d <= F.lit("2024-01-21").cast("date"), "val").when(
         d <= F.lit("2024-01-23").cast("date"), "test").otherwise("oot")

@@ -88,16 +88,25 @@ def is_observation() -> Column:
 class Activity:
     """Listening features over a wide and a narrow window ending the day before, or on, the observation."""
 
-    def __init__(self, metrics: Sequence[str] = METRICS, wide: int = 30, narrow: int = 7, include_today: bool = False):
-        self.metrics, self.wide, self.narrow = list(metrics), wide, narrow
+    def __init__(self, metrics: Sequence[str] = METRICS, wide: int = 30, narrow: int = 7, include_today: bool = False,
+                 daily: bool = False):
+        """``daily`` says that the logs have one row per entity and day; they are then shuffled once, by entity.
+
+        Without it they are first added up by entity and day, which also keeps a hot entity's raw rows apart.
+        """
+        self.metrics, self.wide, self.narrow, self.daily = list(metrics), wide, narrow, daily
         self.end = 0 if include_today else -1
 
     def facts(self, logs: DataFrame, obs: DataFrame, key: str, date: str, bounds: Bounds | None = None) -> DataFrame:
         # everything before the first window only matters for the last log day
         seen = visible(logs, date, obs, floor=self.end - self.wide, bounds=bounds)
-        return seen.groupBy(key, DAY).agg(
-            *[F.sum(m).alias(m) for m in self.metrics], F.max(F.unix_date(F.col(date).cast("date"))).alias("_log_day")
-        ).withColumn("_logged", F.lit(1))
+        log_day = F.unix_date(F.col(date).cast("date"))
+        if self.daily:
+            # days that collapse before the first window lie outside every frame but the last log day's
+            rows = seen.select(key, DAY, *self.metrics, log_day.alias("_log_day"))
+        else:
+            rows = seen.groupBy(key, DAY).agg(*[F.sum(m).alias(m) for m in self.metrics], F.max(log_day).alias("_log_day"))
+        return rows.withColumn("_logged", F.lit(1))
 
     def windows(self, line: DataFrame, key: str) -> DataFrame:
         wide = frame(self.end - self.wide + 1, self.end, key)
@@ -195,6 +204,7 @@ def activity_features(
     key: str = "msno",
     date: str = "date",
     bounds: Bounds | None = None,
+    daily: bool = False,
 ) -> DataFrame:
     """Windowed sums, active days, completion rate, narrow/wide ratio, recency and trend in one pass.
 
@@ -202,7 +212,7 @@ def activity_features(
     Observations without any log day in the wide window are left out, as the feature block starts
     from the wide aggregate; ``keep_inactive`` keeps them with zeros. Observations outside ``bounds`` are left out.
     """
-    act = Activity(metrics, wide, narrow, include_today)
+    act = Activity(metrics, wide, narrow, include_today, daily)
     obs = within(observations(snaps, key=key), bounds)
     line = act.windows(merged_timeline(obs, act.facts(logs, obs, key, date, bounds)), key)
     rows = line.where(is_observation() if keep_inactive else is_observation() & (F.col("_n") > 0))

@@ -33,13 +33,14 @@ def silver(members: DataFrame, transactions: DataFrame, user_logs: DataFrame, ex
 
 
 def feature_store(snaps: DataFrame, members: DataFrame, txn: DataFrame, logs: DataFrame, start: str, end: str,
-                  wide: int = 30, narrow: int = 7) -> DataFrame:
+                  wide: int = 30, narrow: int = 7, daily: bool = False) -> DataFrame:
     """All features of each observation. Activity stays NULL without a log day, transactions become 0.
 
-    Members are joined on the entity; everything else meets on one timeline, without joins.
+    Members are joined on the entity; everything else meets on one timeline, without joins. ``daily`` says that the
+    logs have one row per entity and day.
     """
     base = members_asof(members, within(observations(snaps), (start, end)), start, end, how="left")
-    feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow), Payments(),
+    feats = observation_features(base, logs, txn, Activity(wide=wide, narrow=narrow, daily=daily), Payments(),
                                  bounds=(start, end))
     return feats.drop(*DAILY_SUMS)
 

@@ -144,3 +144,14 @@ def test_known_bounds_reach_the_scan_and_change_nothing(spark, tmp_path):
     assert "LessThan(date" in bounded._jdf.queryExecution().executedPlan().toString()
     stamped = table.withColumn("date", F.col("date").cast("timestamp") + F.expr("INTERVAL 20 HOURS"))
     assert sorted(timeline.activity_features(stamped, obs, bounds=(D, str(plus(D, 9)))).collect()) == sorted(bounded.collect())
+
+
+def test_daily_logs_need_no_first_aggregate(spark):
+    rng = random.Random(4)
+    rows = [(f"u{u}", day("2024-01-01") + dt.timedelta(days=d), *[rng.randrange(9) for _ in range(6)], float(rng.randrange(99)))
+            for u in range(4) for d in range(60) if rng.random() < 0.5]
+    logs = spark.createDataFrame(rows, "msno string, date date, num_25 int, num_50 int, num_75 int, num_985 int, num_100 int, num_unq int, total_secs double")
+    snaps = spark.createDataFrame([(f"u{u}", day(d)) for u in range(4) for d in ("2024-02-10", "2024-02-20", "2024-02-28")], "msno string, snapshot_date date")
+    for bounds in (None, ("2024-02-10", "2024-02-28")):
+        once = timeline.activity_features(logs, snaps, bounds=bounds, daily=True)
+        assert records(once, "msno", "snapshot_date") == records(timeline.activity_features(logs, snaps, bounds=bounds), "msno", "snapshot_date")
