@@ -2,11 +2,12 @@
 
 A benchmark item is cut into windows of WINDOW consecutive words. A document contains a window only if it contains every
 word pair of it, so it is enough to look for the pair that is rarest in the documents (the prefix of a containment join
-with threshold 1). Document pairs that hit such a pair give a start and length by position, those inside the
-document's bounds are compared as whole windows, and equal windows once more word for word.
+with threshold 1). Where a document has such a pair, the window's start follows from the pair's place in it; what
+lies inside the document's bounds is compared as a whole window, word for word.
 
-The text is never moved with the pairs: rows of (document, position, pair hash) meet the prefix pairs, by broadcast or
-by shuffle as Spark finds from their measured size, and only the hits go back to the texts.
+While the benchmark has at most LITERALS distinct pairs, they are part of the scan's expression: each text is read twice
+(to count the pairs, to find the prefixes) and leaves one light row with the words around its hits. Beyond that,
+rows of (document, place, pair) are joined with the pairs, and the hits are joined back to the texts.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import functions as F
 from .tables import lower_az, stored, table
 
 WINDOW = 10
+#: Distinct word pairs of a benchmark that still go into an expression (8 bytes each).
+LITERALS = 20_000
 #: Fixed value: every character that is no word character (ASCII without digits and letters).
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
@@ -45,8 +48,71 @@ def windows_of(benchmark: DataFrame, item: str, text: str, window: int) -> DataF
     ).distinct().withColumn("length", F.size("words"))
 
 
+def _prefixes(spots: DataFrame, seen: DataFrame) -> DataFrame:
+    """The rarest pair of each window; a window with a pair that no document has needs no search."""
+    rarest = spots.join(seen, "pair", "left").groupBy("win", "length").agg(
+        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair", "offset")).alias("first"))
+    return stored(rarest.where("first.n > 0").select("win", "length", "first.pair", "first.offset"))
+
+
+def _by_literals(folded: DataFrame, known: DataFrame, spots: DataFrame, window: int) -> tuple[DataFrame, DataFrame]:
+    """(doc, print, n_words) of each document, and its tries (doc, print, start, length, win, words)."""
+    def member(x: str, pairs: list[int]) -> str:
+        return f"{x} IN ({', '.join(f'{p}L' if p > -2**63 else 'bigint(-9223372036854775808)' for p in pairs)})" if pairs else "false"
+
+    # a window of one word has a single "pair", that of the word with no next one; it may stand anywhere
+    def places(pairs: list[int], lone: list[int]) -> Column:
+        hit = F.expr(f"transform(h, (x, i) -> CASE WHEN {member('x', pairs)} THEN named_struct('at', i, 'pair', x) END)")
+        if lone:
+            one = "xxhash64(x, CAST(NULL AS STRING))"
+            hit = F.concat(hit, F.expr(f"transform(f, (x, i) -> CASE WHEN {member(one, lone)} THEN named_struct('at', i, 'pair', {one}) END)"))
+        return F.filter(hit, lambda x: x.isNotNull())
+
+    def split(df: DataFrame) -> tuple[list[int], list[int]]:
+        got = df.select("pair", "length").distinct().collect()
+        return sorted(r["pair"] for r in got if r["length"] > 1), sorted(r["pair"] for r in got if r["length"] == 1)
+
+    seen = folded.select(F.explode(places(*split(known))).alias("x")).groupBy("x.pair").agg(F.count("*").alias("n"))
+    prefix = _prefixes(spots, seen)
+    hits = folded.withColumn("hits", places(*split(prefix)))
+    reach = F.lit(window - 2)
+    scanned = stored(hits.select("doc", "print", F.size("w").cast("long").alias("n_words"), F.transform("hits", lambda x: F.struct(
+        x["at"].alias("at"), x["pair"].alias("pair"),
+        F.slice("w", F.greatest(x["at"] - reach, F.lit(0)) + 1, 2 * window - 2).alias("around"))).alias("hits")))
+    at = scanned.select("doc", "print", F.explode("hits").alias("x")).select("doc", "print", "x.*")
+    tries = at.join(prefix, "pair").where("at >= offset").withColumn("first", F.col("at") - F.col("offset"))
+    tries = tries.withColumn("words", F.transform(
+        # Spark may compute this before the filter above, so the start is kept valid
+        F.slice("around", F.greatest(F.col("first") - F.greatest(F.col("at") - reach, F.lit(0)) + 1, F.lit(1)), F.col("length")), lower_az))
+    return scanned, tries.where(F.size("words") == F.col("length")).select(
+        "doc", "print", (F.col("first") + 1).alias("start"), "length", "win", "words").distinct()
+
+
+def _by_join(rows: DataFrame, folded: DataFrame, known: DataFrame, spots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """As above for a benchmark of any size."""
+    scanned = stored(folded.select("doc", "print", F.size("w").cast("long").alias("n_words")))
+    places = folded.select("doc", "print", F.posexplode("h").alias("at", "pair"))
+    if known.where("length = 1").limit(1).count():
+        places = places.unionByName(folded.select("doc", "print", F.posexplode(
+            F.transform("f", lambda w: F.xxhash64(w, F.lit(None).cast("string")))).alias("at", "pair"))).distinct()
+    seen = places.join(known, "pair", "left_semi").groupBy("pair").agg(F.count("*").alias("n"))
+    prefix = _prefixes(spots, seen)
+    hits = places.join(prefix.select("pair").distinct(), "pair", "left_semi")
+    tries = hits.join(prefix, "pair").where("at >= offset").select(
+        F.col("doc").alias("_doc"), F.col("print").alias("_print"), (F.col("at") - F.col("offset") + 1).alias("start"), "length", "win")
+    tries = stored(tries.groupBy("_doc", "_print").agg(F.collect_set(F.struct("start", "length", "win")).alias("tries")))
+    both = rows.dropDuplicates(["doc", "print"]).join(
+        tries, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("print") == F.col("_print")))
+    both = with_words(both, lower_az(F.col("text")), "w")
+    out = both.select("doc", "print", F.explode(F.transform(
+        F.filter("tries", lambda t: t["start"] + t["length"] - 1 <= F.size("w")),
+        lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"), t["win"].alias("win"),
+                           F.slice("w", t["start"], t["length"]).alias("words")))).alias("x"))
+    return scanned, out.select("doc", "print", "x.*")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text",
-                  item: str = "item_id", item_text: str = "text", window: int = WINDOW) -> DataFrame:
+                  item: str = "item_id", item_text: str = "text", window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
     """(key, n_words, n_hit, items, contaminated) for every row of ``docs``.
 
     Words are runs of ASCII digits and letters (A-Z lower-cased) and of all characters beyond ASCII. ``n_hit`` counts the
@@ -60,46 +126,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     wins = windows_of(benchmark, item, item_text, window).withColumn("w", F.transform("words", lambda w: F.lower(w)))
     wins = stored(wins.select("item", "words", "length", F.xxhash64("words").alias("win"), _pairs(F.col("w")).alias("pairs")))
 
-    folded = with_words(rows, F.lower("text"), "w").select("doc", "print", "w")
-    # a window of one word has a single "pair", that of the word with no next one; it may stand anywhere
-    lone = wins.where("length = 1").limit(1).count() > 0
-    places = folded.select("doc", "print", F.posexplode(_pairs(F.col("w"))).alias("at", "pair"))
-    if lone:
-        places = places.unionByName(folded.select("doc", "print", F.posexplode(
-            F.transform("w", lambda w: F.xxhash64(w, F.lit(None).cast("string")))).alias("at", "pair"))).distinct()
     spots = wins.select("win", "length", F.posexplode("pairs").alias("offset", "pair")).where(
         "offset < length - 1 OR length = 1").distinct()
-    known = stored(spots.select("pair").distinct())
-    seen = places.join(known, "pair", "left_semi").groupBy("pair").agg(F.count("*").alias("n"))
-    # the prefix: the rarest pair of each window; a window with a pair that no document has needs no search
-    rarest = spots.join(seen, "pair", "left").groupBy("win", "length").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "pair", "offset")).alias("first"))
-    prefix = stored(rarest.where("first.n > 0").select("win", "length", "first.pair", "first.offset"))
-
-    hits = places.join(prefix.select("pair").distinct(), "pair", "left_semi")
-    found = stored(hits.join(prefix, "pair").where("at >= offset").select(
-        "doc", "print", (F.col("at") - F.col("offset") + 1).alias("start"), "length", "win").distinct())
-    gathered = found.groupBy("doc", "print").agg(F.collect_list(F.struct("start", "length", "win")).alias("tries"))
-    gathered = gathered.withColumnsRenamed({"doc": "_doc", "print": "_print"})
-    near = rows.join(found.select("print").distinct(), "print", "left_semi").dropDuplicates(["doc", "print"])
-    tried = near.join(gathered, near["doc"].eqNullSafe(gathered["_doc"]) & (F.col("print") == F.col("_print")))
-    tried = with_words(tried, lower_az(F.col("text")), "w").select("doc", "print", "tries", "w")
-    matched = tried.select("doc", "print", F.explode(F.transform(F.filter(
-        "tries", lambda t: (t["start"] + t["length"] - 1 <= F.size("w"))
-        & (F.xxhash64(F.slice("w", t["start"], t["length"])) == t["win"])),
-        lambda t: F.struct(t["start"].alias("start"), t["length"].alias("length"), F.slice("w", t["start"], t["length"]).alias("words")))).alias("m")
-    ).select("doc", "print", "m.*")
-    sure = stored(matched.join(wins.select("words", "item"), "words").select("doc", "print", "start", "length", "item"))
+    known = stored(spots.groupBy("pair").agg(F.min("length").alias("length")))
+    folded = with_words(rows, F.col("text"), "w")
+    folded = folded.withColumn("f", F.transform("w", lambda w: F.lower(w))).withColumn("h", _pairs(F.col("f")))
+    if known.count() <= literals:
+        scanned, found = _by_literals(folded, known, spots, window)
+    else:
+        scanned, found = _by_join(rows, folded, known, spots)
+    sure = stored(found.where(F.xxhash64("words") == F.col("win")).join(
+        wins.select("words", "item"), "words").select("doc", "print", "start", "length", "item"))
 
     hit = sure.select("doc", "print", "start", "length").distinct().select("doc", "print", F.explode(
         F.sequence("start", F.col("start") + F.col("length") - 1)).alias("at")).distinct().groupBy("doc", "print").agg(
         F.count("*").alias("n_hit"))
     items = sure.groupBy("doc", "print").agg(F.array_sort(F.collect_set("item")).alias("items"))
-    counted = with_words(rows, F.col("text"), "w").select("doc", "print", F.size("w").cast("long").alias("n_words"))
-    for part in (hit, items):
-        part = part.withColumnsRenamed({"doc": "_doc", "print": "_print"})
-        same = counted["doc"].eqNullSafe(part["_doc"]) & (counted["print"] == part["_print"])
-        counted = counted.join(part, same, "left").drop("_doc", "_print")
+    facts = hit.join(items, hit["doc"].eqNullSafe(items["doc"]) & (hit["print"] == items["print"])).select(
+        hit["doc"].alias("_doc"), hit["print"].alias("_print"), "n_hit", "items")
+    counted = scanned.join(facts, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("print") == F.col("_print")), "left")
     none = F.array().cast("array<string>")
     return counted.select(
         F.col("doc").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
