@@ -47,18 +47,25 @@ def parsed(text: Column) -> Column:
     return F.transform(F.slice(pieces, 2, F.size(pieces)), one)
 
 
-def _doubled(nodes: DataFrame) -> list[DataFrame]:
-    """Tables k = 0, 1, ...: (conv, msg, up, steps, score): the ancestor 2 ** k steps up, or null above the root, and the
-    length and score of the way there. The last one points nowhere, but for messages whose way never ends."""
-    levels = [stored(nodes.select("conv", "msg", F.col("parent").alias("up"), F.lit(1).alias("steps"), "score"))]
+def _doubled(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Tables k = 0, 1, ...: (conv, msg, up, steps, score) of the messages that have an ancestor 2 ** k steps up, with the length
+    and score of the way to it; and (conv, msg, steps, score) of the whole way up for messages below a root.
+
+    A table holds only messages that deep, so short threads leave the joins after a few rounds.
+    """
+    start = stored(nodes.select("conv", "msg", F.col("parent").alias("up"), F.lit(1).alias("steps"), "score"))
+    levels, rooted = [start.where("up IS NOT NULL")], start.where("up IS NULL")
     most = nodes.count()
-    while levels[-1].where("up IS NOT NULL").limit(1).count() and 2 ** (len(levels) - 1) <= most:
+    while levels[-1].limit(1).count() and 2 ** (len(levels) - 1) <= most:
         now = levels[-1]
-        then = now.select("conv", F.col("msg").alias("up"), F.col("up").alias("up2"), F.col("steps").alias("steps2"), F.col("score").alias("score2"))
-        levels.append(stored(now.join(then, ["conv", "up"], "left").select(
-            "conv", "msg", F.col("up2").alias("up"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"),
-            (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"))))
-    return levels
+        then = now.unionByName(rooted).select("conv", F.col("msg").alias("up"), F.col("up").alias("up2"),
+                                              F.col("steps").alias("steps2"), F.col("score").alias("score2"))
+        longer = stored(now.join(then, ["conv", "up"]).select(
+            "conv", "msg", F.col("up2").alias("up"), (F.col("steps") + F.col("steps2")).alias("steps"),
+            (F.col("score") + F.col("score2")).alias("score")))
+        levels.append(longer.where("up IS NOT NULL"))
+        rooted = rooted.unionByName(longer.where("up IS NULL"))
+    return levels, rooted.drop("up")
 
 
 def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
@@ -75,9 +82,9 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
     nodes = once.join(ids, ["conv", "parent"], "left").select(
         "conv", "msg", F.when(F.col("_known"), F.col("parent")).alias("parent"), F.coalesce(F.col("score"), F.lit(0.0)).cast("double").alias("score"))
     nodes = stored(nodes)
-    levels = _doubled(nodes)
+    levels, rooted = _doubled(nodes)
     parents = nodes.where("parent IS NOT NULL").select("conv", F.col("parent").alias("msg")).distinct()
-    leaves = levels[-1].where("up IS NULL").join(parents, ["conv", "msg"], "left_anti")
+    leaves = rooted.join(parents, ["conv", "msg"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("score"), "msg"))
     best = leaves.withColumn("rank", rank)
     if top is not None:
@@ -85,7 +92,7 @@ def reply_paths(messages: DataFrame, top: int | None = 1) -> DataFrame:
     best = stored(best.select("conv", F.col("msg").alias("leaf"), "rank", F.col("score").alias("path_score"), "steps"))
     path = best.select("conv", "leaf", F.col("leaf").alias("msg"), F.lit(0).alias("above"))
     for k in range(len(levels) - 1, -1, -1):
-        jump = levels[k].where("up IS NOT NULL").select("conv", "msg", "up")
+        jump = levels[k].select("conv", "msg", "up")
         path = path.unionByName(path.join(jump, ["conv", "msg"]).select(
             "conv", "leaf", F.col("up").alias("msg"), (F.col("above") + 2 ** k).alias("above")))
         path = stored(path) if k % 4 == 0 else path
