@@ -27,7 +27,9 @@ ORDER = 5
 #: Symbols of a text, the bytes 0-255 without the six that separate words, plus space and end.
 SPACE_BYTE, END_BYTE, SYMBOLS = 0x20, 0x0A, 252
 ALPHA = 0.1
-BLOCK = 32_000_000
+BLOCK = 24_000_000
+#: Bytes of text that a Python worker handles at once.
+PIECE = 1_000_000
 WORD, BYTES = 0, 1
 
 
@@ -64,27 +66,61 @@ def _run_lengths(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[n
     return keys[first], counts
 
 
-def _count(order: int):
-    def count(group: pa.Table) -> pa.Table:
-        """The words and byte sequences of a block, and how often each occurs in texts that are learned from."""
-        parts = {WORD: [], BYTES: []}
+class BlockCounts:
+    """The words and byte sequences of a block, and how often each occurs in texts that are learned from.
+
+    Pieces are merged into one sorted list of each kind as they come, so memory follows the distinct keys.
+    """
+
+    def __init__(self, block: int, order: int):
+        self.block, self.order = block, order
+        self.found = {kind: (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for kind in (WORD, BYTES)}
+
+    def add(self, piece: pa.RecordBatch) -> None:
         one = np.uint64(1)
-        for piece in pieces(iter(group.to_batches()), "text"):
-            words = words_of(texts_of(piece, "text"))
-            held = piece.column(piece.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False).astype(np.uint64)
-            codes, first = sequences(words, order)
-            owner = np.diff(np.append(first, len(codes)))
-            for kind, keys in ((WORD, (words.hash >> one << one) | held[words.text]), (BYTES, (codes << one) | np.repeat(held, owner))):
-                parts[kind].append(_run_lengths(keys))
-        out = []
-        for kind, found in parts.items():
-            keys, counts = (np.concatenate(x) for x in zip(*found))
+        words = words_of(texts_of(piece, "text"))
+        held = piece.column(piece.schema.get_field_index("held_out")).to_numpy(zero_copy_only=False).astype(np.uint64)
+        codes, first = sequences(words, self.order)
+        owner = np.diff(np.append(first, len(codes)))
+        for kind, keys in ((WORD, (words.hash >> one << one) | held[words.text]), (BYTES, (codes << one) | np.repeat(held, owner))):
+            keys, counts = _run_lengths(keys)
             counts = np.where(keys & one, 0, counts)
-            keys, counts = _run_lengths(keys >> one, counts)
-            out.append((np.full(len(keys), kind, np.int32), keys.view(np.int64), counts.astype(np.int64)))
-        kinds, keys, counts = (np.concatenate(x) for x in zip(*out))
-        block = np.full(len(keys), group["block"][0].as_py(), np.int64)
-        return pa.table({"block": block, "kind": kinds, "key": keys, "n": counts})
+            old_keys, old_counts = self.found[kind]
+            self.found[kind] = _run_lengths(np.concatenate((old_keys, keys >> one)), np.concatenate((old_counts, counts)))
+
+    def table(self) -> pa.RecordBatch:
+        parts = [(np.full(len(keys), kind, np.int8), keys.view(np.int64), counts) for kind, (keys, counts) in self.found.items()]
+        kinds, keys, counts = (np.concatenate(x) for x in zip(*parts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(keys), self.block, np.int64)), pa.array(kinds), pa.array(keys), pa.array(counts)],
+            ["block", "kind", "key", "n"])
+
+
+def _count_split(order: int):
+    """For rows as they are read: those of a block follow each other in one task."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = None
+        for piece in pieces(batches, "text", PIECE):
+            blocks = piece.column(piece.schema.get_field_index("block")).to_numpy()
+            cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
+            for a, b in zip(cuts, cuts[1:]):
+                if now is None or now.block != blocks[a]:
+                    if now is not None:
+                        yield now.table()
+                    now = BlockCounts(int(blocks[a]), order)
+                now.add(piece.slice(a, b - a))
+        if now is not None:
+            yield now.table()
+
+    return count
+
+
+def _count_group(order: int):
+    def count(group: pa.Table) -> pa.Table:
+        counts = BlockCounts(group["block"][0].as_py(), order)
+        for piece in pieces(iter(group.to_batches()), "text", PIECE):
+            counts.add(piece)
+        return pa.Table.from_batches([counts.table()])
 
     return count
 
@@ -124,7 +160,7 @@ def _score(order: int, total: int, distinct: int, texts: int):
         scale = total + ALPHA * (distinct + 1)
         end = np.log10((texts + ALPHA) / scale)
         out = []
-        for piece in pieces(iter(docs.to_batches()), "text"):
+        for piece in pieces(iter(docs.to_batches()), "text", PIECE):
             words = words_of(texts_of(piece, "text"))
             codes, first = sequences(words, order)
             counts = known[words.hash >> np.uint64(1)]
@@ -189,26 +225,35 @@ def symbol_scores(sequences_seen: DataFrame, order: int) -> DataFrame:
     return predicted.unionByName(state.select("key", F.coalesce("value", never).alias("value")))
 
 
-def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, order: int = ORDER, block: int = BLOCK) -> DataFrame:
+def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 10, order: int = ORDER, block: int = BLOCK,
+           splits: bool = False) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
     Learns from the rows whose CRC-32 of the id as text is not divisible by ``folds`` (a null id counts as empty text and is
     held out). Texts are lower-cased (A-Z); null and empty ones are a lone end. ``score`` is the log10 probability of the
     text under the byte model, ``base_score`` under word counts smoothed by ALPHA. Repeated rows count as often as
     they occur. Without training rows all symbols are equally likely. An empty table gives no rows.
+
+    With ``splits``, for a table read straight from files, a block is an input split, so the texts are counted where they are
+    read and shuffled only once; otherwise blocks are dealt by hash. A block's texts and model fit a task's memory.
     """
     rows = docs.select(F.col(key).alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), held_out(key, folds).alias("held_out"))
     size, texts = rows.agg(F.sum(F.octet_length("text")), F.count(F.when(~F.col("held_out"), 1))).first()
-    blocks = max(1, -(-(size or 0) // block))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(blocks).cast("long")))
-    found = stored(rows.groupBy("block").applyInArrow(_count(order), "block long, kind int, key long, n long"))
+    listed = "block long, kind byte, key long, n long"
+    if splits:
+        rows = rows.withColumn("block", F.xxhash64(F.input_file_name(), F.input_file_block_start()))
+        found = stored(rows.select("block", "text", "held_out").mapInArrow(_count_split(order), listed))
+    else:
+        blocks = max(1, -(-(size or 0) // block))
+        rows = rows.withColumn("block", F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(blocks).cast("long")))
+        found = stored(rows.select("block", "text", "held_out").groupBy("block").applyInArrow(_count_group(order), listed))
     keys = stored(found.groupBy("kind", "key").agg(F.sum("n").alias("n")))
     words = keys.where(F.col("kind") == WORD)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.when(F.col("n") > 0, 1))).first()
     total, distinct = total + texts, distinct + (texts > 0)
     symbols = symbol_scores(keys.where(F.col("kind") == BYTES).select("key", "n"), order)
     model = words.select("kind", "key", F.col("n").cast("double").alias("value")).unionByName(
-        symbols.select(F.lit(BYTES).alias("kind"), "key", "value"))
+        symbols.select(F.lit(BYTES).cast("byte").alias("kind"), "key", "value"))
     local = found.select("block", "kind", "key").join(model, ["kind", "key"])
     kind = dict(rows.dtypes)["id"]
     out = rows.groupBy("block").cogroup(local.groupBy("block")).applyInArrow(
@@ -220,4 +265,4 @@ def scores(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents."""
-    return scores(table(spark, sf_dir, "documents"))
+    return scores(table(spark, sf_dir, "documents"), splits=True)

@@ -88,3 +88,12 @@ def test_without_training_rows_and_empty(spark):
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", 5, "k"), (2, "a", 6, "g")], "doc_id long, text string, n long, key string")
     assert scores(docs).columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+
+def test_input_splits_as_blocks(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate(TEXTS * 3)]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(path)
+    docs = spark.read.parquet(path)
+    by_split = sorted((r[0], r[1], r[2], r[3], round(r[5], 9), round(r[6], 9)) for r in scores(docs, folds=3, splits=True).collect())
+    assert by_split == sorted((r[0], r[1], r[2], r[3], round(r[5], 9), round(r[6], 9)) for r in scores(docs, folds=3).collect())
