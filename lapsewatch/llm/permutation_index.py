@@ -39,7 +39,8 @@ def pivots_of(rows: DataFrame, pivots: int = PIVOTS) -> np.ndarray:
     sizes = [len(r["v"]) for r in sample]
     width = max(set(sizes), key=lambda s: (sizes.count(s), s)) if sizes else 0
     different = list(dict.fromkeys(tuple(r["v"]) for r in sample if len(r["v"]) == width))
-    return np.array(different[:max(1, min(pivots, n // PER_PIVOT))], np.float64).reshape(-1, width)
+    chosen = different[:max(1, min(pivots, n // PER_PIVOT))]
+    return np.array(chosen, np.float64).reshape(len(chosen), width)
 
 
 def _nearest_pivots(pivots: np.ndarray, keep: int):
