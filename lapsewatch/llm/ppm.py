@@ -29,7 +29,9 @@ SPACE_BYTE, END_BYTE, SYMBOLS = 0x20, 0x0A, 252
 ALPHA = 0.1
 BLOCK = 24_000_000
 #: Bytes of text that a Python worker handles at once.
-PIECE = 1_000_000
+PIECE = 400_000
+#: Rows of a block's list that go back to Spark at once.
+ROWS = 100_000
 WORD, BYTES = 0, 1
 
 
@@ -95,6 +97,11 @@ class BlockCounts:
             [pa.array(np.full(len(keys), self.block, np.int64)), pa.array(kinds), pa.array(keys), pa.array(counts)],
             ["block", "kind", "key", "n"])
 
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        whole = self.table()
+        for start in range(0, whole.num_rows, ROWS):
+            yield whole.slice(start, ROWS)
+
 
 def _count_split(order: int):
     """For rows as they are read: those of a block follow each other in one task."""
@@ -106,11 +113,11 @@ def _count_split(order: int):
             for a, b in zip(cuts, cuts[1:]):
                 if now is None or now.block != blocks[a]:
                     if now is not None:
-                        yield now.table()
+                        yield from now.batches()
                     now = BlockCounts(int(blocks[a]), order)
                 now.add(piece.slice(a, b - a))
         if now is not None:
-            yield now.table()
+            yield from now.batches()
 
     return count
 
