@@ -2,7 +2,8 @@
 
 Each line walks a tree of fixed depth: its token count, its first LEAD tokens and its last one, tokens with digits counting as
 a variable field. Inside a leaf, lines join the first template that agrees with them in SIMILAR of the places, and
-places that differ become variable. A template that occurs in MIN_DOCS documents or more recurs, and its lines are dropped.
+places that differ become variable. A template that occurs in MIN_DOCS documents or more recurs, and its lines are dropped;
+lines of fewer than SHORT tokens, which may be alike by chance, recur from SHORT_DOCS documents.
 
 Lines first shrink to distinct lines by leaf, counted with map-side sums; only leaves that hold several distinct lines
 fetch their tokens. A leaf with more than PART lines is parsed in parts, whose templates are parsed together again.
@@ -22,7 +23,9 @@ from .texts import GOLDEN, MIX_1, Words, mix, pieces, texts_of, words_of
 
 LEAD, SIMILAR = 3, 0.7
 #: A template recurs from so many documents; shorter lines (in tokens) are left alone.
-MIN_DOCS, MIN_TOKENS = 3, 4
+MIN_DOCS, MIN_TOKENS = 2, 4
+#: Lines of fewer tokens than this recur from so many documents.
+SHORT, SHORT_DOCS = 8, 3
 PART = 2000
 WILD = 0
 DIGIT = np.zeros(256, np.int64)
@@ -112,12 +115,16 @@ def _group(similar: float):
     return group
 
 
-def templates(docs: DataFrame, similar: float = SIMILAR, part: int = PART) -> DataFrame:
-    """(doc, number, tokens, template): the template of every line that has tokens; ``docs`` is (doc, text)."""
+def templates(docs: DataFrame, similar: float = SIMILAR, part: int = PART, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(doc, number, tokens, template): the template of every line that has tokens; ``docs`` is (doc, text).
+
+    Leaves of fewer lines than ``min_docs`` are not parsed: no template of theirs can occur in so many documents.
+    """
     rows = stored(docs.mapInArrow(_parse, f"doc {dict(docs.dtypes)['doc']}, number int, tokens int, leaf long, line long"))
     distinct = stored(rows.groupBy("leaf", "line").agg(
         F.count("*").alias("docs"), F.min(F.struct("doc", "number")).alias("at")))
-    mixed = distinct.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("docs").alias("n")).where("lines > 1 AND n > 2")
+    mixed = distinct.groupBy("leaf").agg(F.count("*").alias("lines"), F.sum("docs").alias("n")).where(
+        (F.col("lines") > 1) & (F.col("n") >= min_docs))
     several = stored(distinct.join(mixed.select("leaf", "lines"), "leaf"))
     wanted = several.select("at.doc", "at.number").groupBy("doc").agg(F.sort_array(F.collect_set("number")).alias("wanted"))
     wanted = wanted.withColumnRenamed("doc", "_doc").hint("shuffle_hash")
@@ -135,20 +142,23 @@ def templates(docs: DataFrame, similar: float = SIMILAR, part: int = PART) -> Da
 
 
 def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS,
-                   min_tokens: int = MIN_TOKENS) -> DataFrame:
+                   min_tokens: int = MIN_TOKENS, short: int = SHORT, short_docs: int = SHORT_DOCS) -> DataFrame:
     """(key, n_lines, n_dropped, text) for every row of ``docs``: the text without the lines of recurring templates.
 
     Lines end at line feeds, tokens are runs of anything but space and control characters 9 to 13, A-Z lower-cased. Lines
-    of fewer than ``min_tokens`` tokens stay. A null text has no lines and stays null; an empty one has one
+    of fewer than ``min_tokens`` tokens stay. A template recurs from ``min_docs`` documents, one of fewer than ``short`` tokens
+    from ``short_docs`` if that is more. A null text has no lines and stays null; an empty one has one
     empty line. Rows with equal keys are one document: they lose each other's dropped lines where their texts are equal.
     A null key is a document like any other. An empty table gives no rows.
     """
     rows = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("doc", F.struct(F.col("_id").alias("id"), F.xxhash64("text").alias("print")))
-    lined = templates(rows.select(F.to_json("doc").alias("doc"), "text"))
+    lined = templates(rows.select(F.to_json("doc").alias("doc"), "text"), min_docs=min_docs)
     long = lined.where(F.col("tokens") >= min_tokens)
-    recurring = long.select("template", F.get_json_object("doc", "$.id").alias("id")).distinct().groupBy("template").agg(
-        F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    # all lines of a template have as many tokens
+    recurring = long.select("template", "tokens", F.get_json_object("doc", "$.id").alias("id")).distinct().groupBy("template", "tokens").agg(
+        F.count("*").alias("docs")).where(
+        F.col("docs") >= F.when(F.col("tokens") < short, max(min_docs, short_docs)).otherwise(min_docs))
     gone = long.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("number").alias("gone"))
     gone = gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash")
     both = rows.withColumn("doc", F.to_json("doc"))

@@ -31,6 +31,18 @@ def test_exact_repeats_match_a_plain_count(spark):
     assert kept == {i: "\n".join(x for x in t.split("\n") if len(x.split()) < 4) for i, t in rows}
 
 
+def test_two_documents_are_enough(spark):
+    passage = "this passage of more than eight words stands in just two documents of all"
+    near = "the message for {} was sent from the north office late at night"
+    rows = [(1, "first own words here\n" + passage), (2, passage + "\nsecond own words here"), (3, near.format("alice")), (4, near.format("bob")),
+            (5, "only six words in this line"), (6, "only six words in this line"), (7, passage.replace("just two", "one") + "\n" + near[12:])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {1: "first own words here", 2: "second own words here", 3: "", 4: "", 5: rows[4][1], 6: rows[5][1], 7: rows[6][1]}
+    assert {r["doc_id"]: r["text"] for r in drop_recurring(df).collect()} == want
+    assert {r["doc_id"]: r["text"] for r in drop_recurring(df, short_docs=2).collect()} == {**want, 5: "", 6: ""}
+    assert {r["doc_id"]: r["text"] for r in drop_recurring(df, min_docs=3).collect()} == dict(rows)
+
+
 def brute(text):
     """Licenses of single-sentence notices by plain search, one per line."""
     out = []
