@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 from lapsewatch.llm import licenses
 from lapsewatch.llm.line_templates import drop_recurring
@@ -70,3 +71,26 @@ def test_notices_and_rules(spark):
     got = {r["doc_id"]: [m["license"] for m in r["matches"]] for r in licenses.licenses(df).collect()}
     assert got == {**{i: brute(t) for i, t in rows}, **{i: w for i, _, w in full}, None: ["CC0-1.0"]}
     assert licenses.licenses(df.limit(0)).count() == 0
+
+
+def test_wrapped_texts_and_comments(spark):
+    s = licenses.SENTENCES
+    wrap = lambda *keys: "\n\n".join(textwrap.fill(s[k], 72) for k in keys)
+    mark = lambda text, m, end="": "\n".join(f"{m} {x}".rstrip() + end for x in text.split("\n"))
+    bsd = s["bsd-grant"], *(f"{i}. {s[k]}" for i, k in enumerate(("bsd-source", "bsd-binary", "bsd-names"), 1))
+    bsd = "\n".join(textwrap.fill(x, 76, subsequent_indent="   ") for x in bsd)
+    mit, header = "MIT License\n\nCopyright (c) 2020 A. Person\n\n" + wrap("mit-grant", "mit-notice", "as-is").upper(), wrap("gpl3-terms")
+    apache = ('Copyright 2020 A. Person\nLicensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in '
+              "compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nMore.")
+    rows = [(mit, ["MIT"], 3), (mark(mit, "#"), ["MIT"], 3), (bsd, ["BSD-3-Clause"], None), (mark(bsd, "//"), ["BSD-3-Clause"], None),
+            (header, ["GPL-3.0"], 1), (wrap("gpl2-terms"), ["GPL-2.0"], None), ("/*\n" + mark(header, " *") + "\n */\nint x;", ["GPL-3.0"], 1),
+            (mark(wrap("gpl2-terms"), ";;"), ["GPL-2.0"], None), (mark(header, "dnl"), ["GPL-3.0"], 1), (f"<!--\n{header} -->", ["GPL-3.0"], 1),
+            (mark(header, "/*", " */"), ["GPL-3.0"], 1), (header.replace("\n", "\r\n"), ["GPL-3.0"], 1), (apache, ["Apache-2.0"], None),
+            ("License: MIT License", ["MIT"], 1), ("Name: x\nLicense:\n  Apache License 2.0\nAuthor: y", ["Apache-2.0"], 1),
+            ("This file is licensed\nunder the MIT License", ["MIT"], 1), ("no end\nReleased under the MIT License\nno start", ["MIT"], 1),
+            ("License: none\nMIT License", [], 0), ("This file is licensed. Under the MIT License.", [], 0)]
+    got = licenses.licenses(spark.createDataFrame([(i, r[0]) for i, r in enumerate(rows)], "doc_id long, text string")).collect()
+    for r in got:
+        text, names, n = rows[r["doc_id"]]
+        assert [m["license"] for m in r["matches"]] == names and n in (None, r["n_known"]), (text, r)
+    assert {r["doc_id"]: r["matches"][0]["sentence"] for r in got if r["matches"]}[16] == 1
