@@ -1,7 +1,7 @@
 """Line dedup by a log-template tree.
 
-Each line walks a tree of fixed depth: its token count, its first LEAD tokens and its last one, tokens with digits counting as
-a variable field. Inside a leaf, lines join the first template that agrees with them in SIMILAR of the places, and
+Each line walks a tree of fixed depth: its token count and its first LEAD tokens, tokens with digits counting as a variable
+field. Inside a leaf, lines join the first template that agrees with them in SIMILAR of the places, and
 places that differ become variable. A template that occurs in MIN_DOCS documents or more recurs, and its lines are dropped;
 lines of fewer than SHORT tokens, which may be alike by chance, recur from SHORT_DOCS documents.
 
@@ -56,7 +56,7 @@ def keys_of(words: Words, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     leaf = n[some].astype(np.uint64) * GOLDEN
     for k in range(LEAD):
         leaf = mix(leaf ^ np.where(n[some] > k, tokens[np.minimum(begin + k, len(tokens) - 1)], np.uint64(3))) * MIX_1
-    return mix(leaf ^ tokens[begin + n[some] - 1]) if len(some) else leaf, line
+    return leaf, line
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,7 +108,7 @@ def _group(similar: float):
         lines = flat.reshape(rows.num_rows, -1)
         number, templates = group_lines(lines, similar)
         line = rows["line"].to_numpy()
-        first = np.array([line[np.flatnonzero(number == t)[0]] for t in range(len(templates))])
+        first = line[np.unique(number, return_index=True)[1]]
         return pa.table({"leaf": rows["leaf"], "line": rows["line"], "docs": rows["docs"], "template": pa.array(first[number]),
                          "tokens": pa.array(list(templates[number]), pa.list_(pa.int64()))})
 

@@ -44,6 +44,13 @@ def test_two_documents_are_enough(spark):
     assert {r["doc_id"]: r["text"] for r in drop_recurring(df, min_docs=3).collect()} == dict(rows)
 
 
+def test_the_last_token_may_vary(spark):
+    rows = [(i, f"Please report problems to {x}") for i, x in enumerate(("Bob", "Carol", "Dave"))]
+    rows += [(i + 10, f"all of this is signed and sealed by {x}") for i, x in enumerate(("Bob", "Carol"))] + [(20, "Please report old bugs at once")]
+    got = drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["n_dropped"] for r in got} == {0: 1, 1: 1, 2: 1, 10: 1, 11: 1, 20: 0}
+
+
 def brute(text):
     """Licenses of single-sentence notices by plain search, one per line."""
     out = []
