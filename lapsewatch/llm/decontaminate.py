@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import lower_az, stored, table
+from .tables import lower_az, stored, table, without
 
 WINDOW = 10
 #: Distinct word pairs of a benchmark that still go into an expression (8 bytes each).
@@ -121,6 +121,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     windows count once. Null keys and repeated keys are kept as rows of their own. Empty tables give no rows
     or no hits.
     """
+    return _judged(docs, benchmark, key, text, item, item_text, window, literals).drop("_print")
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, key: str, text: str, item: str, item_text: str, window: int,
+            literals: int) -> DataFrame:
+    """As ``contamination``, with the hash of each row's text (_print)."""
     rows = docs.select(F.col(key).alias("doc"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("print", F.xxhash64("text"))
     wins = windows_of(benchmark, item, item_text, window).withColumn("w", F.transform("words", lambda w: F.lower(w)))
@@ -147,7 +153,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", te
     counted = scanned.join(facts, F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("print") == F.col("_print")), "left")
     none = F.array().cast("array<string>")
     return counted.select(
-        F.col("doc").alias(key), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        F.col("doc").alias(key), F.col("print").alias("_print"), "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", none).alias("items"), F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
 
 
@@ -159,10 +165,9 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain a benchmark window go."""
-    bad = contamination(docs, table(spark, sf_dir, "benchmark")).where("contaminated").select(
-        F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """Rows whose text contains a benchmark window go."""
+    judged = _judged(docs, table(spark, sf_dir, "benchmark"), "doc_id", "text", "item_id", "text", WINDOW, LITERALS)
+    return without(docs, judged.where("contaminated"))
 
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

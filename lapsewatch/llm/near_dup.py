@@ -39,7 +39,7 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
     return draw[0] | np.uint64(1), draw[1]
 
 
-def _sign(width: int, key: str):
+def _sign(width: int, keys: list[str]):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times, flip = _permutations()
         for batch in pieces(batches, "text"):
@@ -56,10 +56,10 @@ def _sign(width: int, key: str):
                 prints[1, some] = np.bitwise_xor.reduceat(sets * times[0], begin)
             offsets = np.concatenate(([0], np.cumsum(np.where(size > 0, COORDINATES, 0)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index(key)), pa.array(size, pa.int64()),
+                [*(batch.column(batch.schema.get_field_index(k)) for k in keys), pa.array(size, pa.int64()),
                  pa.array(prints[0].view(np.int64), mask=size == 0), pa.array(prints[1].view(np.int64), mask=size == 0),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.ravel().view(np.int32)))],
-                [key, "n_shingles", "print_a", "print_b", "signature"])
+                [*keys, "n_shingles", "print_a", "print_b", "signature"])
 
     return sign
 
@@ -139,18 +139,35 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
 
     Texts are lower-cased (A-Z) and split at spaces and control characters 9 to 13; a text with fewer than ``width``
     words is one shingle. Two documents are linked if 100 * intersection >= percent * union of their shingle sets.
-    A null text or one without words has no shingles and no links. Rows with equal keys are one document, in the
-    component of all its texts. A null key is linked like any other, but is never the smallest: its row has the component of
-    its text's other documents, or null, and is kept only if it has none. An empty table gives no rows.
+    A null text or one without words has no shingles and no links, but its key may have other texts. Rows with equal keys are
+    one document, in the component of all its texts. A row with a null key is a document of its own, linked like any other,
+    but its key is never the smallest: it has the component of the documents it is linked to. Where all of these have null
+    keys, the component is null and one row of them is kept. An empty table gives no rows.
     """
+    return _judged(docs, key, text, width, percent).select(F.col("doc").alias(key), "n_shingles", "component_id", "kept")
+
+
+def node(key: Column, text: Column) -> Column:
+    """The key, or a number made from the text where it is null."""
+    return F.coalesce(key, F.lit(1 << 62).cast("long") + F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1).cast("long")))
+
+
+def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
+    """(doc, node, n_shingles, component_id, kept) for every row of ``docs``; null keys have nodes by their text."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).cast("string").alias("text"))
+    rows = rows.select(node(F.col("doc"), F.col("text")).alias("doc"), F.col("doc").isNotNull().alias("named"), "text")
     signed = stored(rows.mapInArrow(
-        _sign(width, "doc"), "doc long, n_shingles long, print_a long, print_b long, signature array<int>"))
+        _sign(width, ["doc", "named"]), "doc long, named boolean, n_shingles long, print_a long, print_b long, signature array<int>"
+    ).withColumn("row", F.monotonically_increasing_id()))
     same_set = ["n_shingles", "print_a", "print_b"]
-    sets = signed.where("n_shingles > 0 AND doc IS NOT NULL").groupBy(*same_set).agg(F.min("doc").alias("rep"))
+    # a set goes by its smallest key; one that only rows without a key have, by the first of these
+    sets = signed.where("n_shingles > 0").groupBy(*same_set).agg(
+        F.min(F.struct((~F.col("named")).alias("unnamed"), "doc", "row")).alias("first")).select(
+        *same_set, F.col("first.doc").alias("rep"), (~F.col("first.unnamed")).alias("named_rep"), F.col("first.row").alias("first_row"))
     sets = stored(sets)
-    reps = signed.join(sets.withColumnRenamed("rep", "doc"), ["doc", *same_set], "left_semi").dropDuplicates(["doc", *same_set])
+    reps = signed.join(sets.select(F.col("rep").alias("doc"), F.col("named_rep").alias("named"), *same_set), ["doc", "named", *same_set], "left_semi")
+    reps = reps.dropDuplicates(["doc", *same_set])
 
     tokens = reps.select("doc", F.posexplode("signature").alias("place", "value")).select(
         "doc", ((F.col("place").cast("long") * F.lit(1 << 32)) + F.col("value")).alias("token"))
@@ -210,16 +227,24 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     exact = alike.join(one, "u").join(two, "v").where(
         100 * both >= percent * (F.size("s_u") + F.size("s_v") - both)).select("u", "v")
 
-    # rows of one key with different texts are one document
-    twice = signed.join(sets, same_set).where("doc <> rep").groupBy("doc").agg(
-        F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.min(F.struct(*same_set)).alias("a"), F.max(F.struct(*same_set)).alias("b")
-    ).where("a <> b").select(F.explode(F.array("lo", "hi")).alias("u"), F.col("doc").alias("v"))
-    found = components(within.unionByName(exact).unionByName(twice))
-
-    classed = signed.join(sets, same_set, "left").withColumn("vertex", F.coalesce("rep", "doc"))
-    out = classed.join(found, "vertex", "left").withColumn("component_id", F.coalesce("component", "vertex"))
-    return out.select(F.col("doc").alias(key), "n_shingles", "component_id", F.coalesce(
-        F.col("doc") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"))
+    # rows of one key with different texts are one document: all its sets are linked to its key
+    classed = stored(signed.select("doc", "named", "row", *same_set).join(sets, same_set, "left").select(
+        "doc", "named", "row", "n_shingles", "rep", "named_rep", "first_row", F.coalesce("rep", "doc").alias("vertex")))
+    by_set = classed.where("named")
+    several = by_set.groupBy("doc").agg(F.min("vertex").alias("lo"), F.max("vertex").alias("hi")).where("lo < hi").select("doc")
+    twice = by_set.where("rep <> doc").join(several, "doc", "left_semi").select(F.col("rep").alias("u"), F.col("doc").alias("v")).distinct()
+    found = stored(components(within.unionByName(exact).unionByName(twice)))
+    found = found.unionByName(found.select(F.col("component").alias("vertex"), "component").distinct())
+
+    # a component goes by its smallest key
+    smallest = found.join(sets.where("named_rep").select(F.col("rep").alias("vertex")).distinct(), "vertex", "left_semi").groupBy(
+        "component").agg(F.min("vertex").alias("least"))
+    linked = found.join(smallest, "component", "left")
+    out = classed.join(linked, "vertex", "left").withColumn("component_id", F.when(F.col("component").isNotNull(), F.col("least")).when(
+        F.coalesce("named_rep", "named"), F.col("vertex")))
+    first = F.col("first_row").isNull() | ((F.col("row") == F.col("first_row")) & (F.col("vertex") == F.coalesce("component", "vertex")))
+    return out.select(F.when(F.col("named"), F.col("doc")).alias("doc"), F.col("doc").alias("node"), "n_shingles", "component_id", F.when(
+        F.col("named"), F.col("doc") == F.col("component_id")).otherwise(F.col("component_id").isNull() & first).alias("kept"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +253,13 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; repeated rows of it stay as they are."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    """One document of each group stays, the one with the smallest id; repeated rows of it stay as they are. Of a group
+    without ids one row stays; rows without id and words stay as they are."""
+    kept = _judged(docs, "doc_id", "text", WIDTH, PERCENT).where("kept").select(
+        F.col("node").alias("_node"), F.col("doc").isNotNull().alias("_named"), (F.col("n_shingles") > 0).alias("_words"))
+    named, unnamed = kept.where("_named").select("_node").distinct(), kept.where("NOT _named").distinct()
+    some = docs.where("doc_id IS NOT NULL").join(named, F.col("doc_id").cast("long") == F.col("_node"), "left_semi")
+    rest = docs.where("doc_id IS NULL").withColumn("_at", node(F.col("doc_id").cast("long"), F.col("text").cast("string"))).join(
+        unnamed, F.col("_at") == F.col("_node"))
+    one = rest.where("_words").dropDuplicates(["_at"])
+    return some.unionByName(one.unionByName(rest.where("NOT _words")).select(*docs.columns))

@@ -34,3 +34,10 @@ def lower_az(text: Column) -> Column:
 def held_out(doc_id: str, modulus: int) -> Column:
     """Whether the CRC-32 of the id as text is divisible by ``modulus``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus == 0
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id and text are not in ``bad`` (doc_id, _print), _print being the hash of the text."""
+    bad = bad.select(F.col("doc_id").alias("_bad"), "_print").distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]) & (
+        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["_print"]), "left_anti")

@@ -19,7 +19,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import held_out, stored, table
+from .tables import held_out, stored, table, without
 from .texts import GOLDEN, Words, mix, pieces, texts_of, words_of
 
 #: Insults that mark a text as toxic in English.
@@ -93,7 +93,8 @@ def _vote(voters: list[int]):
             pairs = np.unique(np.concatenate(texts) * len(known) + np.concatenate(fired))
             bounds = np.searchsorted(pairs, np.arange(batch.num_rows + 1) * len(known)).astype(np.int32)
             votes = pa.ListArray.from_arrays(pa.array(bounds), pa.array((pairs % len(known)).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("id")), votes], ["id", "votes"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in ("id", "print")), votes],
+                                             ["id", "print", "votes"])
 
     return vote
 
@@ -189,19 +190,25 @@ def score(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     of one key the largest counts; null labels are ignored. Without labels the lexicon votes alone. An empty table gives
     no rows.
     """
+    return _judged(docs, labels, key, text, label_key, toxic, folds).drop("_print")
+
+
+def _judged(docs: DataFrame, labels: DataFrame, key: str, text: str, label_key: str, toxic: str, folds: int) -> DataFrame:
+    """As ``score``, with the hash of each row's text (_print)."""
     rows = docs.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     learn = labels.select(F.col(label_key).alias("id"), F.col(toxic).cast("int").alias("toxic")).where(
         F.col("id").isNotNull() & F.col("toxic").isNotNull() & ~held_out("id", folds))
     voters = choose_voters(rows, learn)
     base = learn.agg(F.avg("toxic")).first()[0] or 0.05
     kind = dict(rows.dtypes)["id"]
-    voted = stored(rows.mapInArrow(_vote([h for h, _, _ in voters]), f"id {kind}, votes array<int>"))
+    printed = rows.withColumn("print", F.xxhash64(F.coalesce("text", F.lit(""))))
+    voted = stored(printed.mapInArrow(_vote([h for h, _, _ in voters]), f"id {kind}, print long, votes array<int>"))
     seen = stored(voted.where(~held_out("id", folds)).groupBy("votes").agg(F.count("*").alias("n")))
     odds = label_model(seen, voters, base)
     if seen.where(odds > 0).limit(1).count() and seen.where(odds <= 0).limit(1).count():
         intercept, weights, verdict = classifier(seen, odds, len(voters))
         odds = F.lit(intercept) + _sum_of(weights) + F.when(odds > 0, verdict).otherwise(0.0)
-    out = voted.select(F.col("id").alias(key), held_out("id", folds).alias("held_out"), (1 / (1 + F.exp(-odds))).alias("score"))
+    out = voted.select(F.col("id").alias(key), F.col("print").alias("_print"), held_out("id", folds).alias("held_out"), (1 / (1 + F.exp(-odds))).alias("score"))
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
@@ -211,6 +218,6 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are predicted toxic go."""
-    bad = score(docs, table(spark, sf_dir, "labels")).where("predicted = 1").select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """Rows whose text is predicted toxic go."""
+    judged = _judged(docs, table(spark, sf_dir, "labels"), "doc_id", "text", "doc_id", "toxic", 5)
+    return without(docs, judged.where("predicted = 1"))

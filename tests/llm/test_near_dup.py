@@ -3,7 +3,7 @@ import re
 from itertools import combinations
 
 from lapsewatch.llm.components import components
-from lapsewatch.llm.near_dup import near_duplicates
+from lapsewatch.llm.near_dup import near_duplicates, stage
 
 
 def shingles(text, width):
@@ -82,3 +82,23 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)] + [(200, 200), (300, None)]
     got = {r["vertex"]: r["component"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 61)}, **{i: 100 for i in range(101, 160)}}
+
+
+def test_copies_without_keys_and_keys_of_several_texts(spark):
+    words = [f"w{i}" for i in range(60)]
+    base, near = " ".join(words), " ".join([*words[:-1], "other"])
+    odd, close = " ".join(f"o{i}" for i in range(60)), " ".join([*(f"o{i}" for i in range(59)), "end"])
+    a, b, c = (" ".join(f"{x}{i}" for i in range(9)) for x in "abc")
+    rows = [(None, base), (None, base), (None, near), (None, odd), (2**63 - 5, close), (None, "alone in the world of texts"), (None, None), (None, ""),
+            (1, a), (2, b), (3, a), (3, b), (3, c), (4, c), (3, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = near_duplicates(docs).collect()
+    assert len(got) == len(rows)
+    assert {(r["doc_id"], r["component_id"], r["kept"]) for r in got if r["doc_id"] and r["doc_id"] < 9} == {
+        (1, 1, True), (2, 1, False), (3, 1, False), (4, 1, False)}
+    assert sorted((str(r["component_id"]), r["kept"]) for r in got if r["doc_id"] is None) == sorted([
+        ("None", True), ("None", False), ("None", False), (str(2**63 - 5), False), ("None", True), ("None", True), ("None", True)])
+    left = [(r["doc_id"], r["text"]) for r in stage(spark, docs, None).collect()]
+    assert sum(r in ((None, base), (None, near)) for r in left) == 1
+    assert sorted(map(str, (r for r in left if r[1] not in (base, near)))) == sorted(map(str, [
+        (2**63 - 5, close), (None, "alone in the world of texts"), (None, None), (None, ""), (1, a)]))
