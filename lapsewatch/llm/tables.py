@@ -41,3 +41,15 @@ def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
     bad = bad.select(F.col("doc_id").alias("_bad"), "_print").distinct()
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]) & (
         F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == bad["_print"]), "left_anti")
+
+
+def finite(vector: Column) -> Column:
+    """Whether an array is not null and holds neither null nor non-finite components."""
+    good = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce(good, F.lit(False))
+
+
+def commonest_width(rows: DataFrame, column: str) -> tuple[int, int]:
+    """The commonest length of an array column, ties to the longer, and how many rows have it; (0, 0) without rows."""
+    top = rows.groupBy(F.size(column).alias("width")).count().orderBy(F.desc("count"), F.desc("width")).first()
+    return (top["width"], top["count"]) if top else (0, 0)
