@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import models, monitor
+from ..operators import models, monitor, score_counts
+from ..sources.writers import shared_folder
 from .base import query
 
 Q = [i / 10 for i in range(11)]
@@ -184,6 +185,48 @@ def monitoring_report(t):
     return monitor.monitor(t.base, t.cur, "score", t.f_label)
 
 
+COUNTED = """SELECT 'm' AS model_file, snapshot_date, score, count(score) AS n, count(*) FILTER (WHERE score IS NOT NULL AND label = 1) AS pos,
+    count(*) FILTER (WHERE score IS NOT NULL AND label = 0) AS neg, count(*) FILTER (WHERE label IS NOT NULL) AS matched, count(*) AS rows
+    FROM f_score GROUP BY snapshot_date, score"""
+
+
+def _counts_path(t):
+    """State of all scoring runs: a first run without labels, then one that knows them and replaces it."""
+    path, scored = shared_folder(t.spark), t.f_score.withColumn("model_file", F.lit("m"))
+    score_counts.write_counts(scored.where(F.dayofmonth("snapshot_date") <= 15), path, "score")
+    score_counts.write_counts(scored, path, "score", "label")
+    return path
+
+
+@query("Q1 Q11 S8 S11", COUNTED)
+def score_counts_state(t):
+    return t.spark.read.parquet(_counts_path(t)).select("model_file", "snapshot_date", "score", *score_counts.COUNTS)
+
+
+DAY, FIRST, LAST = "2024-01-20", "2024-01-08", "2024-01-14"
+ONE_DAY = f"(SELECT * FROM f_score WHERE snapshot_date = DATE '{DAY}')"
+BASE_DAYS = f"(SELECT * FROM f_score WHERE snapshot_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}')"
+SIDES = f"(SELECT *, 'base' AS side FROM (SELECT * EXCLUDE side FROM f_score) x WHERE snapshot_date BETWEEN DATE '{FIRST}' AND DATE '{LAST}' UNION ALL SELECT *, 'cur' AS side FROM (SELECT * EXCLUDE side FROM f_score) x WHERE snapshot_date = DATE '{DAY}')"
+
+
+def _on_days(sql):
+    return sql.replace("f_score", SIDES)
+
+
+@query("Q1 Q2 Q3 Q4 Q5 Q6 Q9 Q10 Q11 Q12", f"""SELECT 'm' AS model_file, DATE '{DAY}' AS snapshot_date, DATE '{FIRST}' AS baseline_start,
+    DATE '{LAST}' AS baseline_end, section, metric, value FROM (""" + " UNION ALL ".join([
+    _melt("baseline_summary", _summary(BASE_DAYS), STATS), _melt("current_summary", _summary(ONE_DAY), STATS),
+    _melt("drift", _on_days(KS_FULL), ["ks_stat", "ks_pvalue"]),
+    _melt("drift", _on_days(f"SELECT psi, CASE WHEN psi >= 0.3 THEN 2 WHEN psi >= 0.2 THEN 1 ELSE 0 END AS code FROM ({PSI}) p"), ["psi", "code"]),
+    *[f"SELECT 'deciles' AS section, '{c}_d' || CAST(decile AS VARCHAR) AS metric, {c} AS value FROM ({_on_days(DECILES)}) d" for c in ("base", "current", "diff")],
+    _melt("label_metrics", f"SELECT count(*) AS matched, 0 AS unmatched FROM {ONE_DAY} x", ["matched", "unmatched"]),
+    _melt("label_metrics", _auc("").replace("f_score", ONE_DAY), ["roc_auc", "gini"]),
+    _melt("label_metrics", _metrics().replace("f_score", ONE_DAY), ["precision", "recall", "f1"]),
+]) + ") r", ["value"], digits=8)
+def monitoring_report_of_a_date(t):
+    return score_counts.monitor_counts(t.spark, _counts_path(t), "m", DAY, (FIRST, LAST))
+
+
 @query("T9", """SELECT msno, snapshot_date, 1 / (1 + exp(-(-1.5 + coalesce(CAST(plan_list_price AS DOUBLE), 0) * 0.002 + coalesce(CAST(is_cancel AS DOUBLE), 0) * 1.25)))
     AS churn_proba, 'linear' AS model_file FROM (SELECT *, transaction_date AS snapshot_date FROM f_txn) f""", ["churn_proba"], digits=9)
 def score_linear(t):

@@ -13,7 +13,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.writers import materialise
+
 BUCKETS = 1024
+#: Rank error of the sketch that brackets a quantile (one part in so many), and how far brackets may reach, nearest first.
+ACCURACY = 1000
+REACH = (0.005, 0.02, 0.1, 0.3)
+#: Counted values that are ranked by one window per group; more are cut into buckets first.
+ONE_TASK = 1_000_000
 
 
 def value_buckets(df: DataFrame, value: str, buckets: int = BUCKETS, name: str = "_bucket") -> DataFrame:
@@ -69,6 +76,21 @@ def running_sums(
     }).drop(bucket, *[f"_o_{n}" for n in sums], *[f"_v_{n}" for n in sums])
 
 
+def running_counts(counts: DataFrame, by: Sequence[str], value: str, sums: dict[str, Column]) -> DataFrame:
+    """:func:`running_sums` of a table with one row per distinct value, which is written first.
+
+    Up to ONE_TASK rows one window per group is enough; more are cut into buckets of the value. Both give the same rows.
+    """
+    counts = materialise(counts)
+    if counts.count() > ONE_TASK:
+        return running_sums(value_buckets(counts, value), by, [value], sums)
+    order = Window.partitionBy(*by).orderBy(value)
+    before, zero = order.rowsBetween(Window.unboundedPreceding, -1), F.lit(0)
+    return counts.withColumns({
+        **{f"{n}_before": F.coalesce(F.sum(c).over(before), zero) for n, c in sums.items()},
+        **{f"{n}_total": F.sum(c).over(Window.partitionBy(*by)) for n, c in sums.items()}})
+
+
 def holds_rank(rank: Column, n: Column, before: Column) -> Column:
     """Whether a run of ``n`` equal values with ``before`` smaller ones covers a zero-based rank."""
     return (rank >= before) & (rank < before + n)
@@ -83,26 +105,8 @@ def interpolate(lo: Column, hi: Column, frac: Column) -> Column:
     return F.when(lo == hi, lo).otherwise(lo * (1 - frac) + hi * frac)
 
 
-def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    buckets: int = BUCKETS,
-) -> DataFrame:
-    """Linear-interpolation quantiles, long form: by..., column, prob, value.
-
-    Rows are first counted per distinct value, so a value held by a third of the rows is one row.
-    """
-    by = list(by)
-    counts = (
-        df.select(*by, *[F.col(c).cast("double").alias(f"_c_{c}") for c in cols])
-        .unpivot(by, [f"_c_{c}" for c in cols], "column", "v")
-        .where(F.col("v").isNotNull())
-        .groupBy(*by, F.substring("column", 4, 1000).alias("column"), "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ranked = running_sums(value_buckets(counts, "v", buckets), [*by, "column"], ["v"], {"n": F.col("n")})
+def _picked(ranked: DataFrame, probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """Quantiles of counted values (``v`` with ``n`` rows, ``n_before`` smaller ones of ``n_total``): by..., prob, value."""
     n, before, total = F.col("n"), F.col("n_before"), F.col("n_total")
 
     def sides(p):
@@ -113,14 +117,120 @@ def exact_quantiles(
     for p in probs:
         lo, hi = sides(F.lit(float(p)))
         wanted = wanted | lo | hi
-    # few rows remain: at most two per quantile, column and group
+    # few rows remain: at most two per quantile and group
     few = ranked.where(wanted).withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
     lo, hi = sides(F.col("prob"))
     pos = position(F.col("prob"), total)
-    found = few.groupBy(*by, "column", "prob").agg(
+    found = few.groupBy(*by, "prob").agg(
         F.max(F.when(lo, F.col("v"))).alias("lo"), F.max(F.when(hi, F.col("v"))).alias("hi"),
         F.max(pos - F.floor(pos)).alias("frac"))
-    return found.select(*by, "column", "prob", interpolate(F.col("lo"), F.col("hi"), F.col("frac")).alias("value"))
+    return found.select(*by, "prob", interpolate(F.col("lo"), F.col("hi"), F.col("frac")).alias("value"))
+
+
+def ranked_quantiles(
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), buckets: int = BUCKETS
+) -> DataFrame:
+    """Quantiles by ranking all distinct values, in the form of :func:`exact_quantiles`; nothing runs before the result is used."""
+    counts = (
+        df.select(*by, *[F.col(c).cast("double").alias(f"_c_{c}") for c in cols])
+        .unpivot(list(by), [f"_c_{c}" for c in cols], "column", "v")
+        .where(F.col("v").isNotNull())
+        .groupBy(*by, F.substring("column", 4, 1000).alias("column"), "v")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    group = [*by, "column"]
+    return _picked(running_sums(value_buckets(counts, "v", buckets), group, ["v"], {"n": F.col("n")}), probs, group)
+
+
+def _number(x: float | None) -> str:
+    """A double as SQL text."""
+    return "CAST(NULL AS DOUBLE)" if x is None else f"double('{x!r}')"
+
+
+def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """One row per group with two values around each quantile (``_lo<column>_<prob>``, ``_hi...``), by number.
+
+    The values come from a sketch in one pass; NULL leaves a side open. A sketch may be off by 1 / ACCURACY of the rows and a
+    rank by one row, so the bracket reaches out by at least twice both.
+    """
+    grid = sorted({round(p + s, 12) for p in probs for r in REACH for s in (-r, r) if 0 < p + s < 1})
+    asked = f"array({', '.join(map(str, grid))})"
+    aggs = [f for j, c in enumerate(cols) for f in (
+        F.expr(f"count(`{c}`) AS _n{j}"), F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), {asked}, {ACCURACY}) AS _e{j}"))]
+
+    def end(j: int, p: float, sign: int) -> str:
+        cases = []
+        for r in REACH:
+            at = round(p + sign * r, 12)
+            value = f"get(_e{j}, {grid.index(at)})" if 0 < at < 1 else _number(None)
+            cases.append(f"WHEN {2 / ACCURACY}D + 2D / nullif(_n{j}, 0) <= {r}D THEN {value}")
+        return f"CASE {' '.join(cases)} END"
+
+    ends = [f"{end(j, p, s)} AS _{name}{j}_{i}" for j in range(len(cols)) for i, p in enumerate(probs)
+            for name, s in (("lo", -1), ("hi", 1))]
+    sketches = materialise(df.groupBy(*by).agg(*aggs))
+    return sketches.selectExpr(*[f"`{b}` AS `_k_{b}`" for b in by], *[f"_n{j}" for j in range(len(cols))], *ends)
+
+
+def _inside(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], ends: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counted values inside each bracket (by..., j, i, v, n), and per group how many values lie below each (``_below<j>_<i>``)."""
+    if by:
+        same = [F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by]
+        at, rows = str, df.join(ends, same, "inner")
+    else:
+        row = ends.first()  # one row
+        at, rows = (lambda name: _number(row[name])), df
+    below, hits = [], []
+    for j, c in enumerate(cols):
+        v = f"CAST(`{c}` AS DOUBLE)"
+        below.append(F.expr(f"max({at(f'_n{j}')}) AS _n{j}"))
+        for i in range(len(probs)):
+            lo, hi = at(f"_lo{j}_{i}"), at(f"_hi{j}_{i}")
+            below.append(F.expr(f"count_if({v} < {lo}) AS _below{j}_{i}"))
+            hits.append(f"CASE WHEN {v} IS NOT NULL AND ({lo} IS NULL OR {v} >= {lo}) AND ({hi} IS NULL OR {v} <= {hi}) "
+                        f"THEN struct({j} AS j, {i} AS i, {v} AS v) END")
+    counted = rows.select(*by, F.expr(f"explode(array({', '.join(hits)})) AS q")).where("q IS NOT NULL").groupBy(*by, "q.j", "q.i", "q.v").agg(
+        F.count(F.lit(1)).alias("n"))
+    return counted, rows.groupBy(*by).agg(*below)
+
+
+def exact_quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    buckets: int = BUCKETS,
+) -> DataFrame:
+    """Linear-interpolation quantiles, long form: by..., column, prob, value.
+
+    Selection by refinement: a sketch puts a narrow bracket around each wanted rank in one pass; then the values below each
+    bracket are counted, and those inside are counted one by one, so only about a hundredth of the rows is shuffled and
+    ranked. The counts are exact whatever the sketch says, and a rank outside its bracket would be seen: such a call ranks all
+    values (:func:`ranked_quantiles`). The passes run at once; the result is a small written table.
+    """
+    by, probs = list(by), [float(p) for p in probs]
+    ends = _brackets(df, cols, probs, by)
+    counts, below = _inside(df, cols, probs, by, ends)
+    counts, group = materialise(counts), [*by, "j", "i"]
+    if counts.count() <= ONE_TASK:
+        order = Window.partitionBy(*group).orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.withColumn("n_before", F.coalesce(F.sum("n").over(order), F.lit(0)))
+    else:
+        ranked = running_sums(value_buckets(counts, "v", buckets), group, ["v"], {"n": F.col("n")})
+    items = ", ".join(f"struct({j} AS _j, {i} AS _i, {j} AS _c, {p}D AS prob, _n{j} AS total, _below{j}_{i} AS below)"
+                      for j in range(len(cols)) for i, p in enumerate(probs))
+    wanted = below.selectExpr(*[f"`{b}` AS `_k_{b}`" for b in by], f"inline(array({items}))").where("total > 0")
+    wanted = wanted.withColumn("column", F.get(F.array(*map(F.lit, cols)), "_c"))
+    same = [F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by] + [F.col("j") == F.col("_j"), F.col("i") == F.col("_i")]
+    pos, before = position(F.col("prob"), F.col("total")), F.col("below") + F.col("n_before")
+    pick = lambda rank: F.max(F.when(holds_rank(rank, F.col("n"), before), F.col("v")))
+    found = materialise(
+        wanted.join(ranked, same, "left").groupBy(*[F.col(f"_k_{b}").alias(b) for b in by], "column", "prob")
+        .agg(pick(F.floor(pos)).alias("lo"), pick(F.ceil(pos)).alias("hi"), F.max(pos - F.floor(pos)).alias("frac"))
+        .select(*by, "column", "prob", interpolate(F.col("lo"), F.col("hi"), F.col("frac")).alias("value")))
+    if found.where(F.col("value").isNull()).isEmpty():
+        return found
+    return ranked_quantiles(df, cols, probs, by, buckets)
 
 
 def sketch_quantiles(

@@ -1,7 +1,8 @@
 """Score monitoring: summaries, drift and threshold metrics, all as Spark aggregates.
 
-KS, AUC and the ROC curve first shrink to one row per distinct score; the running sums over scores
-are then spread over buckets (see ``functions.ordering``).
+Everything that depends on the order of scores reads a table of counts per distinct score, which is built in
+one pass and written once; running sums over very many scores are spread over buckets (see ``functions.ordering``).
+``operators.score_counts`` keeps such tables between runs.
 """
 
 from __future__ import annotations
@@ -11,22 +12,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.ordering import quantiles, running_sums, value_buckets
+from ..functions.ordering import quantiles, running_counts
+from .score_counts import compared, count_scores, deciles_sql, report
 
 DECILES = [i / 10 for i in range(11)]
 
 
 def summarise(df: DataFrame, score: str, exact: bool = True) -> DataFrame:
     """count, mean, population std, min, max, median and p0..p100 in steps of ten, as one row."""
-    q = quantiles(df, [score], DECILES, (), exact)
-    row = q.agg(F.struct(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{i * 10}")
-                           for i, p in enumerate(DECILES)]).alias("q"))
     s = F.col(score).cast("double")
     stats = df.where(s.isNotNull()).agg(
         F.count(F.lit(1)).alias("count"), F.avg(s).alias("mean"), F.stddev_pop(s).alias("std"),
         F.min(s).alias("min"), F.max(s).alias("max"))
-    return stats.withColumn("_q", row.scalar()).select(
-        "count", "mean", "std", "min", "max", F.col("_q.p50").alias("median"), "_q.*")
+    if exact:
+        counts = df.where(s.isNotNull()).groupBy(s.alias("s")).agg(F.count(F.lit(1)).alias("b"))
+        row = running_counts(counts, [], "s", {"nb": F.col("b")}).selectExpr(f"{deciles_sql('b')} AS q")
+    else:
+        row = df.agg(F.percentile_approx(s, DECILES, 1000).alias("q"))
+    ps = [f"_q[{i}] AS p{i * 10}" for i in range(11)]
+    return stats.withColumn("_q", row.scalar()).selectExpr("count", "mean", "std", "min", "max", "_q[5] AS median", *ps)
 
 
 def decile_shift(base: DataFrame, cur: DataFrame, score: str, exact: bool = True) -> DataFrame:
@@ -83,9 +87,15 @@ def psi(base: DataFrame, cur: DataFrame, score: str, bins: int = 10, eps: float
     Equal quantiles merge; the last bin is closed; current scores outside the base range are left
     out; an empty bin counts as ``eps``. A constant base gives one closed bin. NULL if a side is empty.
     """
-    q = quantiles(base, [score], [i / bins for i in range(bins + 1)], (), exact)
-    cuts = q.agg(F.sort_array(F.collect_set("value")).alias("e")).scalar()
-    return _psi(_score_counts(base, cur, score), cuts, eps)
+    probs = [i / bins for i in range(bins + 1)]
+    counts = _score_counts(base, cur, score)
+    if exact:
+        counts = _ranked(counts)
+        cuts = counts.selectExpr(f"sort_array(array_distinct({deciles_sql('b', probs)})) AS e").scalar()
+    else:
+        q = quantiles(base, [score], probs, (), exact)
+        cuts = q.agg(F.sort_array(F.collect_set("value")).alias("e")).scalar()
+    return _psi(counts, cuts, eps)
 
 
 def _score_counts(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
@@ -94,7 +104,7 @@ def _score_counts(base: DataFrame, cur: DataFrame, score: str) -> DataFrame:
 
 
 def _ranked(counts: DataFrame) -> DataFrame:
-    return running_sums(value_buckets(counts, "s"), [], ["s"], {"nb": F.col("b"), "nc": F.col("c")})
+    return running_counts(counts, [], "s", {"nb": F.col("b"), "nc": F.col("c")})
 
 
 def _gap() -> Column:
@@ -126,7 +136,7 @@ def _by_score(df: DataFrame, score: str, label: str, by: Sequence[str]) -> DataF
         .groupBy(*by, F.col(score).cast("double").alias("s"))
         .agg(F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"))
     )
-    return running_sums(value_buckets(counts, "s"), by, ["s"], {"p": F.col("pos"), "n": F.col("neg")})
+    return running_counts(counts, by, "s", {"p": F.col("pos"), "n": F.col("neg")})
 
 
 def roc_auc(df: DataFrame, score: str, label: str, by: Sequence[str] = ()) -> DataFrame:
@@ -233,94 +243,21 @@ def score_vs_label(preds: DataFrame, labels: DataFrame, label: str, keys=("msno"
     return preds.drop("label", "matched").join(known, list(keys), "left").na.fill({"matched": False})
 
 
-def _lines(row: DataFrame, lines: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """SQL expressions over a one-row result as section, metric, value lines."""
-    items = ", ".join(f"struct('{sec}' AS section, '{m}' AS metric, CAST({v} AS DOUBLE) AS value)" for sec, m, v in lines)
-    return row.selectExpr(f"inline(array({items}))")
-
-
-def _deciles_sql(n: str) -> str:
-    """Array of the deciles of one side of a ranked score table, each interpolated between its two neighbours."""
-    values = []
-    for p in DECILES:
-        pos = f"({p}D * (n{n}_total - 1))"
-        at = "max(CASE WHEN {r}({pos}) >= n{n}_before AND {r}({pos}) < n{n}_before + {n} THEN s END)"
-        lo, hi = at.format(r="floor", pos=pos, n=n), at.format(r="ceil", pos=pos, n=n)
-        frac = f"max({pos} - floor({pos}))"
-        values.append(f"CASE WHEN {lo} = {hi} THEN {lo} ELSE {lo} * (1 - {frac}) + {hi} * {frac} END")
-    return f"array({', '.join(values)})"
-
-
-def _drift_row(base: DataFrame, cur: DataFrame, score: str, counts: DataFrame, exact: bool) -> DataFrame:
-    """Deciles of both sides (arrays qb, qc), KS statistic and sizes, as one row."""
-    stat = [F.max(_gap()).alias("ks_stat"), F.max("nb_total").alias("n1"), F.max("nc_total").alias("n2")]
-    if not exact:
-        sides = {"qb": "b", "qc": "c"}
-        q = _tagged(base, cur, score).agg(F.struct(*[
-            F.percentile_approx(F.when(F.col(n) == 1, F.col("s")), DECILES, 1000).alias(a) for a, n in sides.items()
-        ]).alias("q"))
-        return _ranked(counts).agg(*stat).withColumn("_q", q.scalar()).select("_q.*", "ks_stat", "n1", "n2")
-    return _ranked(counts).agg(F.expr(_deciles_sql("b")).alias("qb"), F.expr(_deciles_sql("c")).alias("qc"), *stat)
-
-
-def _label_lines(both: DataFrame, score: str, threshold: float = 0.5) -> DataFrame:
-    """Label metrics of matched rows and the match counts, all from one table of counts per distinct score."""
-    y = F.when(F.col(score).isNotNull(), F.col("label"))
-    counts = both.groupBy(F.col(score).cast("double").alias("s")).agg(
-        F.count_if(y == 1).alias("pos"), F.count_if(y == 0).alias("neg"),
-        F.count_if("matched").alias("matched"), F.count_if(~F.col("matched")).alias("unmatched"))
-    row = running_sums(value_buckets(counts, "s"), [], ["s"], {"n": F.col("neg")}).selectExpr(
-        "*", f"s >= {threshold}D AS hit").agg(*[F.expr(e) for e in (
-            "coalesce(sum(matched), 0) AS matched", "coalesce(sum(unmatched), 0) AS unmatched",
-            "sum(pos * (n_before + neg * 0.5D)) AS area", "CAST(sum(pos) AS DOUBLE) * sum(neg) AS pairs",
-            "coalesce(sum(CASE WHEN hit THEN pos END), 0) AS tp", "coalesce(sum(CASE WHEN hit THEN neg END), 0) AS fp",
-            "coalesce(sum(CASE WHEN NOT hit THEN pos END), 0) AS fn")])
-    auc = "CASE WHEN pairs > 0 THEN area / pairs END"
-    ratio = "CASE WHEN {d} > 0 THEN {n} / {d} ELSE 0 END"
-    return _lines(row, [("label_metrics", name, expr) for name, expr in {
-        "matched": "matched", "unmatched": "unmatched", "roc_auc": auc, "gini": f"2 * ({auc}) - 1",
-        "precision": ratio.format(n="tp", d="(tp + fp)"), "recall": ratio.format(n="tp", d="(tp + fn)"),
-        "f1": ratio.format(n="2 * tp", d="(2 * tp + fp + fn)"),
-    }.items()])
-
-
 def monitor(
     base: DataFrame, cur: DataFrame, score: str, labels: DataFrame | None = None, label: str = "is_churn",
-    exact: bool = True, eps: float = 1e-8,
+    exact: bool = True, eps: float = 1e-8, identity: dict[str, object] | None = None,
 ) -> DataFrame:
-    """The whole report in long form: section, metric, value.
+    """The whole report in long form: the columns of ``identity``, then section, metric, value.
 
-    Deciles and KS come from one aggregate over the ranked distinct scores, PSI from a second over
-    their counts, moments from one scan of the scores.
+    Both sides are counted by distinct score in one pass each; the report reads nothing but these counts.
+    Without ``exact`` scores are counted to six decimals, so probabilities give a million counts at most.
     """
-    counts = _score_counts(base, cur, score)
-    drift = _drift_row(base, cur, score, counts, exact).withColumn(
-        "ks_pvalue", _ks_pvalue(F.col("ks_stat"), F.col("n1"), F.col("n2")))
-    lines = [("drift", "ks_stat", "ks_stat"), ("drift", "ks_pvalue", "ks_pvalue")]
-    for section, arr in (("baseline_summary", "qb"), ("current_summary", "qc")):
-        lines += [(section, f"p{i * 10}", f"{arr}[{i}]") for i in range(len(DECILES))]
-        lines.append((section, "median", f"{arr}[5]"))
-    for i in range(len(DECILES)):
-        lines += [("deciles", f"base_d{i}", f"qb[{i}]"), ("deciles", f"current_d{i}", f"qc[{i}]"),
-                  ("deciles", f"diff_d{i}", f"qc[{i}] - qb[{i}]")]
-    parts = [_lines(drift, lines)]
-
-    aggs, moments = [], []
-    for section, n in (("baseline_summary", "b"), ("current_summary", "c")):
-        for name, f in (("count", "count"), ("mean", "avg"), ("std", "stddev_pop"), ("min", "min"), ("max", "max")):
-            aggs.append(F.expr(f"{f}(CASE WHEN {n} = 1 THEN s END)").alias(f"{n}_{name}"))
-            moments.append((section, name, f"{n}_{name}"))
-    parts.append(_lines(_tagged(base, cur, score).agg(*aggs), moments))
-
-    cuts = drift.select(F.sort_array(F.array_distinct("qb"))).scalar()
-    parts.append(_lines(drift_status(_psi(counts, cuts, eps)), [("drift", "psi", "psi"), ("drift", "code", "code")]))
-
+    digits = None if exact else 6
+    known = None if labels is None else "label"
     if labels is not None:
-        parts.append(_label_lines(score_vs_label(cur, labels, label), score))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+        cur = score_vs_label(cur, labels, label)
+    counted = count_scores(cur, score, (), known, known and "matched", digits)
+    return report(compared(count_scores(base, score, (), digits=digits), counted), eps, labels is not None, identity)
 
 
 def read_predictions(spark: SparkSession, path: str, model: str, date: str) -> DataFrame:
