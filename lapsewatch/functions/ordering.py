@@ -142,6 +142,12 @@ def ranked_quantiles(
     return _picked(running_sums(value_buckets(counts, "v", buckets), group, ["v"], {"n": F.col("n")}), probs, group)
 
 
+def _once(df: DataFrame) -> DataFrame:
+    """``df`` itself where it only scans, filters and projects; else a written copy, so that several passes compute it once."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return materialise(df) if any(node in plan for node in ("Aggregate", "Join", "Window", "Generate")) else df
+
+
 def _number(x: float | None) -> str:
     """A double as SQL text."""
     return "CAST(NULL AS DOUBLE)" if x is None else f"double('{x!r}')"
@@ -173,7 +179,8 @@ def _brackets(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Se
 
 
 def _inside(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str], ends: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counted values inside each bracket (by..., j, i, v, n), and per group how many values lie below each (``_below<j>_<i>``)."""
+    """Counted values inside each bracket (by..., j, i, v, n), and per group how many values lie below each
+    (``_below<j>_<i>``) or, where a bracket is one value, are equal to it (``_at<j>_<i>``, ``_v<j>_<i>``)."""
     if by:
         same = [F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by]
         at, rows = str, df.join(ends, same, "inner")
@@ -186,9 +193,11 @@ def _inside(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequ
         below.append(F.expr(f"max({at(f'_n{j}')}) AS _n{j}"))
         for i in range(len(probs)):
             lo, hi = at(f"_lo{j}_{i}"), at(f"_hi{j}_{i}")
-            below.append(F.expr(f"count_if({v} < {lo}) AS _below{j}_{i}"))
+            one = f"{lo} = {hi}"  # a bracket of one value needs no more than two counts
+            below += [F.expr(f"count_if({v} < {lo}) AS _below{j}_{i}"), F.expr(f"count_if({one} AND {v} = {lo}) AS _at{j}_{i}"),
+                      F.expr(f"max({lo}) AS _v{j}_{i}")]
             hits.append(f"CASE WHEN {v} IS NOT NULL AND ({lo} IS NULL OR {v} >= {lo}) AND ({hi} IS NULL OR {v} <= {hi}) "
-                        f"THEN struct({j} AS j, {i} AS i, {v} AS v) END")
+                        f"AND NOT coalesce({one}, false) THEN struct({j} AS j, {i} AS i, {v} AS v) END")
     counted = rows.select(*by, F.expr(f"explode(array({', '.join(hits)})) AS q")).where("q IS NOT NULL").groupBy(*by, "q.j", "q.i", "q.v").agg(
         F.count(F.lit(1)).alias("n"))
     return counted, rows.groupBy(*by).agg(*below)
@@ -209,6 +218,7 @@ def exact_quantiles(
     values (:func:`ranked_quantiles`). The passes run at once; the result is a small written table.
     """
     by, probs = list(by), [float(p) for p in probs]
+    df = _once(df.select(*by, *dict.fromkeys(c for c in cols if c not in by)))
     ends = _brackets(df, cols, probs, by)
     counts, below = _inside(df, cols, probs, by, ends)
     counts, group = materialise(counts), [*by, "j", "i"]
@@ -217,13 +227,14 @@ def exact_quantiles(
         ranked = counts.withColumn("n_before", F.coalesce(F.sum("n").over(order), F.lit(0)))
     else:
         ranked = running_sums(value_buckets(counts, "v", buckets), group, ["v"], {"n": F.col("n")})
-    items = ", ".join(f"struct({j} AS _j, {i} AS _i, {j} AS _c, {p}D AS prob, _n{j} AS total, _below{j}_{i} AS below)"
-                      for j in range(len(cols)) for i, p in enumerate(probs))
+    items = ", ".join(f"struct({j} AS _j, {i} AS _i, {j} AS _c, {p}D AS prob, _n{j} AS total, _below{j}_{i} AS below, "
+                      f"_at{j}_{i} AS same, _v{j}_{i} AS value)" for j in range(len(cols)) for i, p in enumerate(probs))
     wanted = below.selectExpr(*[f"`{b}` AS `_k_{b}`" for b in by], f"inline(array({items}))").where("total > 0")
     wanted = wanted.withColumn("column", F.get(F.array(*map(F.lit, cols)), "_c"))
     same = [F.col(b).eqNullSafe(F.col(f"_k_{b}")) for b in by] + [F.col("j") == F.col("_j"), F.col("i") == F.col("_i")]
     pos, before = position(F.col("prob"), F.col("total")), F.col("below") + F.col("n_before")
-    pick = lambda rank: F.max(F.when(holds_rank(rank, F.col("n"), before), F.col("v")))
+    pick = lambda rank: F.max(F.when(holds_rank(rank, F.col("n"), before), F.col("v")).when(
+        holds_rank(rank, F.col("same"), F.col("below")), F.col("value")))
     found = materialise(
         wanted.join(ranked, same, "left").groupBy(*[F.col(f"_k_{b}").alias(b) for b in by], "column", "prob")
         .agg(pick(F.floor(pos)).alias("lo"), pick(F.ceil(pos)).alias("hi"), F.max(pos - F.floor(pos)).alias("frac"))
