@@ -14,11 +14,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """Write a table under ``spark.checkpoint.dir`` and read it back: it is computed once, its lineage is cut,
-    and it outlives lost executors. Without that setting the warehouse folder is used, which executors share."""
+    and it outlives lost executors. Without that setting the warehouse folder is used, which executors share.
+
+    The plan that led to the table is garbage afterwards. It is collected at once, which keeps a driver that runs many
+    steps small and lets Spark delete the shuffle files of the finished step."""
     spark = df.sparkSession
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     path = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
