@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import labels, latest, members, snapshots, timeline
 from ..plans import medallion
+from ..sources.writers import shared_folder
 from .base import END, HORIZON, LONG_HORIZON, START, query
 
 ROW_ID = ["row_id"]
@@ -419,7 +424,7 @@ INF_SNAP = f"""(SELECT m.msno, d.snapshot_date FROM f_members m JOIN (
     ON m.registration_date <= d.snapshot_date)"""
 
 
-@query("J4 J15 I3 P21 P22 P9", f"""
+INFERENCE = f"""
     SELECT s.msno, s.snapshot_date, m.registration_date, CAST(s.snapshot_date - m.registration_date AS INTEGER) AS tenure_days_at_snapshot,
            coalesce(m.registered_via, 0) AS registered_via_oh, coalesce(m.city_clean, 0) AS city_clean_oh,
            coalesce(a.sum_secs_w30, 0) AS sum_secs_w30, coalesce(a.active_days_w30, 0) AS active_days_w30,
@@ -438,6 +443,19 @@ INF_SNAP = f"""(SELECT m.msno, d.snapshot_date FROM f_members m JOIN (
                FROM {INF_SNAP} s JOIN f_txn l ON l.msno = s.msno AND l.transaction_date <= s.snapshot_date
                QUALIFY row_number() OVER (PARTITION BY s.msno, s.snapshot_date ORDER BY l.transaction_date DESC,
                  l.membership_expire_date DESC, l.is_auto_renew DESC, l.plan_list_price DESC) = 1) l
-      ON l.msno = s.msno AND l.snapshot_date = s.snapshot_date""", {**DOUBLES, "auto_renew_share": 6})
+      ON l.msno = s.msno AND l.snapshot_date = s.snapshot_date"""
+
+
+@query("J4 J15 I3 P21 P22 P9", INFERENCE, {**DOUBLES, "auto_renew_share": 6})
 def inference_features(t):
     return medallion.inference_features(t.f_members, t.f_txn, t.f_logs, *INF_DAYS)
+
+
+@query("I2 I3 J4 J15", INFERENCE, {**DOUBLES, "auto_renew_share": 6})
+def inference_features_from_state(t):
+    """The same rows, one date after the other, each from the state of the date before."""
+    out, day, rows = shared_folder(t.spark), dt.date.fromisoformat(INF_DAYS[0]), []
+    while day.isoformat() <= INF_DAYS[1]:
+        rows.append(medallion.extend_inference(t.f_members, t.f_txn, t.f_logs, out, day.isoformat()))
+        day += dt.timedelta(days=1)
+    return reduce(DataFrame.unionByName, rows)

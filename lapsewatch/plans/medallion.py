@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,7 @@ from ..operators.members import clean_members, members_asof
 from ..operators.outliers import clean_user_logs
 from ..operators.snapshots import registered_asof, snapshot_grid
 from ..operators.timeline import Activity, Bounds, Payments, observation_features, observations, within
+from ..operators.window_state import WindowState, bring_forward
 from ..functions.columns import coalesce_category, with_year_month
 from ..sources.merge import replace_dates
 from ..sources.writers import write_table
@@ -50,20 +52,49 @@ def label_store(snaps: DataFrame, txn: DataFrame, horizon: int = 30, bounds: Bou
     return churn_label(snaps, txn, horizon, bounds=bounds)
 
 
-def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, start: str, end: str) -> DataFrame:
-    """Features of every registered member on every day of the range, in one job instead of one per day."""
+def _registered(members: DataFrame, start: str, end: str) -> DataFrame:
     kept = members.select("msno", "city_clean", "registered_via", "registration_date")
     base = registered_asof(snapshot_grid(kept, start, end, "registration_date"), F.col("snapshot_date"))
-    base = coalesce_category(base, ["registered_via", "city_clean"])
-    feats = observation_features(base, logs, txn, Activity(include_today=True), Payments(), keep_inactive=True,
-                                 bounds=(start, end))
+    return coalesce_category(base, ["registered_via", "city_clean"])
+
+
+def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, start: str, end: str) -> DataFrame:
+    """Features of every registered member on every day of the range, in one job instead of one per day."""
+    feats = observation_features(_registered(members, start, end), logs, txn, Activity(include_today=True), Payments(),
+                                 keep_inactive=True, bounds=(start, end))
     return feats.drop(*DAILY_SUMS, "num_unq_w30_sum").na.fill(0)
 
 
-def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30) -> None:
+def extend_inference(members: DataFrame, txn: DataFrame, logs: DataFrame, out: str, date: str) -> DataFrame:
+    """Add one date to the inference table: the facts since the last stored state are read, the history is not.
+
+    Returns the date's rows. The state lies beside the table; a rerun of a date replaces both.
+    """
+    spec = WindowState(Activity(include_today=True))
+    state = bring_forward(spec, f"{out}/window_state", logs, txn, date)
+    feats = spec.features(_registered(members, date, date), state, date, keep_inactive=True)
+    feats = feats.drop(*DAILY_SUMS, "num_unq_w30_sum").na.fill(0)
+    write_table(feats, f"{out}/inference_store", ["snapshot_date"], "overwrite_partitions")
+    return members.sparkSession.read.parquet(f"{out}/inference_store").where(F.col("snapshot_date") == F.lit(date).cast("date"))
+
+
+def _features_by_day(snaps: DataFrame, s: Silver, out: str, start: str, end: str) -> None:
+    """Feature store, date by date from the carried state."""
+    spec, day = WindowState(), dt.date.fromisoformat(start)
+    while day.isoformat() <= end:
+        date = day.isoformat()
+        state = bring_forward(spec, f"{out}/window_state", s.user_logs, s.transactions, date)
+        base = members_asof(s.members, within(observations(snaps), (date, date)), date, date, how="left")
+        replace_dates(spec.features(base, state, date).drop(*DAILY_SUMS), f"{out}/feature_store", ["snapshot_date"], "snapshot_date", date, date)
+        day += dt.timedelta(days=1)
+
+
+def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30, daily: bool = False, incremental: bool = False) -> None:
     """Write the snapshot, latest-transaction, feature and label tables.
 
-    A run for some dates replaces those dates only; the latest-transaction table is rebuilt whole."""
+    A run for some dates replaces those dates only; the latest-transaction table is rebuilt whole. ``daily`` says that the
+    logs have one row per entity and day. ``incremental`` takes the features date by date from the state of the day before
+    (``window_state`` beside the tables), so that each date reads its own facts only."""
     snaps = with_year_month(expiry_snapshots(s.transactions, start, end), "snapshot_date", numeric=False)
     replace_dates(snaps, f"{out}/max_expiry_transactions", ["year", "month"], "snapshot_date", start, end)
     latest = with_year_month(latest_transaction(s.transactions), "snapshot_date", numeric=False)
@@ -71,7 +102,10 @@ def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30) ->
     spark = snaps.sparkSession
     snaps = spark.read.parquet(f"{out}/max_expiry_transactions").where(
         F.col("snapshot_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    features = feature_store(snaps, s.members, s.transactions, s.user_logs, start, end)
+    if incremental:
+        _features_by_day(snaps, s, out, start, end)
+    else:
+        features = feature_store(snaps, s.members, s.transactions, s.user_logs, start, end, daily=daily)
+        replace_dates(features, f"{out}/feature_store", ["snapshot_date"], "snapshot_date", start, end)
     labels = label_store(snaps, s.transactions, horizon, (start, end))
-    for table, name in ((features, "feature_store"), (labels, "label_store")):
-        replace_dates(table, f"{out}/{name}", ["snapshot_date"], "snapshot_date", start, end)
+    replace_dates(labels, f"{out}/label_store", ["snapshot_date"], "snapshot_date", start, end)

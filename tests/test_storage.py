@@ -136,3 +136,7 @@ def test_raw_to_gold(spark, tmp_path):
     assert feats["a"].last_plan_list_price == 149 and feats["a"].auto_renew_share == 1
     latest = records(spark.read.parquet(f"{out}/latest_transactions").select("msno", "snapshot_date"), "msno")
     assert [str(r["snapshot_date"]) for r in latest] == ["2016-01-31", "2016-01-10"]
+    for _ in range(2):  # the same features, date by date from the carried state
+        medallion.build_gold(s, f"{tmp_path}/daily", "2016-01-31", "2016-02-09", incremental=True)
+    daily = {r.msno: r.asDict() for r in spark.read.parquet(f"{tmp_path}/daily/feature_store").collect()}
+    assert daily == {k: r.asDict() for k, r in feats.items()}
