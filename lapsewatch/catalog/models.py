@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import models, monitor, prep, splits
-from ..plans import medallion, training
-from ..sources.writers import materialise
+from ..plans import medallion, scoring, training
+from ..sources.writers import materialise, shared_folder
 from .base import END, START, query
 
 TREE = [*prep.FEATURES, "missing_any"]
@@ -48,8 +48,9 @@ def train_rf(t):
 @query("T3 E8 T5")
 def train_gbt(t):
     data = labelled(t)
-    train = prep.with_pos_weight(filled(data.where("split = 'train'")), "is_churn")
-    return training.evaluate_model(models.fit_gbt(train, TREE), filled(data), "gbt")
+    rows = {split: filled(data.where(F.col("split") == split)) for split in ("train", "val")}
+    train, val = (prep.with_pos_weight(rows[split], "is_churn", like=rows["train"]) for split in ("train", "val"))
+    return training.evaluate_model(models.fit_gbt(train, TREE, validation=val), filled(data), "gbt")
 
 
 @query("T4 T11 M6")
@@ -108,3 +109,16 @@ def monitor_scores(t):
     base = scored.where("snapshot_date < DATE'2024-01-17'")
     cur = scored.where("snapshot_date >= DATE'2024-01-17'")
     return monitor.monitor(base, cur, "churn_proba", t.f_label)
+
+
+@query("T8 I3 Q11 Q12 S11")
+def score_and_monitor(t):
+    """Stored pipeline, inference tables of two dates, predictions, score counts, and the report of the second date."""
+    out, dates = shared_folder(t.spark), ("2024-01-20", "2024-01-21")
+    model, ready = training.train_linear(labelled(t), max_iter=20)
+    training.whole(model, ready).write().save(f"{out}/model")
+    for date in dates:
+        features = medallion.extend_inference(t.f_members, t.f_txn, t.f_logs, out, date)
+        labels = t.f_label.where(F.col("snapshot_date") == F.lit(date).cast("date"))
+        report = scoring.score_and_monitor(features, f"{out}/model", "lr", out, date, (dates[0], dates[0]), labels)
+    return report

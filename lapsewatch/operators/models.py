@@ -58,8 +58,26 @@ def fit_rf(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **par
     return with_estimator(cols, forest(label, **params)).fit(train)
 
 
-def fit_gbt(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **params) -> PipelineModel:
-    return with_estimator(cols, boosted(label, **params)).fit(train)
+def fit_gbt(train: DataFrame, cols: Sequence[str], label: str = "is_churn", validation: DataFrame | None = None,
+            tolerance: float = 1e-3, **params) -> PipelineModel:
+    """Boosted trees. With ``validation`` rows, boosting stops in the round after which their loss no longer falls by ``tolerance``.
+
+    The validation rows pass through the fit beside the training rows, marked, and never shape a tree; their weights
+    should follow the training rows.
+    """
+    estimator = boosted(label, **params)
+    if validation is not None:
+        estimator = estimator.setValidationIndicatorCol("_validation")
+        estimator.set(estimator.validationTol, tolerance)
+        train = train.withColumn("_validation", F.lit(False)).unionByName(validation.withColumn("_validation", F.lit(True)))
+    return with_estimator(cols, estimator).fit(train)
+
+
+def loss_by_round(model: PipelineModel, df: DataFrame, label: str = "is_churn") -> DataFrame:
+    """Mean log loss after each boosting round: round, loss. One row per tree."""
+    ready = model.stages[0].transform(df.withColumn(label, F.col(label).cast("double")))
+    losses = model.stages[-1].evaluateEachIteration(ready)
+    return df.sparkSession.createDataFrame(list(enumerate(map(float, losses), 1)), "round int, loss double")
 
 
 # The ranges of the random searches, parameter name -> draw from a random generator.

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StringIndexer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +40,25 @@ def missing_flags(df: DataFrame, groups: dict[str, Sequence[str]], fill_cols: Se
     return out.na.fill(0, subset=list(fill_cols)) if fill_cols else out
 
 
+def _quoted(value) -> str:
+    """A fitted value as SQL text."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return repr(value)
+
+
+def _stage(before: Sequence[str], after: Sequence[str]) -> SQLTransformer:
+    """Stage that replaces columns by expressions; all other columns pass."""
+    drop = f" EXCEPT ({', '.join(f'`{c}`' for c in before)})" if before else ""
+    return SQLTransformer(statement=f"SELECT *{drop}, {', '.join(after)} FROM __THIS__")
+
+
+def fill_stage(cols: Sequence[str], name: str = "missing_any") -> SQLTransformer:
+    """:func:`missing_flag_fill` as a stage that can be saved."""
+    missing = " OR ".join(f"`{c}` IS NULL" for c in cols)
+    return _stage(cols, [f"CAST({missing} AS INT) AS `{name}`", *[f"coalesce(`{c}`, 0) AS `{c}`" for c in cols]])
+
+
 @dataclass
 class OneHot:
     """Indicator columns per category, the first (smallest) category left out.
@@ -66,6 +85,11 @@ class OneHot:
                  for c, vs in self.categories.items() for v in vs[1:]}
         return df.withColumns(flags).drop(*self.categories)
 
+    def stage(self) -> SQLTransformer:
+        """The same columns as a stage that can be saved."""
+        return _stage(list(self.categories), [
+            f"coalesce(CAST(`{c}` = {_quoted(v)} AS INT), 0) AS `{c}_{v}`" for c, vs in self.categories.items() for v in vs[1:]])
+
 
 @dataclass
 class Scaler:
@@ -83,6 +107,11 @@ class Scaler:
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s) in self.stats.items()})
 
+    def stage(self) -> SQLTransformer:
+        """The same columns as a stage that can be saved."""
+        return _stage(list(self.stats), [
+            f"(`{c}` - double('{m!r}')) / double('{s!r}') AS `{c}`" for c, (m, s) in self.stats.items()])
+
 
 def category_pipeline(cols: Sequence[str]) -> Pipeline:
     """Index by frequency, unknown values kept as their own index, one-hot as sparse vectors."""
@@ -110,9 +139,9 @@ def pos_weight(df: DataFrame, label: str) -> DataFrame:
     return c.select(F.when(F.col("c.pos") > 0, F.col("c.neg") / F.col("c.pos")).alias("scale_pos_weight"))
 
 
-def with_pos_weight(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Row weight: the positive scale for positives, 1 for negatives."""
-    scale = pos_weight(df, label).scalar()
+def with_pos_weight(df: DataFrame, label: str, name: str = "weight", like: DataFrame | None = None) -> DataFrame:
+    """Row weight: the positive scale for positives, 1 for negatives. The scale is that of ``like``, or of the rows themselves."""
+    scale = pos_weight(df if like is None else like, label).scalar()
     return df.withColumn("_s", scale).withColumn(
         name, F.when(F.col(label) == 1, F.col("_s")).otherwise(F.lit(1.0))).drop("_s")
 

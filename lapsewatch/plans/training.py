@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import PipelineModel, Transformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import models
 from ..operators.monitor import evaluate
-from ..operators.prep import CATEGORICAL, FEATURES, OneHot, Scaler, class_weights, missing_flag_fill
+from ..operators.prep import CATEGORICAL, FEATURES, OneHot, Scaler, class_weights, fill_stage, missing_flag_fill
 from ..operators.splits import temporal_split, training_set
 
 
@@ -29,6 +29,10 @@ class LinearPrep:
         columns = [c for c in FEATURES if c not in CATEGORICAL] + ["missing_any"] + one_hot.columns()
         return cls(one_hot, Scaler.fit(one_hot.transform(filled), columns), columns)
 
+    def stages(self) -> list[Transformer]:
+        """The preparation as stages of a pipeline that can be saved."""
+        return [fill_stage(FEATURES), self.one_hot.stage(), self.scaler.stage()]
+
     def transform(self, df: DataFrame) -> DataFrame:
         return self.scaler.transform(self.one_hot.transform(missing_flag_fill(df, FEATURES)))
 
@@ -45,6 +49,11 @@ def train_linear(data: DataFrame, label: str = "is_churn", **params) -> tuple[Pi
     return models.fit_lr(ready, prep.columns, label, **params), prep
 
 
+def whole(model: PipelineModel, prep: LinearPrep) -> PipelineModel:
+    """Preparation and model as one pipeline: it takes feature rows and can be saved and loaded as one."""
+    return PipelineModel(stages=[*prep.stages(), *model.stages])
+
+
 def evaluate_model(model: PipelineModel, data: DataFrame, name: str, label: str = "is_churn") -> DataFrame:
     """Metrics of one model on every split, in one job."""
     scored = model.transform(data).select(
