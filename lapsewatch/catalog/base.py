@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Observation range and label horizon (days) on the dense tables, horizon on the long ones.
-START, END = "2024-01-08", "2024-01-25"
+# Label horizon (days) on the dense tables and on the long ones.
 HORIZON, LONG_HORIZON = 3, 90
+# Observations on the dense tables run from the first transaction day to the last one whose label the data can answer.
+START_SQL = "(SELECT min(transaction_date) FROM f_txn)"
+END_SQL = f"(SELECT max(transaction_date) - {HORIZON} FROM f_txn)"
 TRAIN_DATE = "2000-01-01"
 CUT = "2024-01-16"
 
@@ -43,7 +46,7 @@ CTES = {
         FROM (SELECT DISTINCT user_id FROM events) u""",
     "f_snap": f"""
         SELECT DISTINCT msno, membership_expire_date AS snapshot_date FROM f_txn
-        WHERE membership_expire_date BETWEEN DATE '{START}' AND DATE '{END}'""",
+        WHERE membership_expire_date BETWEEN {START_SQL} AND {END_SQL}""",
     "f_label": f"""
         SELECT s.snapshot_date, s.msno, CASE WHEN EXISTS (
                  SELECT 1 FROM f_txn t WHERE t.msno = s.msno AND t.is_cancel = 0
@@ -95,6 +98,13 @@ class Tables:
             "CAST(floor(value) AS INT) AS plan_list_price", "CAST(event_id % 2 AS INT) AS is_auto_renew",
             "CAST(event_id % 5 = 0 AS INT) AS is_cancel", "CAST(event_id % 4 AS INT) AS payment_method_id")
 
+    @cached_property
+    def span(self) -> tuple[str, str]:
+        """First and last observation day, by one aggregate; an empty table has an empty range."""
+        first, last = self.f_txn.agg(
+            F.min("transaction_date"), F.date_sub(F.max("transaction_date"), HORIZON)).first()
+        return (first.isoformat(), last.isoformat()) if first else ("1970-01-02", "1970-01-01")
+
     @property
     def f_logs(self) -> DataFrame:
         counts = {"num_25": "event_type = 'click'", "num_50": "event_type = 'view'", "num_75": "event_type = 'signup'",
@@ -123,14 +133,14 @@ class Tables:
     def f_snap(self) -> DataFrame:
         from ..operators.latest import expiry_snapshots
 
-        return expiry_snapshots(self.f_txn, START, END, ["transaction_date", "row_id"]).select(
+        return expiry_snapshots(self.f_txn, *self.span, ["transaction_date", "row_id"]).select(
             "msno", "snapshot_date")
 
     @property
     def f_label(self) -> DataFrame:
         from ..operators.labels import churn_label
 
-        return churn_label(self.f_snap, self.f_txn, HORIZON, bounds=(START, END))
+        return churn_label(self.f_snap, self.f_txn, HORIZON, bounds=self.span)
 
     @property
     def f_score(self) -> DataFrame:

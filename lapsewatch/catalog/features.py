@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..operators import labels, latest, members, snapshots, timeline
 from ..plans import medallion
 from ..sources.writers import shared_folder
-from .base import END, HORIZON, LONG_HORIZON, START, query
+from .base import END_SQL, HORIZON, LONG_HORIZON, START_SQL, query
 
 ROW_ID = ["row_id"]
 
@@ -26,7 +26,7 @@ def churn_rate_by_snapshot(t):
 
 @query("J5 A10 U2", "SELECT snapshot_date, msno, is_churn FROM f_label")
 def churn_labels(t):
-    return labels.churn_label(t.f_snap, t.f_txn, HORIZON, bounds=(START, END))
+    return labels.churn_label(t.f_snap, t.f_txn, HORIZON, bounds=t.span)
 
 
 @query("J5 A10 U2", "SELECT snapshot_date, msno, is_churn FROM o_label")
@@ -78,23 +78,23 @@ def label_trend_corr(t):
 
 @query("W8 W1", f"""
     SELECT *, membership_expire_date AS snapshot_date FROM f_txn
-    WHERE membership_expire_date BETWEEN DATE '{START}' AND DATE '{END}'
+    WHERE membership_expire_date BETWEEN {START_SQL} AND {END_SQL}
     QUALIFY row_number() OVER (PARTITION BY msno, membership_expire_date
                                ORDER BY transaction_date DESC, row_id DESC) = 1""")
 def expiry_snapshots(t):
-    return latest.expiry_snapshots(t.f_txn, START, END, ["transaction_date", *ROW_ID])
+    return latest.expiry_snapshots(t.f_txn, *t.span, ["transaction_date", *ROW_ID])
 
 
 # The users-by-days grid the above replaces, as SQL only: for each day the latest expiry up to it, kept if it is that day.
-@query("W8 J8", """
+@query("W8 J8", f"""
     SELECT msno, snapshot_date, membership_expire_date, row_id FROM (
       SELECT t.*, d.snapshot_date, row_number() OVER (PARTITION BY t.msno, d.snapshot_date
                ORDER BY membership_expire_date DESC, transaction_date DESC, row_id DESC) AS rn
-      FROM f_txn t JOIN (SELECT CAST(unnest(generate_series(DATE '2024-01-08', DATE '2024-01-25', INTERVAL 1 DAY)) AS DATE)
+      FROM f_txn t JOIN (SELECT CAST(unnest(generate_series({START_SQL}, {END_SQL}, INTERVAL 1 DAY)) AS DATE)
                          AS snapshot_date) d ON t.membership_expire_date <= d.snapshot_date)
     WHERE rn = 1 AND membership_expire_date = snapshot_date""")
 def expiry_snapshots_vs_grid(t):
-    return latest.expiry_snapshots(t.f_txn, START, END, ["transaction_date", *ROW_ID]).select(
+    return latest.expiry_snapshots(t.f_txn, *t.span, ["transaction_date", *ROW_ID]).select(
         "msno", "snapshot_date", "membership_expire_date", "row_id")
 
 
@@ -173,12 +173,12 @@ DOUBLES = {"sum_secs_w30": 4, "complete_rate_w30": 6, "sum_secs_w7": 4, "engagem
 
 @query("J2 J3 J7 A1 A2 A3 A4 A5 A6 W5 P9", TRAIN_ACTIVITY, DOUBLES)
 def activity_features(t):
-    return timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END), daily=True)
+    return timeline.activity_features(t.f_logs, t.f_snap, bounds=t.span, daily=True)
 
 
 @query("J4 A1 A2 A3 A4 A5 A6", ACTIVITY_SQL.format(snap="f_snap", lo7="-6", lo30="-29", hi="0"), DOUBLES)
 def activity_features_inclusive(t):
-    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True, bounds=(START, END), daily=True)
+    return timeline.activity_features(t.f_logs, t.f_snap, include_today=True, bounds=t.span, daily=True)
 
 
 @query("J3 A1 A2", """
@@ -297,18 +297,18 @@ MEMBER_SQL = """
            CASE WHEN g.city_clean IS NULL THEN 0 ELSE CAST(count(*) OVER (PARTITION BY g.snapshot_date, g.city_clean) AS DOUBLE)
              / count(*) OVER (PARTITION BY g.snapshot_date) END AS city_freq
     FROM (SELECT m.*, d.snapshot_date FROM {m} m JOIN (
-            SELECT CAST(unnest(generate_series(DATE '{a}', DATE '{b}', INTERVAL 1 DAY)) AS DATE) AS snapshot_date) d
+            SELECT CAST(unnest(generate_series({a}, {b}, INTERVAL 1 DAY)) AS DATE) AS snapshot_date) d
           ON m.registration_date <= d.snapshot_date) g"""
 FREQS = ["registered_via_freq", "city_freq"]
 
 
-@query("J8 J11 A8 P6 P3 P7 P8", MEMBER_SQL.format(m="f_members", a="2023-09-01", b="2024-01-20"), FREQS)
+@query("J8 J11 A8 P6 P3 P7 P8", MEMBER_SQL.format(m="f_members", a="DATE '2023-09-01'", b="DATE '2024-01-20'"), FREQS)
 def member_snapshot(t):
     return members.member_snapshots(t.f_members, "2023-09-01", "2024-01-20")
 
 
 @query("J8 J14 A8", f"""
-    SELECT x.* FROM ({MEMBER_SQL.format(m="o_members", a="1995-06-01", b="1996-06-30")}) x
+    SELECT x.* FROM ({MEMBER_SQL.format(m="o_members", a="DATE '1995-06-01'", b="DATE '1996-06-30'")}) x
     JOIN o_snap s ON s.msno = x.msno AND s.snapshot_date = x.snapshot_date""", FREQS)
 def members_asof(t):
     pairs = snapshots.select_snapshots(t.o_snap, "range", "1995-06-01", "1996-06-30")
@@ -369,7 +369,7 @@ STORE_SQL = f"""
            a.engagement_ratio_7_30, a.days_since_last_play, a.trend_secs_w30,
            x.tenure_days, x.last_is_auto_renew, x.last_plan_list_price, x.auto_renew_share
     FROM f_snap s
-    LEFT JOIN ({MEMBER_SQL.format(m="f_members", a=START, b=END)}) m ON m.msno = s.msno AND m.snapshot_date = s.snapshot_date
+    LEFT JOIN ({MEMBER_SQL.format(m="f_members", a=START_SQL, b=END_SQL)}) m ON m.msno = s.msno AND m.snapshot_date = s.snapshot_date
     LEFT JOIN ({TRAIN_ACTIVITY}) a ON a.msno = s.msno AND a.snapshot_date = s.snapshot_date
     LEFT JOIN (SELECT s.msno, s.snapshot_date, CAST(coalesce(l.latest_transaction_date - m.registration_date, 0) AS INTEGER) AS tenure_days,
                       coalesce(l.is_auto_renew, 0) AS last_is_auto_renew, coalesce(l.plan_list_price, 0) AS last_plan_list_price,
@@ -387,14 +387,14 @@ STORE_DOUBLES = {**DOUBLES, "registered_via_freq": 6, "city_freq": 6, "auto_rene
 
 @query("J3 J6 J7 A1 A8 P9 P10", STORE_SQL, STORE_DOUBLES)
 def feature_store(t):
-    return medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END, daily=True)
+    return medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, *t.span, daily=True)
 
 
 @query("J2 J14 P9 P10", STORE_SQL, STORE_DOUBLES)
 def assembled_features(t):
     """The same table from separately built blocks joined together."""
-    base = snapshots.attach_members(t.f_snap, members.member_snapshots(t.f_members, START, END))
-    activity = timeline.activity_features(t.f_logs, t.f_snap, bounds=(START, END), daily=True).drop(*medallion.DAILY_SUMS)
+    base = snapshots.attach_members(t.f_snap, members.member_snapshots(t.f_members, *t.span))
+    activity = timeline.activity_features(t.f_logs, t.f_snap, bounds=t.span, daily=True).drop(*medallion.DAILY_SUMS)
     return snapshots.assemble(base, [activity, timeline.transaction_features(t.f_txn, base)])
 
 

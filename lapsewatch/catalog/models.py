@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import models, monitor, prep, splits
 from ..plans import medallion, scoring, training
 from ..sources.writers import materialise, shared_folder
-from .base import END, START, query
+from .base import query
 
 TREE = [*prep.FEATURES, "missing_any"]
 # Candidates of the two searches; the parameter ranges are those of ``operators.models``.
@@ -15,11 +15,11 @@ LR_CANDIDATES, RF_CANDIDATES = 10, 3
 
 
 def labelled(t):
-    """Gold features with labels, written once: fitting reads them many times. Split 12 / 2 / 2 / 2 days."""
-    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, START, END, daily=True)
+    """Gold features with labels, written once: fitting reads them many times. The last six days are val, test and oot, two each."""
+    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, *t.span, daily=True)
     d = F.col("snapshot_date")
-    tag = F.when(d <= F.lit("2024-01-19").cast("date"), "train").when(d <= F.lit("2024-01-21").cast("date"), "val").when(
-        d <= F.lit("2024-01-23").cast("date"), "test").otherwise("oot")
+    until = lambda days: d <= F.date_sub(F.lit(t.span[1]).cast("date"), days)
+    tag = F.when(until(6), "train").when(until(4), "val").when(until(2), "test").otherwise("oot")
     return materialise(splits.training_set(feats, t.f_label).withColumn("split", tag))
 
 
@@ -106,8 +106,8 @@ def monitor_scores(t):
     data = labelled(t)
     model, ready = training.train_linear(data, max_iter=20)
     scored = models.score(model, ready.transform(data), "lr")
-    base = scored.where("snapshot_date < DATE'2024-01-17'")
-    cur = scored.where("snapshot_date >= DATE'2024-01-17'")
+    late = F.col("snapshot_date") > F.date_sub(F.lit(t.span[1]).cast("date"), 9)
+    base, cur = scored.where(~late), scored.where(late)
     return monitor.monitor(base, cur, "churn_proba", t.f_label)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import with_year_month
 from ..operators import clean, models, monitor
 from ..sources import merge, readers, writers
-from .base import START, query
+from .base import START_SQL, query
 
 CSV = "row_id bigint, msno bigint, plan_list_price int, transaction_date date"
 CSV_COLS = ["row_id", "msno", "plan_list_price", "transaction_date"]
@@ -163,9 +163,9 @@ def streaming_merge(t):
 
 
 @query("T10 Q12 S11", f"""SELECT msno, transaction_date AS snapshot_date, 1 / (1 + exp(-(-1.0 + plan_list_price * 0.001))) AS churn_proba, 'linear' AS model_file
-    FROM f_txn WHERE transaction_date >= DATE '{START}'""", ["churn_proba"], digits=9)
+    FROM f_txn WHERE transaction_date >= {START_SQL}""", ["churn_proba"], digits=9)
 def backfill_linear(t):
     path = writers.shared_folder(t.spark)
-    feats = t.f_txn.withColumn("snapshot_date", F.col("transaction_date")).where(f"snapshot_date >= DATE'{START}'")
+    feats = t.f_txn.withColumn("snapshot_date", F.col("transaction_date")).where(f"snapshot_date >= DATE'{t.span[0]}'")
     writers.write_predictions(models.score_linear(feats, {"plan_list_price": 0.001}, -1.0), path)
     return clean.project(readers.read_table(t.spark, path), order=["msno", "snapshot_date", "churn_proba", "model_file"])
