@@ -27,7 +27,8 @@ MIN_DOCS, MIN_TOKENS = 2, 4
 #: Lines of fewer tokens than this recur from so many documents.
 SHORT, SHORT_DOCS = 8, 3
 PART = 2000
-WILD = 0
+#: Tokens with a digit, and places of a template where its lines differ; hashes of other tokens are odd.
+WILD, VARIES = 0, 2
 DIGIT = np.zeros(256, np.int64)
 DIGIT[ord("0"):ord("9") + 1] = 1
 
@@ -85,15 +86,20 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def group_lines(lines: np.ndarray, similar: float) -> tuple[np.ndarray, np.ndarray]:
-    """Template number of each row of equally long token rows, taken in order, and the templates."""
+    """Template number of each row of equally long token rows, taken in order, and the templates.
+
+    A row joins the template with the most equal places if they are ``similar`` of all places; places that differ become
+    variable (VARIES) and count as equal to nothing from then on. So at least that share of a template stays fixed, and all its
+    rows agree there.
+    """
     templates = np.empty_like(lines)
     number = np.empty(len(lines), np.int64)
     n = 0
     for i, tokens in enumerate(lines):
-        agree = ((templates[:n] == tokens) & (tokens != WILD)).sum(1) + ((templates[:n] == WILD) | (tokens == WILD)).sum(1)
+        agree = ((templates[:n] == tokens) & (tokens != VARIES)).sum(1)
         at = int(agree.argmax()) if n else 0
         if n and agree[at] >= similar * len(tokens):
-            templates[at] = np.where(templates[at] == tokens, tokens, WILD)
+            templates[at] = np.where(templates[at] == tokens, tokens, VARIES)
         else:
             at, n = n, n + 1
             templates[at] = tokens
@@ -149,7 +155,7 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     of fewer than ``min_tokens`` tokens stay. A template recurs from ``min_docs`` documents, one of fewer than ``short`` tokens
     from ``short_docs`` if that is more. A null text has no lines and stays null; an empty one has one
     empty line. Rows with equal keys are one document: they lose each other's dropped lines where their texts are equal.
-    A null key is a document like any other. An empty table gives no rows.
+    All rows without a key count as one document together. An empty table gives no rows.
     """
     rows = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("doc", F.struct(F.col("_id").alias("id"), F.xxhash64("text").alias("print")))

@@ -1,8 +1,11 @@
+import random
 import re
 import textwrap
 
+import numpy as np
+
 from lapsewatch.llm import licenses
-from lapsewatch.llm.line_templates import drop_recurring
+from lapsewatch.llm.line_templates import VARIES, drop_recurring, group_lines
 
 
 def test_recurring_templates_go(spark):
@@ -51,6 +54,44 @@ def test_the_last_token_may_vary(spark):
     assert {r["doc_id"]: r["n_dropped"] for r in got} == {0: 1, 1: 1, 2: 1, 10: 1, 11: 1, 20: 0}
 
 
+def test_lines_that_share_no_more_than_a_beginning_stay(spark):
+    ends = ["red fox that ran over the hill", "best soup I have eaten in years", "only reason why nobody should trust him",
+            "last train that leaves before the storm", "old house where my uncle once lived", "first letter she wrote after the war"]
+    rows = [(i, f"this is the {e}") for i, e in enumerate(ends)]
+    assert {len(t.split()) for _, t in rows} == {10}
+    got = drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert all(r["n_dropped"] == 0 for r in got)
+
+
+def plain_templates(lines, similar=0.7):
+    """The tree with words in place of hashes: leaf, then the template with the most equal fixed places."""
+    leaves, name = {}, []
+    for line in lines:
+        found = leaves.setdefault((len(line), *line[:3]), [])
+        agree = [sum(a == b for a, b in zip(t, line)) for t in found]
+        if found and max(agree) >= similar * len(line):
+            at = agree.index(max(agree))
+            found[at] = [a if a == b else None for a, b in zip(found[at], line)]
+        else:
+            at = len(found)
+            found.append(list(line))
+        name.append((*line[:3], len(line), at))
+    return name, leaves
+
+
+def test_groups_equal_a_plain_tree():
+    rng = random.Random(3)
+    lines = [[rng.choice("ab"), "x", "y", *(rng.choice("pqr") for _ in range(rng.choice([4, 7])))] for _ in range(400)]
+    name, leaves = plain_templates(lines)
+    for leaf in leaves:
+        rows = [i for i, line in enumerate(lines) if (len(line), *line[:3]) == leaf]
+        number, made = group_lines(np.array([[2 * ord(w) + 1 for w in lines[i]] for i in rows]), 0.7)
+        assert [name[i][-1] for i in rows] == number.tolist()
+        assert [[None if t == VARIES else chr(int(t) // 2) for t in m] for m in made] == leaves[leaf]
+        for i, n in zip(rows, number):  # every line agrees with its final template
+            assert sum(a == b for a, b in zip(leaves[leaf][n], lines[i])) >= 0.7 * leaf[0]
+
+
 def brute(text):
     """Licenses of single-sentence notices by plain search, one per line."""
     out = []
