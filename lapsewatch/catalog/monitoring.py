@@ -140,6 +140,19 @@ def evaluate_by_split(t):
     return e.select("side", *[F.round(c, 9).alias(c) for c in ("roc_auc", "gini", "precision", "recall", "f1")])
 
 
+MOVED = "(SELECT * REPLACE (score + (row_id % 3) * CAST(0.25 AS DOUBLE) AS score) FROM f_score)"
+
+
+@query("T7 K4 T5", f"""SELECT max_by(model, roc_auc) AS best_model, max(roc_auc) AS roc_auc FROM (
+    SELECT 'plain' AS model, side, roc_auc FROM ({_auc('side')}) a UNION ALL
+    SELECT 'moved', side, roc_auc FROM ({_auc('side').replace('f_score', MOVED)}) b) c WHERE side = 'base'""", ["roc_auc"], digits=9)
+def best_of_fixed_scores(t):
+    rows = t.f_score.withColumnRenamed("side", "split")
+    moved = rows.withColumn("score", F.col("score") + F.col("row_id") % 3 * F.lit(0.25))
+    table = models.compare({n: monitor.evaluate(df, "score", "label") for n, df in (("plain", rows), ("moved", moved))})
+    return models.best_model(table, "base")
+
+
 @query("Q10", f"""SELECT psi, CASE WHEN psi >= 0.3 THEN 'critical' WHEN psi >= 0.2 THEN 'warning' ELSE 'ok' END AS status,
     CASE WHEN psi >= 0.3 THEN 2 WHEN psi >= 0.2 THEN 1 ELSE 0 END AS code FROM ({PSI}) p""", ["psi"], digits=9)
 def drift_status(t):

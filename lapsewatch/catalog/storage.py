@@ -169,3 +169,13 @@ def backfill_linear(t):
     feats = t.f_txn.withColumn("snapshot_date", F.col("transaction_date")).where(f"snapshot_date >= DATE'{t.span[0]}'")
     writers.write_predictions(models.score_linear(feats, {"plan_list_price": 0.001}, -1.0), path)
     return clean.project(readers.read_table(t.spark, path), order=["msno", "snapshot_date", "churn_proba", "model_file"])
+
+
+@query("P2 S2", """SELECT row_id, CASE WHEN row_id % 2 = 0 THEN 'even' ELSE 'odd' END AS source_folder, true AS dated FROM o_txn""")
+def audited_files(t):
+    path = writers.shared_folder(t.spark)
+    for n, name in enumerate(("even", "odd")):
+        writers.write_table(t.o_txn.where(F.col("row_id") % 2 == n).select("row_id"), f"{path}/{name}")
+    rows = readers.read_with_files(t.spark, [f"{path}/even", f"{path}/odd"])
+    return rows.select("row_id", F.element_at(F.split("_source_file", "/"), -2).alias("source_folder"),
+                       (F.col("_source_modified") > F.lit("2020-01-01").cast("timestamp")).alias("dated"))

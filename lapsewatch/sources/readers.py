@@ -23,6 +23,16 @@ def read_table(
     return df if where is None else df.where(where)
 
 
+def read_with_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """Parquet rows with the file each came from and when that file was written (``_source_file``, ``_source_modified``).
+
+    Both come from the scan's file metadata, per row, also where one task reads several files.
+    """
+    df = spark.read.parquet(*([paths] if isinstance(paths, str) else paths))
+    return df.select("*", F.col("_metadata.file_path").alias("_source_file"),
+                     F.col("_metadata.file_modification_time").alias("_source_modified"))
+
+
 def read_snapshot(spark: SparkSession, path: str, date: str, column: str = "snapshot_date") -> DataFrame:
     """One snapshot of a table; an absent snapshot is an error."""
     df = spark.read.parquet(path).where(F.col(column) == F.lit(date).cast("date"))
