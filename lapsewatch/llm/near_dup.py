@@ -31,6 +31,8 @@ NEAR_HUB = COORDINATES // 4
 #: Shingles in a block of a bundle; bounds a task's memory, not the result.
 BLOCK = 65_536
 SEED = 20_240_601
+#: What makes two shingle sets the same one.
+SAME_SET = ["n_shingles", "print_a", "print_b"]
 
 
 def _permutations() -> tuple[np.ndarray, np.ndarray]:
@@ -39,6 +41,17 @@ def _permutations() -> tuple[np.ndarray, np.ndarray]:
     return draw[0] | np.uint64(1), draw[1]
 
 
+def _identity(sets: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    """The columns SAME_SET of sets given one after the other: size and two 64-bit prints, null for an empty set."""
+    size = np.diff(bounds)
+    some = np.flatnonzero(size)
+    prints = np.zeros((2, len(size)), np.uint64)
+    if len(some):
+        prints[0, some] = np.add.reduceat(sets, bounds[:-1][some])
+        prints[1, some] = np.bitwise_xor.reduceat(sets * _permutations()[0][0], bounds[:-1][some])
+    return [pa.array(size, pa.int64()), *(pa.array(p.view(np.int64), mask=size == 0) for p in prints)]
+
+
 def _sign(width: int, keys: list[str]):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times, flip = _permutations()
@@ -48,18 +61,14 @@ def _sign(width: int, keys: list[str]):
             some = np.flatnonzero(size)
             begin = bounds[:-1][some]
             low = np.zeros((len(some), COORDINATES), np.uint32)
-            prints = np.zeros((2, len(size)), np.uint64)
             if len(some):
                 for k in range(COORDINATES):
                     low[:, k] = np.minimum.reduceat((sets ^ flip[k]) * times[k], begin) >> np.uint64(32)
-                prints[0, some] = np.add.reduceat(sets, begin)
-                prints[1, some] = np.bitwise_xor.reduceat(sets * times[0], begin)
             offsets = np.concatenate(([0], np.cumsum(np.where(size > 0, COORDINATES, 0)))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(k)) for k in keys), pa.array(size, pa.int64()),
-                 pa.array(prints[0].view(np.int64), mask=size == 0), pa.array(prints[1].view(np.int64), mask=size == 0),
+                [*(batch.column(batch.schema.get_field_index(k)) for k in keys), *_identity(sets, bounds),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(low.ravel().view(np.int32)))],
-                [*keys, "n_shingles", "print_a", "print_b", "signature"])
+                [*keys, *SAME_SET, "signature"])
 
     return sign
 
@@ -69,9 +78,9 @@ def _sets(width: int):
         for batch in pieces(batches, "text"):
             sets, bounds = shingle_sets(words_of(texts_of(batch, "text")), width)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc")),
+                [*_identity(sets, bounds),
                  pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(sets.view(np.int64)))],
-                ["doc", "shingles"])
+                [*SAME_SET, "shingles"])
 
     return sets_of
 
@@ -100,7 +109,7 @@ def _forest(percent: int):
     def forest(group: pa.Table) -> pa.Table:
         """A spanning forest of the links between the two blocks of a group, or within its one block."""
         group = group.combine_chunks()
-        docs, block = group["doc"].to_numpy(), group["block"].to_numpy()
+        docs, block = group["set"].to_numpy(), group["block"].to_numpy()
         i, j = group["i"][0].as_py(), group["j"][0].as_py()
         lists = group["shingles"].combine_chunks()
         sizes = np.diff(lists.offsets.to_numpy())
@@ -160,50 +169,49 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
     signed = stored(rows.mapInArrow(
         _sign(width, ["doc", "named"]), "doc long, named boolean, n_shingles long, print_a long, print_b long, signature array<int>"
     ).withColumn("row", F.monotonically_increasing_id()))
-    same_set = ["n_shingles", "print_a", "print_b"]
-    # a set goes by its smallest key; one that only rows without a key have, by the first of these
-    sets = signed.where("n_shingles > 0").groupBy(*same_set).agg(
+    # sets are compared, not documents; a set has the number of its first row, and its smallest key where a row of it has one
+    sets = stored(signed.where("n_shingles > 0").groupBy(*SAME_SET).agg(
         F.min(F.struct((~F.col("named")).alias("unnamed"), "doc", "row")).alias("first")).select(
-        *same_set, F.col("first.doc").alias("rep"), (~F.col("first.unnamed")).alias("named_rep"), F.col("first.row").alias("first_row"))
-    sets = stored(sets)
-    reps = signed.join(sets.select(F.col("rep").alias("doc"), F.col("named_rep").alias("named"), *same_set), ["doc", "named", *same_set], "left_semi")
-    reps = reps.dropDuplicates(["doc", *same_set])
+        *SAME_SET, F.col("first.row").alias("set"), F.col("first.doc").alias("rep"), (~F.col("first.unnamed")).alias("named_rep")))
+    reps = signed.join(sets.select(F.col("set").alias("row")), "row", "left_semi").withColumnRenamed("row", "set")
 
-    tokens = reps.select("doc", F.posexplode("signature").alias("place", "value")).select(
-        "doc", ((F.col("place").cast("long") * F.lit(1 << 32)) + F.col("value")).alias("token"))
+    tokens = reps.select("set", F.posexplode("signature").alias("place", "value")).select(
+        "set", ((F.col("place").cast("long") * F.lit(1 << 32)) + F.col("value")).alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    of_doc = Window.partitionBy("doc")
+    of_set = Window.partitionBy("set")
     ranked = tokens.join(shared, "token").withColumns({
-        "place": F.row_number().over(of_doc.orderBy("df", "token")), "n": F.count("*").over(of_doc),
-        "central": F.sum(F.log("df")).over(of_doc)})
+        "place": F.row_number().over(of_set.orderBy("df", "token")), "n": F.count("*").over(of_set),
+        "central": F.sum(F.log("df")).over(of_set)})
     posted = stored(ranked.where(F.col("place") <= F.lit(COORDINATES - MATCHES + 1) - (COORDINATES - F.col("n"))).select(
-        "token", "doc", "central"))
+        "token", "set", "central"))
 
     # one hub for each list: the most central member, ties to the smaller document
     hubs = posted.groupBy("token").agg(
-        F.max(F.struct("central", (-F.col("doc")).alias("minus"))).alias("top"), F.count("*").alias("members")
+        F.max(F.struct("central", (-F.col("set")).alias("minus"))).alias("top"), F.count("*").alias("members")
     ).where("members > 1").select("token", F.col("top.central").alias("hub_central"), (-F.col("top.minus")).alias("hub"))
-    listed = posted.join(hubs, "token").select("token", "doc", "hub", "hub_central")
-    stars = listed.where("doc <> hub").groupBy("doc", "hub").agg(F.max("hub_central").alias("hub_central"))
-    sig = reps.select("doc", "signature").dropDuplicates(["doc"])
-    near = stars.join(sig, "doc").join(sig.select(F.col("doc").alias("hub"), F.col("signature").alias("other")), "hub").where(
+    listed = posted.join(hubs, "token").select("token", "set", "hub", "hub_central")
+    stars = listed.where("set <> hub").groupBy("set", "hub").agg(F.max("hub_central").alias("hub_central"))
+    sig = reps.select("set", "signature")
+    near = stars.join(sig, "set").join(sig.select(F.col("set").alias("hub"), F.col("signature").alias("other")), "hub").where(
         _agree(F.col("signature"), F.col("other")) >= NEAR_HUB)
-    first = stored(near.groupBy("doc").agg(F.max(F.struct("hub_central", (-F.col("hub")).alias("minus"))).alias("top")).select(
-        "doc", "top.hub_central", (-F.col("top.minus")).alias("hub")))
+    first = stored(near.groupBy("set").agg(F.max(F.struct("hub_central", (-F.col("hub")).alias("minus"))).alias("top")).select(
+        "set", "top.hub_central", (-F.col("top.minus")).alias("hub")))
     # a member follows its hub one step on, if that hub is itself in the bundle of a more central one
-    second = first.select(F.col("doc").alias("hub"), F.col("hub_central").alias("c2"), F.col("hub").alias("h2"))
+    second = first.select(F.col("set").alias("hub"), F.col("hub_central").alias("c2"), F.col("hub").alias("h2"))
     own = F.col("hub_central")
-    followed = first.join(second, "hub", "left").select("doc", F.when(F.col("c2") > own, F.col("h2")).otherwise(F.col("hub")).alias("bundle"))
-    members = stored(listed.select("doc").distinct().join(followed, "doc", "left").select(
-        "doc", F.coalesce("bundle", "doc").alias("bundle")))
+    followed = first.join(second, "hub", "left").select("set", F.when(F.col("c2") > own, F.col("h2")).otherwise(F.col("hub")).alias("bundle"))
+    members = stored(listed.select("set").distinct().join(followed, "set", "left").select(
+        "set", F.coalesce("bundle", "set").alias("bundle")))
 
-    sized = reps.select("doc", "n_shingles").groupBy("doc").agg(F.max("n_shingles").alias("n_shingles"))
-    wanted = rows.join(members.select("doc"), "doc", "left_semi")
-    shingles = stored(wanted.mapInArrow(_sets(width), "doc long, shingles array<long>").dropDuplicates())
+    chosen = sets.join(members.select("set"), "set", "left_semi")
+    wanted = rows.join(chosen.select(F.col("rep").alias("doc")).distinct(), "doc", "left_semi")
+    read = wanted.mapInArrow(_sets(width), "n_shingles long, print_a long, print_b long, shingles array<long>").where("n_shingles > 0")
+    shingles = stored(read.dropDuplicates(SAME_SET).join(chosen.select(*SAME_SET, "set"), SAME_SET).select("set", "shingles"))
 
     # within bundles: blocks in the order of set size, so that blocks of too different sizes need no comparison
-    running = Window.partitionBy("bundle").orderBy("n_shingles", "doc").rowsBetween(Window.unboundedPreceding, 0)
-    placed = stored(members.join(sized, "doc").withColumn("block", F.floor(F.sum(F.col("n_shingles") + 64).over(running) / BLOCK)))
+    running = Window.partitionBy("bundle").orderBy("n_shingles", "set").rowsBetween(Window.unboundedPreceding, 0)
+    placed = stored(members.join(sets.select("set", "n_shingles"), "set").withColumn(
+        "block", F.floor(F.sum(F.col("n_shingles") + 64).over(running) / BLOCK)))
     blocks = placed.groupBy("bundle", "block").agg(
         F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"), F.count("*").alias("n"))
     later = blocks.select("bundle", F.col("block").alias("j"), F.col("low").alias("low_j"), F.col("n").alias("n_j"))
@@ -211,39 +219,46 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
         (F.col("block") <= F.col("j")) & (100 * F.col("high") >= percent * F.col("low_j"))
         & ((F.col("block") < F.col("j")) | (F.col("n") > 1))).select("bundle", F.col("block").alias("i"), "j")
     sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
-    compared = placed.select("doc", "bundle", "block").join(sides, ["bundle", "block"]).join(shingles, "doc")
+    compared = placed.select("set", "bundle", "block").join(sides, ["bundle", "block"]).join(shingles, "set")
     within = compared.groupBy("bundle", "i", "j").applyInArrow(_forest(percent), "u long, v long")
 
     # across bundles: those that left a list's own bundle, against the whole list
-    at = listed.join(members, "doc").join(
-        members.select(F.col("doc").alias("hub"), F.col("bundle").alias("main")), "hub").select("token", "doc", "bundle", "main")
-    outside = at.where("bundle <> main").select("token", F.col("doc").alias("u"), F.col("bundle").alias("of_u"))
-    across = outside.join(at.select("token", F.col("doc").alias("v"), F.col("bundle").alias("of_v")), "token").where(
+    at = listed.join(members, "set").join(
+        members.select(F.col("set").alias("hub"), F.col("bundle").alias("main")), "hub").select("token", "set", "bundle", "main")
+    outside = at.where("bundle <> main").select("token", F.col("set").alias("u"), F.col("bundle").alias("of_u"))
+    across = outside.join(at.select("token", F.col("set").alias("v"), F.col("bundle").alias("of_v")), "token").where(
         "of_u <> of_v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    one, two = (sig.select(F.col("doc").alias(c), F.col("signature").alias(f"s_{c}")) for c in ("u", "v"))
+    one, two = (sig.select(F.col("set").alias(c), F.col("signature").alias(f"s_{c}")) for c in ("u", "v"))
     alike = across.join(one, "u").join(two, "v").where(_agree(F.col("s_u"), F.col("s_v")) >= MATCHES).select("u", "v")
-    one, two = (shingles.select(F.col("doc").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("u", "v"))
+    one, two = (shingles.select(F.col("set").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("u", "v"))
     both = F.size(F.array_intersect("s_u", "s_v"))
     exact = alike.join(one, "u").join(two, "v").where(
         100 * both >= percent * (F.size("s_u") + F.size("s_v") - both)).select("u", "v")
 
-    # rows of one key with different texts are one document: all its sets are linked to its key
-    classed = stored(signed.select("doc", "named", "row", *same_set).join(sets, same_set, "left").select(
-        "doc", "named", "row", "n_shingles", "rep", "named_rep", "first_row", F.coalesce("rep", "doc").alias("vertex")))
-    by_set = classed.where("named")
-    several = by_set.groupBy("doc").agg(F.min("vertex").alias("lo"), F.max("vertex").alias("hi")).where("lo < hi").select("doc")
-    twice = by_set.where("rep <> doc").join(several, "doc", "left_semi").select(F.col("rep").alias("u"), F.col("doc").alias("v")).distinct()
+    # rows of one key with different texts are one document: all its sets are linked to its first one
+    classed = stored(signed.select("doc", "named", "row", *SAME_SET).join(sets, SAME_SET, "left").select(
+        "doc", "named", "row", "n_shingles", "set", "rep", "named_rep"))
+    by_key = classed.where("named").groupBy("doc").agg(
+        F.min("set").alias("lo"), F.max("set").alias("hi"), F.max(F.col("set").isNull()).alias("empty"))
+    several = by_key.where("lo < hi").select("doc", "lo")
+    twice = classed.where("named").join(several, "doc").where("set <> lo").select(
+        F.col("lo").alias("u"), F.col("set").alias("v")).distinct()
     found = stored(components(within.unionByName(exact).unionByName(twice)))
     found = found.unionByName(found.select(F.col("component").alias("vertex"), "component").distinct())
 
-    # a component goes by its smallest key
-    smallest = found.join(sets.where("named_rep").select(F.col("rep").alias("vertex")).distinct(), "vertex", "left_semi").groupBy(
-        "component").agg(F.min("vertex").alias("least"))
-    linked = found.join(smallest, "component", "left")
-    out = classed.join(linked, "vertex", "left").withColumn("component_id", F.when(F.col("component").isNotNull(), F.col("least")).when(
-        F.coalesce("named_rep", "named"), F.col("vertex")))
-    first = F.col("first_row").isNull() | ((F.col("row") == F.col("first_row")) & (F.col("vertex") == F.coalesce("component", "vertex")))
-    return out.select(F.when(F.col("named"), F.col("doc")).alias("doc"), F.col("doc").alias("node"), "n_shingles", "component_id", F.when(
+    # a component goes by its smallest key; a row without words goes with the other texts of its key
+    smallest = found.join(sets.where("named_rep").select(F.col("set").alias("vertex"), "rep"), "vertex").groupBy(
+        "component").agg(F.min("rep").alias("least"))
+    linked = found.join(smallest, "component", "left").withColumnRenamed("vertex", "set")
+    out = classed.where("set IS NOT NULL").join(linked, "set", "left")
+    other = by_key.where("empty AND lo IS NOT NULL").select("doc", F.col("lo").alias("set")).join(
+        sets.select("set", "rep"), "set").join(linked, "set", "left").select(
+        "doc", F.lit(True).alias("named"), F.coalesce("component", "set").alias("component"), F.coalesce("least", "rep").alias("least"))
+    empty = classed.where("set IS NULL").join(other, ["doc", "named"], "left")
+    judged = out.unionByName(empty).withColumn("component_id", F.when(F.col("component").isNotNull(), F.col("least")).when(
+        F.coalesce("named_rep", "named"), F.coalesce("rep", "doc")))
+    first = F.col("set").isNull() | ((F.col("row") == F.col("set")) & (F.col("set") == F.coalesce("component", "set")))
+    return judged.select(F.when(F.col("named"), F.col("doc")).alias("doc"), F.col("doc").alias("node"), "n_shingles", "component_id", F.when(
         F.col("named"), F.col("doc") == F.col("component_id")).otherwise(F.col("component_id").isNull() & first).alias("kept"))
 
 

@@ -102,3 +102,12 @@ def test_copies_without_keys_and_keys_of_several_texts(spark):
     assert sum(r in ((None, base), (None, near)) for r in left) == 1
     assert sorted(map(str, (r for r in left if r[1] not in (base, near)))) == sorted(map(str, [
         (2**63 - 5, close), (None, "alone in the world of texts"), (None, None), (None, ""), (1, a)]))
+
+
+def test_a_key_with_texts_of_very_different_length_keeps_all_links(spark):
+    words = [f"w{i}" for i in range(200)]
+    base, long_ = " ".join(words), " ".join(f"l{i}" for i in range(70_000))
+    rows = [(1, base), (2, base + " end"), (1, long_), (3, long_ + " x y z"), (4, "not like any of them at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()}
+    assert got == {(1, 196): (1, True), (2, 197): (1, False), (1, 69_996): (1, True), (3, 69_999): (1, False), (4, 3): (4, True)}
