@@ -3,7 +3,7 @@
 Records are keyed by a hash of their text, so equal texts lie together. A size-weighted key sample gives quantile
 boundaries of many narrow ranges, every record finds its range by halving, and the exact size of each range is counted.
 Keys that alone overfill a range are taken out of it; one that is larger than a shard is divided by a hash of the record's
-id. The ranges and pieces, a bounded number, are dealt to the shards, the largest first and each to the emptiest.
+id, and records that share even that, if they overfill a range, by a number each. The ranges and pieces, a bounded number, are dealt to the shards, the largest first and each to the emptiest.
 """
 
 from __future__ import annotations
@@ -66,7 +66,8 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
 
     Shards hold nearly equal sums of sizes. Slots count from 0 without a gap in each shard. Equal texts share a shard, unless
     they are together larger than one. A null text has no bytes and stands with the empty one. Null and repeated keys
-    are rows like any other; rows equal in key and text are not divided. An empty table gives no rows.
+    are rows like any other. Rows equal in key and text are divided only where they overfill a range of a divided text; the
+    numbers that divide them follow the order of reading. An empty table gives no rows.
     """
     ranges = shards * RANGES_PER_SHARD
     rows = docs.withColumns({
@@ -87,13 +88,25 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
         first.append(n)
         n += p
 
+    # records equal in text and id that overfill a range of a divided text: at most one group for each range
+    divided = [h for (h, _), p in zip(heavy, pieces) if p > 1]
+    rows, light = (df.withColumn("_row", F.lit(None).cast("long")) for df in (rows, light))
+    if divided:
+        equal = light.where(F.col("_h").isin(divided)).groupBy("_h", "_id").agg(F.sum("_size").alias("s")).where(F.col("s") > total / ranges)
+        alike = [r["a"] for r in equal.select(F.xxhash64("_h", "_id").alias("a")).collect()]
+        if alike:
+            same = F.xxhash64("_h", "_id").isin(alike)
+            numbered = stored(rows.where(same).withColumn("_row", F.monotonically_increasing_id()))
+            rows = rows.where(~same).unionByName(numbered)
+            light = light.where(~same).unionByName(numbered.select(*light.columns))
+
     def units(df: DataFrame) -> DataFrame:
         df = _below(F.col("_h"), cuts, df, "_unit")
         if not heavy:
             return df
         which = F.array_position(F.array(*[F.lit(h) for h, _ in heavy]), F.col("_h")) - 1
         base, parts = (F.get(F.array(*map(F.lit, x)), F.col("_heavy").cast("int")) for x in (first, pieces))
-        piece = F.pmod(F.xxhash64("_id", F.lit(13)), parts).cast("int")
+        piece = F.pmod(F.xxhash64("_id", "_row", F.lit(13)), parts).cast("int")
         return df.withColumn("_heavy", which).withColumn("_unit", F.when(F.col("_heavy") >= 0, base + piece).otherwise(F.col("_unit")))
 
     sizes, counts = [0] * n, [0] * n
@@ -104,11 +117,11 @@ def shard(docs: DataFrame, key: str = "doc_id", text: str = "text", shards: int
         begin[u] = filled[where[u]]
         filled[where[u]] += counts[u]
     lookup = lambda values: F.get(F.array(*map(F.lit, values)), F.col("_unit"))
-    inside = Window.partitionBy("_unit").orderBy("_h", "_id")
+    inside = Window.partitionBy("_unit").orderBy("_h", "_id", "_row")
     return units(rows).withColumns({
         "size": F.col("_size"), "shard": lookup(where),
         "slot": lookup(begin).cast("long") + F.row_number().over(inside) - 1,
-    }).drop("_id", "_size", "_h", "_unit", "_heavy")
+    }).drop("_id", "_size", "_h", "_row", "_unit", "_heavy")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

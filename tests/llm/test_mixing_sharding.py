@@ -2,6 +2,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lapsewatch.llm import mixing, sharding
 
@@ -95,3 +96,15 @@ def test_a_group_larger_than_a_shard_is_divided(spark):
     sizes = check_shards(rows, got, 16)
     assert len(sizes) == 16 and max(sizes.values()) < 1.05 * sum(sizes.values()) / 16
     assert sharding.shard(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_without_id_that_share_one_text_are_divided(spark):
+    rows = [(None, "the same text in half of all rows")] * 3000 + [(i, f"text {i} " + "y" * (i * 37 % 60)) for i in range(3000)]
+    rows += [(77, "the same text in half of all rows")] * 40
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n", F.lit(1)).repartition(5)
+    got = sharding.shard(df).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+    sizes = check_shards(rows, got, 16)
+    assert len(sizes) == 16 and max(sizes.values()) < 1.05 * sum(sizes.values()) / 16
+    one = {r["text"]: r["shard"] for r in got if r["doc_id"] is not None and r["doc_id"] != 77}
+    assert all(one[r["text"]] == r["shard"] for r in got if r["text"] in one)
