@@ -30,8 +30,8 @@ LEXICON = (
     "whore", "wimp", "worthless")
 #: Word beginnings, in bytes.
 PREFIXES = (3, 4, 5, 6, 7)
-#: Bounds: labelled rows that patterns are learned from, voters, rows of distinct votes that the classifier is fitted on.
-LABELLED, VOTERS, FIT_ROWS = 12_000, 400, 20_000
+#: Bounds: labelled rows that patterns are learned from, voters.
+LABELLED, VOTERS = 12_000, 400
 #: A pattern must be toxic this often, and be expected by chance fewer times than this among all patterns of its length.
 PRECISION, CHANCE = 0.9, 0.5
 #: Labelled toxic and clean rows that a lexicon voter is credited with before any are seen.
@@ -165,10 +165,9 @@ def label_model(seen: DataFrame, voters: list[tuple[int, float, float]], base: f
 def classifier(seen: DataFrame, odds: Column, n_voters: int) -> tuple[float, list[float], float]:
     """(intercept, weight of each voter, weight of the label model's verdict) of a logistic regression on the posteriors.
 
-    Fitted on the FIT_ROWS most frequent distinct votes; each counts as toxic and as clean by its posterior.
+    Fitted on all distinct votes; each counts as toxic and as clean by its posterior, as often as it was cast.
     """
-    few = seen.withColumn("p", 1 / (1 + F.exp(-odds))).orderBy(F.desc("n"), F.xxhash64("votes"), "votes").limit(FIT_ROWS)
-    named = few.select("n", "p", F.concat(
+    named = seen.withColumn("p", 1 / (1 + F.exp(-odds))).select("n", "p", F.concat(
         F.transform("votes", lambda j: j.cast("string")),
         F.when(F.col("p") > 0.5, F.array(F.lit("toxic"))).otherwise(F.array().cast("array<string>"))).alias("words"))
     vectors = CountVectorizerModel.from_vocabulary(
