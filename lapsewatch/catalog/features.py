@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ..operators import labels, latest, members, snapshots, timeline
 from ..plans import medallion
-from ..sources.writers import shared_folder
-from .base import END_SQL, HORIZON, LONG_HORIZON, START_SQL, query
+from ..sources import buckets
+from ..sources.writers import materialise, shared_folder
+from .base import END_SQL, HORIZON, LONG_HORIZON, REGISTRY, START_SQL, query
 
 ROW_ID = ["row_id"]
 
@@ -406,6 +407,20 @@ def training_set(t):
     return join(feature_store(t), t.f_label)
 
 
+@query("J1 J2 J13", REGISTRY["training_set"].sql, STORE_DOUBLES)
+def training_set_bucketed(t):
+    """The same rows from tables stored in buckets; one date is written a second time."""
+    from ..operators.splits import training_set as join
+
+    path, tables = shared_folder(t.spark), []
+    for name, rows in (("features", feature_store(t)), ("labels", t.f_label)):
+        table = f"{name}_{path.rsplit('/', 1)[1]}"
+        whole = buckets.write_bucketed(rows, table, f"{path}/{name}", 8)
+        again = whole.where(F.col(buckets.DAY) == t.span[0]).drop(buckets.DAY)
+        tables.append(buckets.write_bucketed(materialise(again), table, f"{path}/{name}", 8).drop(buckets.DAY))
+    return join(*tables)
+
+
 @query("J13", """
     SELECT l.msno, l.snapshot_date, l.is_churn, CAST(sum(t.plan_list_price) AS BIGINT) AS paid
     FROM o_label l LEFT JOIN o_txn t ON t.msno = l.msno AND t.transaction_date = l.snapshot_date

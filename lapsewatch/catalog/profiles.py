@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import distinct_state
 from ..operators import profile as p
 from ..operators.timeline import METRICS
-from .base import query
+from ..sources.writers import shared_folder
+from .base import REGISTRY, query
 
 
 @query("A11 K1", """SELECT payment_method_id, count(*) AS count, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM o_txn) * 100 AS percentage
@@ -141,3 +143,46 @@ def count_by_month(t):
     FROM f_logs WHERE date BETWEEN DATE '2024-01-20' - {h - 1} AND DATE '2024-01-20'""" for h in (30, 7)))
 def window_coverage(t):
     return p.window_coverage(t.f_logs, "2024-01-20")
+
+
+def _state(t, facts, cols, date, cuts):
+    """Days stored in two parts, the first of them twice."""
+    path = shared_folder(t.spark)
+    for start, end in (cuts[0], cuts[1], cuts[0]):
+        distinct_state.store_days(facts, path, cols, start, end, date)
+    return t.spark.read.parquet(path)
+
+
+LOG_CUTS = [("1970-01-01", "2024-01-12"), ("2024-01-13", "2999-12-31")]
+TXN_CUTS = [("1970-01-01", "1995-06-17"), ("1995-06-18", "2999-12-31")]
+
+
+@query("A30", REGISTRY["window_coverage"].sql)
+def window_coverage_from_state(t):
+    return distinct_state.window_coverage(_state(t, t.f_logs, ["msno"], "date", LOG_CUTS), "2024-01-20")
+
+
+@query("A28", REGISTRY["count_by_month"].sql)
+def count_by_month_from_state(t):
+    state = _state(t, t.o_txn, ["msno"], "transaction_date", TXN_CUTS)
+    return distinct_state.distinct_by(state, {"year": F.year("date"), "month": F.month("date")}, "msno")
+
+
+STATE_COLS = ("msno", "payment_plan_days", "payment_method_id", "is_cancel")
+
+
+@query("A19", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(*) - count({c}) AS nulls, count(DISTINCT {c}) + CASE WHEN count(*) > count({c}) THEN 1 ELSE 0 END AS \"distinct\" FROM o_txn"
+    for c in STATE_COLS))
+def null_profile_from_state(t):
+    return distinct_state.null_profile(_state(t, t.o_txn, STATE_COLS, "transaction_date", TXN_CUTS), STATE_COLS)
+
+
+@query("A30", """
+    WITH a AS (SELECT DISTINCT msno FROM o_txn WHERE transaction_date BETWEEN DATE '1997-01-02' AND DATE '1997-03-31'),
+         b AS (SELECT DISTINCT msno FROM o_txn WHERE transaction_date BETWEEN DATE '1997-04-01' AND DATE '1997-06-28')
+    SELECT DATE '1997-06-28' AS window_end, 89 AS days, (SELECT count(*) FROM a) AS before, (SELECT count(*) FROM b) AS now,
+           (SELECT count(*) FROM a JOIN b USING (msno)) AS retained, (SELECT count(*) FROM a ANTI JOIN b USING (msno)) AS lost,
+           (SELECT count(*) FROM b ANTI JOIN a USING (msno)) AS won""")
+def retention_from_state(t):
+    return distinct_state.retention(_state(t, t.o_txn, ["msno"], "transaction_date", TXN_CUTS), "1997-06-28", 89)

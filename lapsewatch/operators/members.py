@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import normalise_key, null_if, parse_yyyymmdd
+from ..sources.writers import materialise
 from .snapshots import snapshot_grid
 
+# The columns of the member table and the names of its shares.
 KEEP = ["msno", "city_clean", "registered_via", "registration_date"]
+SHARES = {"registered_via": "registered_via_freq", "city_clean": "city_freq"}
+
+#: Daily shares (categories times days, 8 bytes each) that are broadcast; more are joined by date and category.
+BROADCAST_SHARES = 1_000_000
 
 
 def clean_members(raw: DataFrame, lower: bool = False) -> DataFrame:
@@ -63,14 +70,47 @@ def running_category_freq(members: DataFrame, cat: str, start: str, end: str) ->
     return dense.select("snapshot_date", cat, (F.col("_count") / total).alias(f"{cat}_freq"))
 
 
+def share_series(members: DataFrame, cats: Sequence[str], start: str, end: str) -> DataFrame:
+    """Running shares as one row per category: (_cat, _value as text, _first day, _shares from that day to ``end``).
+
+    A NULL category counts in the totals and has no row of its own.
+    """
+    parts = [
+        running_category_freq(members, c, start, end).where(F.col(c).isNotNull()).select(
+            F.lit(c).alias("_cat"), F.col(c).cast("string").alias("_value"), "snapshot_date", F.col(f"{c}_freq").alias("_share"))
+        for c in cats
+    ]
+    by_day = F.array_sort(F.collect_list(F.struct("snapshot_date", "_share")))
+    return reduce(DataFrame.unionByName, parts).groupBy("_cat", "_value").agg(
+        F.min("snapshot_date").alias("_first"), F.transform(by_day, lambda s: s["_share"]).alias("_shares"))
+
+
+def add_running_shares(dated: DataFrame, members: DataFrame, names: dict[str, str], start: str, end: str,
+                       limit: int = BROADCAST_SHARES) -> DataFrame:
+    """Running share of each row's category on its snapshot date, NULL where there is none.
+
+    A few categories hold all rows, so rows are not shuffled by category: the series of all categories are computed
+    once, their size is counted, and up to ``limit`` shares are broadcast. More are joined by date and category.
+    """
+    series = materialise(share_series(members, list(names), start, end))
+    if (series.agg(F.sum(F.size("_shares"))).first()[0] or 0) > limit:
+        for cat, name in names.items():
+            freq = running_category_freq(members, cat, start, end).withColumnRenamed(f"{cat}_freq", name)
+            dated = dated.join(freq, ["snapshot_date", cat], "left")
+        return dated
+    for cat, name in names.items():
+        mine = F.broadcast(series.where(F.col("_cat") == cat).drop("_cat"))
+        share = F.get("_shares", F.datediff("snapshot_date", "_first"))
+        dated = dated.join(mine, F.col(cat).cast("string") == F.col("_value"), "left").withColumn(name, share).drop(
+            "_value", "_first", "_shares")
+    return dated
+
+
 def _finish(dated: DataFrame, members: DataFrame, start: str, end: str) -> DataFrame:
     out = dated.withColumn("tenure_days_at_snapshot", F.datediff("snapshot_date", "registration_date"))
-    names = {"registered_via": "registered_via_freq", "city_clean": "city_freq"}
-    for cat, name in names.items():
-        freq = running_category_freq(members, cat, start, end).withColumnRenamed(f"{cat}_freq", name)
-        out = out.join(freq, ["snapshot_date", cat], "left")
+    out = add_running_shares(out, members, SHARES, start, end)
     known = F.col("registration_date").isNotNull()
-    out = out.withColumns({n: F.when(known, F.coalesce(F.col(n), F.lit(0.0))) for n in names.values()})
+    out = out.withColumns({n: F.when(known, F.coalesce(F.col(n), F.lit(0.0))) for n in SHARES.values()})
     return out.select(
         "snapshot_date", "msno", "city_clean", "registered_via", "registration_date",
         "tenure_days_at_snapshot", "registered_via_freq", "city_freq")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.clean import clean_transactions
@@ -17,6 +17,7 @@ from ..operators.snapshots import registered_asof, snapshot_grid
 from ..operators.timeline import Activity, Bounds, Payments, observation_features, observations, within
 from ..operators.window_state import WindowState, bring_forward
 from ..functions.columns import coalesce_category, with_year_month
+from ..sources.buckets import write_bucketed
 from ..sources.merge import replace_dates
 from ..sources.writers import write_table
 
@@ -109,3 +110,16 @@ def build_gold(s: Silver, out: str, start: str, end: str, horizon: int = 30, dai
         replace_dates(features, f"{out}/feature_store", ["snapshot_date"], "snapshot_date", start, end)
     labels = label_store(snaps, s.transactions, horizon, (start, end))
     replace_dates(labels, f"{out}/label_store", ["snapshot_date"], "snapshot_date", start, end)
+
+
+def bucket_gold(spark: SparkSession, out: str, start: str, end: str, buckets: int, prefix: str = "gold") -> tuple[DataFrame, DataFrame]:
+    """The dates start..end of the feature and label tables, brought into buckets of (entity, date); both tables, whole.
+
+    Worth its one shuffle where several trainings or evaluations join them: they meet bucket by bucket, unshuffled.
+    """
+    tables = []
+    for name in ("feature_store", "label_store"):
+        rows = spark.read.parquet(f"{out}/{name}").where(
+            F.col("snapshot_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+        tables.append(write_bucketed(rows, f"{prefix}_{name}", f"{out}/{name}_bucketed", buckets, span=(start, end)))
+    return tables[0], tables[1]
