@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 
-from lapsewatch.llm.permutation_index import nearest
+from lapsewatch.llm.permutation_index import PERMUTATION, RERANKED, _Part, files_of, nearest
 from lapsewatch.llm.toxicity import score
 
 
@@ -42,6 +42,46 @@ def test_fewer_candidates_than_asked(spark):
     assert nearest(df.limit(0), df.limit(0)).count() == 0 and nearest(df, df.limit(0)).count() == 0
 
 
+def test_prunes_and_finds(spark):
+    """50 000 vectors without structure, the hardest case: few are touched, fewer compared, nine of ten neighbours found."""
+    rng = np.random.default_rng(3)
+    n, pivots = 50_000, 1024
+    v = rng.normal(size=(n, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    near = np.argsort(-(v @ v[rng.choice(n, pivots, replace=False)].T), 1)[:, :PERMUTATION]
+    part = _Part(near, pivots, files_of(pivots, n))
+    touched, compared, hits = [], [], 0
+    for i in range(0, n, 1000):
+        rows = part.sharing(near[i])
+        best = part.nearest(rows, near[i])
+        touched.append(len(rows))
+        compared.append(len(best))
+        true = np.argsort(-(v @ v[i]))[1:11]
+        hits += len(set(true) & set(best))
+    assert np.mean(touched) <= 0.2 * n and max(compared) <= RERANKED * n + 1 and hits >= 0.9 * 500
+
+
+def test_footrule_is_that_of_whole_permutations():
+    rng = np.random.default_rng(4)
+    pivots, keep = 40, 12
+    near = np.array([rng.permutation(pivots)[:keep] for _ in range(3000)])
+    part = _Part(near, pivots, 5)
+    places = np.full((3000, pivots), keep)
+    np.put_along_axis(places, near, np.arange(keep)[None], 1)
+    rows = np.arange(3000)
+    whole = np.abs(places - places[7]).sum(1)
+    assert set(part.nearest(rows, near[7])) == set(np.argsort(whole, kind="stable")[:1280])
+    shared = [len(set(near[7][:5]) & set(r[:5])) for r in near]
+    assert part.sharing(near[7]).tolist() == [i for i, c in enumerate(shared) if c >= 2]
+
+
+def test_repeated_ids_count_once(spark):
+    rows = [(i % 30, [float(i), 1.0]) for i in range(60)] + [(100, [0.5, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in nearest(df, df.where("vec_id = 100"), 40).collect())
+    assert [i for _, i, _ in got] == list(range(30)) and got[0][2] == got[1][2] == 0.5
+
+
 def toxic_corpus():
     rng = random.Random(5)
     syllables = ["ba", "lo", "ti", "ren", "sa", "mu", "ke", "dor"]
