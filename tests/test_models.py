@@ -63,3 +63,17 @@ def test_linear_scores(spark):
                                "msno string, snapshot_date date, x double, y double")
     out = {r.msno: r.churn_proba for r in models.score_linear(df, {"x": 1.0, "y": 5.0}, -2.0).collect()}
     assert abs(out["a"] - 0.1192029) < 1e-6 and out["b"] > 0.99
+
+
+def test_search_passes_follow_the_rows(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(models.CrossValidator, "fit", lambda self, rows: seen.append(rows.where("fold <> 0").cache().rdd.getNumPartitions()))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        df = splits.assign_folds(separable(spark), "is_churn", 3)
+        models.random_search(df, ["x", "noise"], models.logistic, [{"c": 1.0}], 3)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.catalog.clearCache()
+    assert seen[0] <= 8
