@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from lapsewatch import catalog
 from lapsewatch.operators import distinct_state, members
 from lapsewatch.plans.medallion import bucket_gold
 from lapsewatch.sources import buckets
@@ -63,6 +64,40 @@ def test_a_corrected_day_replaces_its_counts(spark):
     assert state.agg(F.sum("rows")).first()[0] == 1 + df.where("date NOT IN (DATE'2024-01-05', DATE'2024-01-06')").count()
 
 
+def test_stored_values_count_as_the_sketches_do(spark):
+    _, df = facts(spark)
+    sketched, exact = shared_folder(spark), shared_folder(spark)
+    for start, end in (("2024-01-01", "2024-01-20"), ("2024-01-15", "2024-02-20"), ("2024-01-15", "2024-02-20")):
+        distinct_state.store_days(df, sketched, ["msno", "x"], start, end)
+        distinct_state.store_values(df, exact, ["msno", "x"], start, end)
+    a, b = spark.read.parquet(sketched), spark.read.parquet(exact)
+    none = distinct_state.day_state(df.limit(0), ["msno", "x"]), distinct_state.day_values(df.limit(0), ["msno", "x"])
+    rows = lambda x: sorted(map(str, x.collect()))
+    for s, e in ((a, b), none):
+        month = {"month": F.month("date")}
+        assert rows(distinct_state.distinct_by(s, month, "msno")) == rows(distinct_state.distinct_by_exact(e, month, "msno"))
+        assert rows(distinct_state.null_profile(s, ["msno", "x"])) == rows(distinct_state.null_profile_exact(e, ["msno", "x"]))
+        for of, h in (("2024-02-05", (30, 7, 400)), ("2024-03-05", (7,))):
+            assert rows(distinct_state.window_coverage(s, of, h)) == rows(distinct_state.window_coverage_exact(e, of, h))
+        assert rows(distinct_state.retention(s, "2024-01-20", 10)) == rows(distinct_state.retention_exact(e, "2024-01-20", 10))
+
+
+def test_state_queries_are_exact_beyond_the_sketch(spark, tmp_path):
+    """More customers and users than a sketch holds: 70 000 in one month and in both retention windows."""
+    n = 70_000
+    spark.range(2 * n + 1).selectExpr(
+        "id AS o_orderkey", f"id % {n} AS o_custkey", "'O' AS o_orderstatus", "1.0D AS o_totalprice", "'1-URGENT' AS o_orderpriority",
+        f"if(id = {2 * n}, timestamp_ntz'1995-01-01', timestamp_ntz'1997-03-10' + make_dt_interval(CAST(id DIV {n} * 60 AS INT))) AS o_orderdate").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(n + 1).selectExpr(
+        "id AS event_id", f"id % {n} AS user_id", f"if(id = {n}, timestamp_ntz'2024-01-02', timestamp_ntz'2024-01-18') AS ts", "'view' AS event_type", "1.0D AS value").write.parquet(f"{tmp_path}/events.parquet")
+    run = lambda name: catalog.queries()[name](spark, str(tmp_path)).collect()
+    assert sorted(r.distinct_msno for r in run("count_by_month_from_state")) == [1, n, n]
+    assert {r["column"]: r["distinct"] for r in run("null_profile_from_state")}["msno"] == n
+    assert [r.entities for r in run("window_coverage_from_state")] == [n, n]
+    r = run("retention_from_state")[0]
+    assert (r.before, r.now, r.retained, r.lost, r.won) == (n, n, n, 0, 0)
+
+
 def test_error_beyond_the_exact_range_and_without_rows(spark):
     df = spark.range(40_000).select(F.col("id").alias("msno"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("date"))
     state = distinct_state.day_state(df, ["msno"], lg=10)
