@@ -159,16 +159,16 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", min
     """
     rows = docs.select(F.col(key).alias("_id"), F.col(text).cast("string").alias("text"))
     rows = rows.withColumn("doc", F.struct(F.col("_id").alias("id"), F.xxhash64("text").alias("print")))
-    lined = templates(rows.select(F.to_json("doc").alias("doc"), "text"), min_docs=min_docs)
-    long = lined.where(F.col("tokens") >= min_tokens)
+    lined = templates(rows.select("doc", "text"), min_docs=min_docs)
+    # stored, as is what goes: the shuffles behind a stored table are deleted before the next ones are written
+    long = stored(lined.where(F.col("tokens") >= min_tokens))
     # all lines of a template have as many tokens
-    recurring = long.select("template", "tokens", F.get_json_object("doc", "$.id").alias("id")).distinct().groupBy("template", "tokens").agg(
+    recurring = long.select("template", "tokens", F.col("doc.id").alias("id")).distinct().groupBy("template", "tokens").agg(
         F.count("*").alias("docs")).where(
         F.col("docs") >= F.when(F.col("tokens") < short, max(min_docs, short_docs)).otherwise(min_docs))
     gone = long.join(recurring, "template", "left_semi").groupBy("doc").agg(F.collect_set("number").alias("gone"))
-    gone = gone.withColumnRenamed("doc", "_doc").hint("shuffle_hash")
-    both = rows.withColumn("doc", F.to_json("doc"))
-    both = both.join(gone, both["doc"] == gone["_doc"], "left")
+    gone = stored(gone).withColumnRenamed("doc", "_doc").hint("shuffle_hash")
+    both = rows.join(gone, rows["doc"].eqNullSafe(gone["_doc"]), "left")
     both = both.withColumn("lines", F.split("text", "\n"))
     kept = F.array_join(F.filter("lines", lambda line, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False))), "\n")
     return both.select(F.col("_id").alias(key), F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
