@@ -469,8 +469,8 @@ def inference_features(t):
 @query("I2 I3 J4 J15", INFERENCE, {**DOUBLES, "auto_renew_share": 6})
 def inference_features_from_state(t):
     """The same rows, one date after the other, each from the state of the date before."""
-    out, day, rows = shared_folder(t.spark), dt.date.fromisoformat(INF_DAYS[0]), []
+    out, day, rows, known = shared_folder(t.spark), dt.date.fromisoformat(INF_DAYS[0]), [], materialise(t.f_members)
     while day.isoformat() <= INF_DAYS[1]:
-        rows.append(medallion.extend_inference(t.f_members, t.f_txn, t.f_logs, out, day.isoformat()))
+        rows.append(medallion.extend_inference(known, t.f_txn, t.f_logs, out, day.isoformat()))
         day += dt.timedelta(days=1)
     return reduce(DataFrame.unionByName, rows)

@@ -117,8 +117,9 @@ def score_and_monitor(t):
     out, dates = shared_folder(t.spark), ("2024-01-20", "2024-01-21")
     model, ready = training.train_linear(labelled(t), max_iter=20)
     training.whole(model, ready).write().save(f"{out}/model")
+    known = materialise(t.f_members)
     for date in dates:
-        features = medallion.extend_inference(t.f_members, t.f_txn, t.f_logs, out, date)
+        features = medallion.extend_inference(known, t.f_txn, t.f_logs, out, date)
         labels = t.f_label.where(F.col("snapshot_date") == F.lit(date).cast("date"))
         report = scoring.score_and_monitor(features, f"{out}/model", "lr", out, date, (dates[0], dates[0]), labels)
     return report

@@ -17,16 +17,12 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.writers import path_exists, write_table
+from ..sources.writers import partition_values, write_table
 from .timeline import Activity, Payments, latest_row
 
 DATE = "state_date"
 
 
-def _text(date: str | dt.date) -> str:
-    return date if isinstance(date, str) else date.isoformat()
-
-
 @dataclass
 class WindowState:
     """How state rows are built, advanced and turned into features."""
@@ -88,7 +84,8 @@ class WindowState:
     def features(self, base: DataFrame, state: DataFrame, date: str, keep_inactive: bool = False) -> DataFrame:
         """Activity and transaction features of ``base`` rows, all dated ``date``, from the state at the end of that date."""
         act = self.activity
-        known = state.drop(DATE).withColumnRenamed(self.key, "_key")
+        # a state's compressed file is a tenth of its rows: never broadcast, so that the arrays are worked through by all tasks
+        known = state.drop(DATE).withColumnRenamed(self.key, "_key").hint("merge")
         rows = base.join(known, base[self.key] == known["_key"], "left")
         today = (dt.date.fromisoformat(date) - dt.date(1970, 1, 1)).days
         last = today + act.end
@@ -100,9 +97,9 @@ class WindowState:
 
         def total(of: str, value) -> Column:
             """Sum that ignores NULL and is NULL without values, as a window sum is."""
-            values = F.filter(F.transform(of, value), lambda v: v.isNotNull())
-            start = F.get(values, F.lit(0))
-            return F.aggregate(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), start, lambda a, v: a + v)
+            values = F.transform(of, value)
+            start = F.nullif(F.get(values, F.lit(0)), F.get(values, F.lit(0)))  # a NULL of the values' type
+            return F.aggregate(values, start, lambda a, v: F.coalesce(a + v, a, v))
 
         heard = lambda x: x["total_secs"].isNotNull()
         rows = rows.withColumns({
@@ -127,10 +124,8 @@ def _field(name: str):
 
 
 def state_dates(spark: SparkSession, path: str) -> list[str]:
-    """Dates of the stored states, oldest first: one row per date."""
-    if not path_exists(spark, path):
-        return []
-    return sorted(_text(r[0]) for r in spark.read.parquet(path).select(F.col(DATE)).distinct().collect())
+    """Dates of the stored states, oldest first."""
+    return partition_values(spark, path, DATE)
 
 
 def bring_forward(spec: WindowState, path: str, logs: DataFrame, txn: DataFrame, date: str) -> DataFrame:
@@ -145,5 +140,5 @@ def bring_forward(spec: WindowState, path: str, logs: DataFrame, txn: DataFrame,
         state = spec.advance(before, logs, txn, earlier[-1], date)
     else:
         state = spec.start(logs, txn, date)
-    write_table(state, path, [DATE], "overwrite_partitions")
+    write_table(state, path, [DATE], "overwrite_partitions", gather=False)
     return spark.read.parquet(path).where(F.col(DATE) == F.lit(date).cast("date"))

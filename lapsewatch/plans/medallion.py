@@ -69,13 +69,14 @@ def inference_features(members: DataFrame, txn: DataFrame, logs: DataFrame, star
 def extend_inference(members: DataFrame, txn: DataFrame, logs: DataFrame, out: str, date: str) -> DataFrame:
     """Add one date to the inference table: the facts since the last stored state are read, the history is not.
 
-    Returns the date's rows. The state lies beside the table; a rerun of a date replaces both.
+    Returns the date's rows. The state lies beside the table; a rerun of a date replaces both. ``members`` are read on
+    every date, so they should be a stored table.
     """
     spec = WindowState(Activity(include_today=True))
     state = bring_forward(spec, f"{out}/window_state", logs, txn, date)
     feats = spec.features(_registered(members, date, date), state, date, keep_inactive=True)
     feats = feats.drop(*DAILY_SUMS, "num_unq_w30_sum").na.fill(0)
-    write_table(feats, f"{out}/inference_store", ["snapshot_date"], "overwrite_partitions")
+    write_table(feats, f"{out}/inference_store", ["snapshot_date"], "overwrite_partitions", gather=False)
     return members.sparkSession.read.parquet(f"{out}/inference_store").where(F.col("snapshot_date") == F.lit(date).cast("date"))
 
 

@@ -26,24 +26,34 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """Values of a table's first partition column by its folders, in order; no rows are read."""
+    if not path_exists(spark, path):
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [s.getPath().getName() for s in hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def write_table(
-    df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", files: int | None = None
+    df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "overwrite", files: int | None = None, gather: bool = True
 ) -> None:
     """Parquet table.
 
     Modes: ``overwrite``, ``append``, ``overwrite_partitions`` (only the partitions present in ``df``).
     With ``by``, rows of a partition value are gathered before the write by a rebalance, which splits
     large partitions and merges small ones, so a hot partition does not become one huge task. ``files``
-    bounds the file count by a shuffle, which leaves the work before it as parallel as it was.
+    bounds the file count by a shuffle, which leaves the work before it as parallel as it was. Rows that all
+    have one partition value need no gathering; without ``gather`` the tasks that made them write them.
     """
-    if by:
+    if by and gather:
         df = df.hint("rebalance", *by)
-    elif files is not None:
+    elif files is not None and not by:
         df = df.repartition(files)
     writer = df.write.option("compression", "snappy")
     if mode == "overwrite_partitions":

@@ -1,10 +1,15 @@
 import datetime as dt
+import glob
 import random
 
 import pytest
 
+from lapsewatch.catalog import base
+from lapsewatch.catalog.base import REGISTRY
 from lapsewatch.operators.timeline import METRICS, Activity, Payments, observation_features
 from lapsewatch.operators.window_state import WindowState, bring_forward, state_dates
+from lapsewatch.plans import medallion
+from lapsewatch.sources.writers import write_table
 
 FIRST = dt.date(2024, 3, 1)
 
@@ -69,3 +74,38 @@ def test_entities_without_history(spark):
     base = spark.createDataFrame([("x", FIRST, FIRST)], "msno string, snapshot_date date, registration_date date")
     row = spec.features(base, state, date).first().asDict()
     assert row["active_days_w30"] is None and row["auto_renew_share"] == 0 and row["tenure_days"] == 0
+
+
+def test_a_build_neither_counts_nor_broadcasts_the_state(spark, tmp_path):
+    logs, txn = tables(spark, 10)
+    path = str(tmp_path / "state")
+    dates = [FIRST + dt.timedelta(days=d) for d in (0, 3)]
+    for date in dates:
+        state = bring_forward(WindowState(Activity(wide=10, narrow=3)), path, logs, txn, date.isoformat())
+    users = spark.createDataFrame([("u1", dates[-1], FIRST)], "msno string, snapshot_date date, registration_date date")
+    plan = WindowState(Activity(wide=10, narrow=3)).features(users, state, dates[-1].isoformat())._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    group = "dates-of-the-states"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        assert state_dates(spark, path) == [d.isoformat() for d in dates]
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)  # folders, no job
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert state_dates(spark, str(tmp_path / "none")) == []
+
+
+def test_one_partition_value_is_written_where_it_was_made(spark, tmp_path):
+    rows = spark.range(0, 4000, 1, 4).selectExpr("id", "DATE '2024-03-01' AS state_date")
+    files = {}
+    for gather in (True, False):
+        write_table(rows, f"{tmp_path}/{gather}", ["state_date"], "overwrite_partitions", gather=gather)
+        files[gather] = len(glob.glob(f"{tmp_path}/{gather}/state_date=2024-03-01/*.parquet"))
+    assert files == {True: 1, False: 4}
+
+
+def test_the_query_stores_the_members(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(medallion, "extend_inference", lambda members, *a: given.append(members.inputFiles()) or spark.range(1))
+    REGISTRY["inference_features_from_state"].build(base.Tables(spark, "/root/testdata/sf0.001"))
+    assert len(given) == 7 and not any("events" in f for files in given for f in files)
