@@ -208,6 +208,7 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
     read = wanted.mapInArrow(_sets(width), "n_shingles long, print_a long, print_b long, shingles array<long>").where("n_shingles > 0")
     shingles = stored(read.dropDuplicates(SAME_SET).join(chosen.select(*SAME_SET, "set"), SAME_SET).select("set", "shingles"))
 
+    # links are stored kind by kind: the driver plans anew after each shuffle, over the whole plan of the table it writes
     # within bundles: blocks in the order of set size, so that blocks of too different sizes need no comparison
     running = Window.partitionBy("bundle").orderBy("n_shingles", "set").rowsBetween(Window.unboundedPreceding, 0)
     placed = stored(members.join(sets.select("set", "n_shingles"), "set").withColumn(
@@ -220,7 +221,7 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
         & ((F.col("block") < F.col("j")) | (F.col("n") > 1))).select("bundle", F.col("block").alias("i"), "j")
     sides = pairs.withColumn("block", F.explode(F.array_distinct(F.array("i", "j"))))
     compared = placed.select("set", "bundle", "block").join(sides, ["bundle", "block"]).join(shingles, "set")
-    within = compared.groupBy("bundle", "i", "j").applyInArrow(_forest(percent), "u long, v long")
+    within = stored(compared.groupBy("bundle", "i", "j").applyInArrow(_forest(percent), "u long, v long"))
 
     # across bundles: those that left a list's own bundle, against the whole list
     at = listed.join(members, "set").join(
@@ -229,11 +230,11 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
     across = outside.join(at.select("token", F.col("set").alias("v"), F.col("bundle").alias("of_v")), "token").where(
         "of_u <> of_v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     one, two = (sig.select(F.col("set").alias(c), F.col("signature").alias(f"s_{c}")) for c in ("u", "v"))
-    alike = across.join(one, "u").join(two, "v").where(_agree(F.col("s_u"), F.col("s_v")) >= MATCHES).select("u", "v")
+    alike = stored(across.join(one, "u").join(two, "v").where(_agree(F.col("s_u"), F.col("s_v")) >= MATCHES).select("u", "v"))
     one, two = (shingles.select(F.col("set").alias(c), F.col("shingles").alias(f"s_{c}")) for c in ("u", "v"))
     both = F.size(F.array_intersect("s_u", "s_v"))
-    exact = alike.join(one, "u").join(two, "v").where(
-        100 * both >= percent * (F.size("s_u") + F.size("s_v") - both)).select("u", "v")
+    exact = stored(alike.join(one, "u").join(two, "v").where(
+        100 * both >= percent * (F.size("s_u") + F.size("s_v") - both)).select("u", "v"))
 
     # rows of one key with different texts are one document: all its sets are linked to its first one
     classed = stored(signed.select("doc", "named", "row", *SAME_SET).join(sets, SAME_SET, "left").select(
@@ -241,15 +242,15 @@ def _judged(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
     by_key = classed.where("named").groupBy("doc").agg(
         F.min("set").alias("lo"), F.max("set").alias("hi"), F.max(F.col("set").isNull()).alias("empty"))
     several = by_key.where("lo < hi").select("doc", "lo")
-    twice = classed.where("named").join(several, "doc").where("set <> lo").select(
-        F.col("lo").alias("u"), F.col("set").alias("v")).distinct()
-    found = stored(components(within.unionByName(exact).unionByName(twice)))
+    twice = stored(classed.where("named").join(several, "doc").where("set <> lo").select(
+        F.col("lo").alias("u"), F.col("set").alias("v")).distinct())
+    found = components(within.unionByName(exact).unionByName(twice))
     found = found.unionByName(found.select(F.col("component").alias("vertex"), "component").distinct())
 
     # a component goes by its smallest key; a row without words goes with the other texts of its key
     smallest = found.join(sets.where("named_rep").select(F.col("set").alias("vertex"), "rep"), "vertex").groupBy(
         "component").agg(F.min("rep").alias("least"))
-    linked = found.join(smallest, "component", "left").withColumnRenamed("vertex", "set")
+    linked = stored(found.join(smallest, "component", "left").withColumnRenamed("vertex", "set"))
     out = classed.where("set IS NOT NULL").join(linked, "set", "left")
     other = by_key.where("empty AND lo IS NOT NULL").select("doc", F.col("lo").alias("set")).join(
         sets.select("set", "rep"), "set").join(linked, "set", "left").select(
@@ -270,8 +271,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id; repeated rows of it stay as they are. Of a group
     without ids one row stays; rows without id and words stay as they are."""
-    kept = _judged(docs, "doc_id", "text", WIDTH, PERCENT).where("kept").select(
-        F.col("node").alias("_node"), F.col("doc").isNotNull().alias("_named"), (F.col("n_shingles") > 0).alias("_words"))
+    kept = stored(_judged(docs, "doc_id", "text", WIDTH, PERCENT).where("kept").select(
+        F.col("node").alias("_node"), F.col("doc").isNotNull().alias("_named"), (F.col("n_shingles") > 0).alias("_words")))
     named, unnamed = kept.where("_named").select("_node").distinct(), kept.where("NOT _named").distinct()
     some = docs.where("doc_id IS NOT NULL").join(named, F.col("doc_id").cast("long") == F.col("_node"), "left_semi")
     rest = docs.where("doc_id IS NULL").withColumn("_at", node(F.col("doc_id").cast("long"), F.col("text").cast("string"))).join(

@@ -4,6 +4,7 @@ from itertools import combinations
 
 from lapsewatch.llm.components import components
 from lapsewatch.llm.near_dup import near_duplicates, stage
+from lapsewatch.llm.tables import stored
 
 
 def shingles(text, width):
@@ -111,3 +112,19 @@ def test_a_key_with_texts_of_very_different_length_keeps_all_links(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     got = {(r["doc_id"], r["n_shingles"]): (r["component_id"], r["kept"]) for r in near_duplicates(docs).collect()}
     assert got == {(1, 196): (1, True), (2, 197): (1, False), (1, 69_996): (1, True), (3, 69_999): (1, False), (4, 3): (4, True)}
+
+
+def test_no_step_plans_all_links_at_once(spark, monkeypatch):
+    joins = []
+
+    def counted(df):
+        joins.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+        return stored(df)
+
+    for module in ("near_dup", "components"):
+        monkeypatch.setattr(f"lapsewatch.llm.{module}.stored", counted)
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "x y")], "doc_id long, text string")
+    last = stage(spark, docs, "")
+    joins.append(last._jdf.queryExecution().optimizedPlan().toString().count("Join "))
+    assert sorted(r["doc_id"] for r in last.collect()) == [1, 3]
+    assert max(joins) <= 14, str(joins)
