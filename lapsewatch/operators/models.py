@@ -57,7 +57,8 @@ def fit_lr(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **par
 
 
 def fit_rf(train: DataFrame, cols: Sequence[str], label: str = "is_churn", **params) -> PipelineModel:
-    return with_estimator(cols, forest(label, **params)).fit(train)
+    """Random forest; each row's node in every tree is kept between the levels, so a level moves rows one step instead of down from the root."""
+    return with_estimator(cols, forest(label, **params).setCacheNodeIds(True)).fit(train)
 
 
 def fit_gbt(train: DataFrame, cols: Sequence[str], label: str = "is_churn", validation: DataFrame | None = None,

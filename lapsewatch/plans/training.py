@@ -12,6 +12,7 @@ from ..operators import models
 from ..operators.monitor import evaluate
 from ..operators.prep import CATEGORICAL, FEATURES, OneHot, Scaler, class_weights, fill_stage, missing_flag_fill
 from ..operators.splits import temporal_split, training_set
+from ..sources.writers import materialise
 
 
 @dataclass
@@ -55,7 +56,7 @@ def whole(model: PipelineModel, prep: LinearPrep) -> PipelineModel:
 
 
 def evaluate_model(model: PipelineModel, data: DataFrame, name: str, label: str = "is_churn") -> DataFrame:
-    """Metrics of one model on every split, in one job."""
-    scored = model.transform(data).select(
-        "split", label, models.vector_to_array("probability")[1].alias("churn_proba"))
+    """Metrics of one model on every split. The scores are written, because all metrics read them: each row is scored once."""
+    scored = materialise(model.transform(data).select(
+        "split", label, models.vector_to_array("probability")[1].alias("churn_proba")))
     return evaluate(scored, "churn_proba", label).withColumn("model", F.lit(name))

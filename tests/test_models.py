@@ -2,6 +2,8 @@ import random
 
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
 
 from lapsewatch.operators import models, prep, splits
 from lapsewatch.plans import training
@@ -77,3 +79,29 @@ def test_search_passes_follow_the_rows(spark, monkeypatch):
         spark.conf.set("spark.sql.shuffle.partitions", before)
         spark.catalog.clearCache()
     assert seen[0] <= 8
+
+
+def test_a_forest_keeps_the_nodes_of_its_rows(spark):
+    df, cols = separable(spark).cache(), ["x", "noise"]
+    kept = models.fit_rf(df, cols, trees=5, depth=6)
+    plain = models.with_estimator(cols, models.forest("is_churn", trees=5, depth=6)).fit(df)
+    assert kept.stages[-1].getCacheNodeIds() and not plain.stages[-1].getCacheNodeIds()
+    grown = [m.stages[-1].toDebugString.split("\n", 1)[1] for m in (kept, plain)]
+    assert grown[0] == grown[1] and "Tree 4" in grown[0]
+
+
+def test_each_row_is_scored_once(spark):
+    df, seen = separable(spark).cache(), spark.sparkContext.accumulator(0)
+
+    class Counting:
+        def transform(self, rows):
+            def scored(x):
+                seen.add(1)
+                p = 1 / (1 + 2.718281828 ** (1 - x))
+                return Vectors.dense(1 - p, p)
+
+            return rows.withColumn("probability", F.udf(scored, VectorUDT())("x"))
+
+    table = {r.split: r for r in training.evaluate_model(Counting(), df, "m").collect()}
+    assert seen.value == df.count() and set(table) == {"train", "test"}
+    assert min(r.roc_auc for r in table.values()) > 0.8 and {r.model for r in table.values()} == {"m"}
