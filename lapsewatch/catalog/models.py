@@ -16,7 +16,8 @@ LR_CANDIDATES, RF_CANDIDATES = 10, 3
 
 def labelled(t):
     """Gold features with labels, written once: fitting reads them many times. The last six days are val, test and oot, two each."""
-    feats = medallion.feature_store(t.f_snap, t.f_members, t.f_txn, t.f_logs, *t.span, daily=True)
+    # shares and attributes read the members three times, and filters on their parsed dates would reach the events
+    feats = medallion.feature_store(t.f_snap, materialise(t.f_members), t.f_txn, t.f_logs, *t.span, daily=True)
     d = F.col("snapshot_date")
     until = lambda days: d <= F.date_sub(F.lit(t.span[1]).cast("date"), days)
     tag = F.when(until(6), "train").when(until(4), "val").when(until(2), "test").otherwise("oot")

@@ -5,8 +5,10 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F
 
+from lapsewatch.catalog import base
+from lapsewatch.catalog import models as catalog_models
 from lapsewatch.operators import models, prep, splits
-from lapsewatch.plans import training
+from lapsewatch.plans import medallion, training
 from helpers import day
 
 
@@ -105,3 +107,15 @@ def test_each_row_is_scored_once(spark):
     table = {r.split: r for r in training.evaluate_model(Counting(), df, "m").collect()}
     assert seen.value == df.count() and set(table) == {"train", "test"}
     assert min(r.roc_auc for r in table.values()) > 0.8 and {r.model for r in table.values()} == {"m"}
+
+
+def test_labelled_rows_come_from_stored_members(spark, monkeypatch):
+    given = []
+
+    def store(snaps, members, txn, logs, *span, daily):
+        given.extend(members.inputFiles())
+        return snaps
+
+    monkeypatch.setattr(medallion, "feature_store", store)
+    assert catalog_models.labelled(base.Tables(spark, "/root/testdata/sf0.001")).columns == ["msno", "snapshot_date", "is_churn", "split"]
+    assert given and not any("events" in f for f in given)
